@@ -1,0 +1,55 @@
+"""Folder-level workflows.
+
+``harmonize``: profile every dataset, match columns, assemble the report.
+``ensure_map``: load the map at a path, or build it with ``harmonize`` and
+write it there first (the reference's auto-generate path, with a deterministic
+matcher in place of the model call).
+"""
+
+from __future__ import annotations
+
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from canonix.model import HarmonizationMap, MapLoadError, load_map, load_map_long
+from canonix.operators.match import MatchConfig, match_columns
+from canonix.operators.profile import dataset_profile
+from canonix.operators.report import harmonization_report
+
+
+def harmonize(datasets: Mapping[str, DataFrame], metadata: DataFrame | None = None,
+              cfg: MatchConfig | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(report, column_profile, map_long)`` for a set of datasets."""
+    col_prof, ds_prof = dataset_profile(datasets, metadata=metadata)
+    map_long = match_columns(datasets, cfg)
+    report = harmonization_report(map_long, col_prof, ds_prof)
+    return report, col_prof, map_long
+
+
+def ensure_map(spark: SparkSession, datasets: Mapping[str, DataFrame], map_path: str,
+               cfg: MatchConfig | None = None) -> HarmonizationMap:
+    """Load the map, generating and writing it (v2 document) when it does not exist."""
+    from canonix.session import hadoop_exists
+
+    if hadoop_exists(spark, map_path):
+        try:
+            return load_map(spark, map_path)
+        except MapLoadError:
+            pass
+    report, _, _ = harmonize(datasets, cfg=cfg)
+    report.coalesce(1).write.mode("errorifexists").json(map_path)  # one row: the map document
+    return load_map_from_report_folder(spark, map_path)
+
+
+def load_map_from_report_folder(spark: SparkSession, path: str) -> HarmonizationMap:
+    """A map written by Spark's JSON writer (a folder with one part file)."""
+    text = spark.read.text(path, wholetext=True).where(F.length("value") > 0).collect()
+    if not text:
+        raise MapLoadError(f"no map document under {path}")
+    return HarmonizationMap.from_json(text[0][0])
+
+
+def map_long_at(spark: SparkSession, path: str) -> DataFrame:
+    return load_map_long(spark, path)
