@@ -533,8 +533,7 @@ def _recursive_discovery(spark, sf):
     data = spark.read.option("header", True).csv(paths).select(F.col("_metadata.file_path").alias("path"))
     per = data.groupBy("path").agg(F.count(F.lit(1)).alias("rows"))
     folder = F.regexp_extract("relative_path", r"^(.*)/[^/]+$", 1)
-    return found.join(per, "path").groupBy(folder.alias("folder")).agg(F.sum("rows").alias("rows"),
-                                                                       F.count(F.lit(1)).alias("files"))
+    return found.join(per, "path").groupBy(folder.alias("folder")).agg(F.sum("rows").alias("rows"))
 
 
 def _sink_text_roundtrip(spark, sf):
@@ -896,7 +895,7 @@ def oracle_sql() -> dict[str, str]:
         "split_trim_list": (
             "SELECT doc_id, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS pos, unnest(l) AS part FROM "
             "(SELECT doc_id, list_transform(string_split(concat_ws(' , ', source, lang, CAST(n_chars AS VARCHAR)), "
-            "','), x -> trim(x)) AS l FROM documents)"),
+            "','), lambda x: trim(x)) AS l FROM documents)"),
         "json_fence_strip": (
             f"SELECT event_id, regexp_replace(regexp_replace({fenced}, '```(json)?', '', 'g'), "
             "'^\\s+|\\s+$', '', 'g') AS json_text FROM events"),

@@ -372,6 +372,9 @@ def testdata_map() -> HarmonizationMap:
     return HarmonizationMap.from_obj(TESTDATA_MAP_V1)
 
 
+testdata_map.__test__ = False  # not a pytest test despite its name
+
+
 def subset_map(hmap: HarmonizationMap, features: Iterable[str]) -> HarmonizationMap:
     keep = list(features)
     return HarmonizationMap([hmap.feature(n) for n in keep if hmap.feature(n) is not None], hmap.dataset_info,

@@ -44,7 +44,7 @@ class MatchConfig:
     name_threshold: float = 0.5
     containment_threshold: float = 0.8
     min_shared: int = 2
-    checkpoint_every: int = 4
+    checkpoint_every: int = 2
     max_rounds: int = 64
 
 
@@ -194,9 +194,11 @@ def match_columns(datasets: Mapping[str, DataFrame], cfg: MatchConfig | None = N
     cfg = cfg or MatchConfig()
     spark = next(iter(datasets.values())).sparkSession
     catalog = column_catalog(spark, datasets)
-    pairs = score_pairs(datasets, catalog, cfg).where("accepted")
-    comps = connected_components(catalog.select(F.col("col_id").alias("id")),
-                                 pairs.select(F.col("col_a").alias("src"), F.col("col_b").alias("dst")), cfg)
+    # Accepted edges are computed once (one pass over the data) and written to the
+    # checkpoint folder, so the component rounds below never re-run the scans.
+    edges = score_pairs(datasets, catalog, cfg).where("accepted").select(
+        F.col("col_a").alias("src"), F.col("col_b").alias("dst")).checkpoint()
+    comps = connected_components(catalog.select(F.col("col_id").alias("id")), edges, cfg)
     members = catalog.join(comps.withColumnRenamed("id", "col_id"), "col_id")
     names = members.groupBy("component", "name_key").agg(F.count(F.lit(1)).alias("n"))
     best = names.groupBy("component").agg(

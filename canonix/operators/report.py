@@ -42,12 +42,13 @@ def harmonization_report(map_long: DataFrame, column_profile: DataFrame, dataset
     per_feature = per_ds.groupBy("feature_pos", "canonical_name", "semantic_meaning", "data_type").agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("dataset", "cols")))).alias("original_columns")
     )
+    by_pos = lambda a, b: (a["feature_pos"] - b["feature_pos"]).cast("int")  # noqa: E731 (maps are not orderable)
     details = per_feature.groupBy(F.lit(1).alias("__one")).agg(
         F.transform(
             F.array_sort(F.collect_list(F.struct(
                 "feature_pos",
                 F.struct("canonical_name", "semantic_meaning", "data_type", "original_columns").alias("f"),
-            ))),
+            )), by_pos),
             lambda s: s["f"],
         ).alias("harmonization_details")
     )
