@@ -51,6 +51,11 @@ class SkewConfig:
     broadcast); the heaviest keys are taken first, the rest stay on the
     shuffle path.
     ``max_salt``: cap on groups per side of one key.
+    ``detect_fraction``: share of rows counted when looking for hot keys. The
+    key column is still scanned in full, but the counting shuffle shrinks by
+    this factor. Detection only routes keys to the salted branch; every row
+    is merged either way, and the salted join stays exact when an estimate is
+    off (a key seen with no rows in a dataset takes the plain left join).
     """
 
     enabled: bool = True
@@ -58,6 +63,7 @@ class SkewConfig:
     output_rows: int = 20_000_000
     max_hot_keys: int = 50_000
     max_salt: int = 4096
+    detect_fraction: float = 0.05
 
 
 def participants(
@@ -89,6 +95,7 @@ def _renamed_parts(
     key: str,
     prune_null: bool,
     key_state: str | None = None,
+    types: Mapping[str, T.DataType] | None = None,
 ) -> tuple[list[DataFrame], list[str]]:
     """Standardized, suffix-renamed inputs in merge order, plus the output column order.
 
@@ -98,18 +105,20 @@ def _renamed_parts(
     """
     from canonix.operators.standardize import _safe_cast
 
-    types = feature_types(hmap, {n: datasets[n] for n in names})
+    types = types or feature_types(hmap, {n: datasets[n] for n in names})
     kfeat = hmap.feature(key)
     parts, order, seen = [], [], set()
     for i, n in enumerate(names):
         raw = datasets[n]
         post = None
         if key_state is not None:
-            found = find_column(raw.columns, kfeat.candidates(n))
+            physical = {f.name: f.dataType for f in raw.schema.fields}
+            raw_cols = list(physical)
+            found = find_column(raw_cols, kfeat.candidates(n))
             if found is None:
                 raw_pred = F.lit(key_state == "null")
             else:
-                phys = raw.schema[found].dataType
+                phys = physical[found]
                 if phys == types[key] or _safe_cast(phys, types[key]) or not isinstance(types[key], T.AtomicType):
                     c = F.col(quote(found))
                     raw_pred = c.isNull() if key_state == "null" else c.isNotNull()
@@ -117,8 +126,7 @@ def _renamed_parts(
                     raw_pred = None
                     kc = F.col(quote(key))
                     post = kc.isNull() if key_state == "null" else kc.isNotNull()
-            if raw_pred is not None and found is not None and raw.columns.count(found) == 1 and len(
-                    {c.lower() for c in raw.columns}) == len(raw.columns):
+            if raw_pred is not None and found is not None and len({c.lower() for c in raw_cols}) == len(raw_cols):
                 raw = raw.where(raw_pred)
             elif raw_pred is not None:
                 post = F.col(quote(key)).isNull() if key_state == "null" else F.col(quote(key)).isNotNull()
@@ -152,7 +160,7 @@ def merge_by_key(
     datasets: Mapping[str, DataFrame],
     key: str,
     order: Sequence[str] | None = None,
-    strategy: str = "spine",
+    strategy: str = "auto",
     include_unkeyed: bool = False,
     prune_null: bool = False,
     key_filter: Column | None = None,
@@ -160,50 +168,53 @@ def merge_by_key(
 ) -> DataFrame:
     """Merge ``datasets`` (raw, un-standardized) on canonical ``key``.
 
+    ``strategy``: ``"auto"`` (a single full outer join for two datasets, the
+    key spine from three on, where the chain would re-shuffle its growing
+    accumulated side at every step), ``"spine"`` or ``"chain"``.
     ``key_filter`` is an optional predicate on the key column, applied to every
     input before joining (used by merge-then-filter on the key).
     """
     names, _ = participants(hmap, datasets, key, order, include_unkeyed)
     if not names:
         raise ValueError(f"no dataset maps the merge key {key!r}")
-    if strategy == "spine":
-        keyed, out_cols = _renamed_parts(hmap, datasets, names, key, prune_null, "not_null")
-        null_rows, _ = _renamed_parts(hmap, datasets, names, key, prune_null, "null")
-        if key_filter is not None:
-            keyed = [p.where(key_filter) for p in keyed]
-            null_rows = [p.where(key_filter) for p in null_rows]
-        return _spine_merge(keyed, null_rows, key, out_cols, skew or SkewConfig())
-    parts, out_cols = _renamed_parts(hmap, datasets, names, key, prune_null)
+    if strategy == "auto":
+        strategy = "chain" if len(names) <= 2 else "spine"
+    if strategy not in ("spine", "chain"):
+        raise ValueError(f"unknown merge strategy {strategy!r}")
+    skew = skew or SkewConfig()
+    types = feature_types(hmap, {n: datasets[n] for n in names})
+    keyed, out_cols = _renamed_parts(hmap, datasets, names, key, prune_null, "not_null", types)
+    null_rows, _ = _renamed_parts(hmap, datasets, names, key, prune_null, "null", types)
     if key_filter is not None:
-        parts = [p.where(key_filter) for p in parts]
+        keyed = [p.where(key_filter) for p in keyed]
+        null_rows = [p.where(key_filter) for p in null_rows]
+    hot = find_hot_keys(keyed, key, skew) if skew.enabled else []
+    branches = []
+    if hot:
+        key_type = keyed[0].schema[key].dataType
+        hot_df = F.broadcast(_hot_key_frame(keyed[0], key, key_type, [h[0] for h in hot]))
+        normal = [p.join(hot_df, on=key, how="left_anti") for p in keyed]
+        branches.append(_salted_branch(keyed, key, key_type, hot, skew))
+    else:
+        normal = keyed
     if strategy == "chain":
+        # nulls ride along: a null key never matches, so each null-key row comes out once
+        parts = [k.unionByName(n) for k, n in zip(normal, null_rows)]
         merged = parts[0]
         for p in parts[1:]:
             merged = merged.join(p, on=key, how="full")
-        return merged.select(*[F.col(quote(c)) for c in out_cols])
-    raise ValueError(f"unknown merge strategy {strategy!r}")
+        branches.insert(0, merged)
+    else:
+        branches.insert(0, _plain_spine(normal, key))
+        branches += null_rows
+    merged = _union_all(branches)
+    return merged.select(*[F.col(quote(c)) for c in out_cols])
 
 
 def _union_all(dfs: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)
 
 
-def _spine_merge(keyed: list[DataFrame], null_rows: list[DataFrame], key: str, out_cols: list[str],
-                 skew: SkewConfig) -> DataFrame:
-    hot = find_hot_keys(keyed, key, skew) if skew.enabled else []
-    branches = []
-    if hot:
-        key_type = keyed[0].schema[key].dataType
-        hot_df = _hot_key_frame(keyed[0], key, key_type, [h[0] for h in hot])
-        normal = [p.join(F.broadcast(hot_df), on=key, how="left_anti") for p in keyed]
-        branches.append(_plain_spine(normal, key))
-        branches.append(_salted_branch(keyed, key, key_type, hot, skew))
-    else:
-        branches.append(_plain_spine(keyed, key))
-    merged = _union_all(branches + null_rows)
-    return merged.select(*[F.col(quote(c)) for c in out_cols])
-
-
 def _plain_spine(keyed: list[DataFrame], key: str) -> DataFrame:
     spine = reduce(lambda a, b: a.union(b), [p.select(quote(key)) for p in keyed]).distinct()
     acc = spine
@@ -216,7 +227,7 @@ def _plain_spine(keyed: list[DataFrame], key: str) -> DataFrame:
 # Key statistics and hot keys
 # ---------------------------------------------------------------------------
 
-def key_counts(keyed: list[DataFrame], key: str) -> DataFrame:
+def key_counts(keyed: list[DataFrame], key: str, fraction: float = 1.0) -> DataFrame:
     """Per key, the row count in each dataset: ``(key, n0, n1, ...)``.
 
     Only the key column is scanned, and the counts are combined map-side before
@@ -227,6 +238,8 @@ def key_counts(keyed: list[DataFrame], key: str) -> DataFrame:
         lambda a, b: a.union(b),
         [p.select(F.col(quote(key)).alias(_KEY_TMP), F.lit(i).alias("__i")) for i, p in enumerate(keyed)],
     )
+    if fraction < 1.0:
+        tagged = tagged.where(F.rand(17) < fraction)
     aggs = [F.count_if(F.col("__i") == i).alias(f"n{i}") for i in range(len(keyed))]
     return tagged.groupBy(_KEY_TMP).agg(*aggs)
 
@@ -256,12 +269,15 @@ def find_hot_keys(keyed: list[DataFrame], key: str, skew: SkewConfig) -> list[tu
     broadcasting it is safe at any data size.
     """
     n = len(keyed)
-    stats = key_counts(keyed, key)
-    counts = [F.col(f"n{i}") for i in range(n)]
-    biggest = F.greatest(*counts) if n > 1 else counts[0]
-    out = _product(counts)
+    f = min(1.0, max(skew.detect_fraction, 1e-6))
+    stats = key_counts(keyed, key, f)
+    counts = [F.ceil(F.col(f"n{i}") / F.lit(f)).cast("bigint").alias(f"n{i}") for i in range(n)]
+    est = stats.select(F.col(_KEY_TMP), *counts)
+    cols = [F.col(f"n{i}") for i in range(n)]
+    biggest = F.greatest(*cols) if n > 1 else cols[0]
+    out = _product(cols)
     weight = F.greatest(biggest.cast("double") / skew.input_rows, out / skew.output_rows)
-    hot = stats.where(weight > 1.0).orderBy(weight.desc()).limit(skew.max_hot_keys)
+    hot = est.where(weight > 1.0).orderBy(weight.desc()).limit(skew.max_hot_keys)
     return [tuple(r) for r in hot.collect()]
 
 

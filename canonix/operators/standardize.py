@@ -35,25 +35,27 @@ def find_column(columns: list[str], candidates: list[str]) -> str | None:
     return None
 
 
-def _positional(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+def _positional(df: DataFrame, columns: list[str] | None = None) -> tuple[DataFrame, dict[str, str]]:
     """Rename columns positionally when names clash under case-insensitive resolution."""
-    lowered = [c.lower() for c in df.columns]
+    columns = columns if columns is not None else df.columns
+    lowered = [c.lower() for c in columns]
     if len(set(lowered)) == len(lowered):
-        return df, {c: c for c in df.columns}
-    names = [f"__c{i}" for i in range(len(df.columns))]
-    return df.toDF(*names), dict(zip(df.columns, names))
+        return df, {c: c for c in columns}
+    names = [f"__c{i}" for i in range(len(columns))]
+    return df.toDF(*names), dict(zip(columns, names))
 
 
 def feature_types(hmap: HarmonizationMap, datasets: Mapping[str, DataFrame]) -> dict[str, T.DataType]:
     """Output type per feature: declared, unless a mapped column has a non-basic physical type."""
+    schemas = {name: {f.name: f.dataType for f in df.schema.fields} for name, df in datasets.items()}
     out: dict[str, T.DataType] = {}
     for f in hmap.features:
         t = declared_type(f.data_type)
-        for name, df in datasets.items():
-            found = find_column(df.columns, f.candidates(name))
+        for name, fields in schemas.items():
+            found = find_column(list(fields), f.candidates(name))
             if found is None:
                 continue
-            phys = df.schema[found].dataType
+            phys = fields[found]
             if not is_basic_type(phys):
                 t = phys
                 break
@@ -95,15 +97,16 @@ def standardize(
     cast: bool = True,
 ) -> DataFrame:
     """Project ``df`` onto the map's canonical columns."""
-    original = df.columns
-    df2, rename = _positional(df)
+    physical = {f.name: f.dataType for f in df.schema.fields}  # one schema lookup
+    original = list(physical)
+    df2, rename = _positional(df, original)
     exprs = []
     for f in hmap.features:
         target = (types or {}).get(f.canonical_name) or declared_type(f.data_type)
         found = find_column(original, f.candidates(dataset))
         if found is not None:
             src = rename[found]
-            phys = df.schema[found].dataType
+            phys = physical[found]
             c = F.col(quote(src))
             if cast:
                 c = cast_to(c, phys, target)

@@ -47,7 +47,7 @@ def test_spine_equals_chain_with_nulls_and_duplicates(spark, seed):
 def test_salted_hot_keys_equal_plain(spark, seed):
     ds = _rand_tables(spark, seed, n=60, keys=3)
     plain = merge_by_key(MAP, ds, "k", skew=SkewConfig(enabled=False))
-    salted = merge_by_key(MAP, ds, "k", skew=SkewConfig(input_rows=2, output_rows=3, max_salt=4))
+    salted = merge_by_key(MAP, ds, "k", skew=SkewConfig(input_rows=2, output_rows=3, max_salt=4, detect_fraction=1.0))
     assert rows(plain) == rows(salted)
 
 
@@ -56,7 +56,7 @@ def test_exact_copies_split_by_salt(spark):
     a = spark.createDataFrame([(1, "x")] * 50 + [(2, "y")], "ka int, va string")
     b = spark.createDataFrame([(1, "p")] * 7 + [(3, "q")], "kb int, vb string")
     ds = {"a.csv": a, "b.csv": b}
-    salted = merge_by_key(MAP, ds, "k", skew=SkewConfig(input_rows=4, output_rows=10, max_salt=8))
+    salted = merge_by_key(MAP, ds, "k", skew=SkewConfig(input_rows=4, output_rows=10, max_salt=8, detect_fraction=1.0))
     plain = merge_by_key(MAP, ds, "k", skew=SkewConfig(enabled=False))
     assert salted.count() == 50 * 7 + 1 + 1
     assert rows(salted) == rows(plain)
@@ -112,3 +112,20 @@ def test_key_filter_reaches_every_scan(spark):
     assert "EqualTo(o_orderkey,201)" in plan and "EqualTo(l_orderkey,201)" in plan
     assert "FullOuter" not in plan
     assert m.count() == 7
+
+
+@pytest.mark.parametrize("strategy", ["chain", "spine"])
+def test_sampled_detection_stays_exact(spark, strategy):
+    ds = _rand_tables(spark, 11, n=80, keys=3)
+    plain = merge_by_key(MAP, ds, "k", strategy=strategy, skew=SkewConfig(enabled=False))
+    sampled = merge_by_key(MAP, ds, "k", strategy=strategy,
+                           skew=SkewConfig(input_rows=2, output_rows=3, max_salt=4, detect_fraction=0.3))
+    assert rows(plain) == rows(sampled)
+
+
+def test_chain_with_salted_hot_keys(spark):
+    ds = _rand_tables(spark, 12, n=60, keys=3)
+    plain = merge_by_key(MAP, ds, "k", strategy="spine", skew=SkewConfig(enabled=False))
+    salted = merge_by_key(MAP, ds, "k", strategy="chain",
+                          skew=SkewConfig(input_rows=2, output_rows=3, max_salt=4, detect_fraction=1.0))
+    assert rows(plain) == rows(salted)
