@@ -87,3 +87,19 @@ def test_annotate_fallback(spark):
     out = {r.i: (r.result, r.provider) for r in annotate(df, "lang", [("p", primary), ("x", broken),
                                                                       ("b", backup)]).collect()}
     assert out == {1: ("Pen", "p"), 2: ("Bfr", "b"), 3: ("Pen", "p")}
+
+
+def test_actions_require_arguments(spark):
+    from canonix.plans.actions import run_action
+
+    env = _env(spark)
+    with pytest.raises(ValueError):
+        run_action("unique_values", env.hmap, env.datasets)
+    with pytest.raises(ValueError):
+        run_action("filter", env.hmap, env.datasets, canonical_feature="status")
+    with pytest.raises(ValueError):
+        run_action("drop_everything", env.hmap, env.datasets)
+    got = run_action("filter", env.hmap, env.datasets, canonical_feature="order_key", filter_value="201",
+                     key="order_key", order=["orders.parquet", "lineitem.parquet"])
+    assert got.count() == 7
+    assert run_action("unique_values", env.hmap, env.datasets, canonical_feature="status").count() == 3
