@@ -137,7 +137,7 @@ def _renamed_parts(
         for f in hmap.features:
             c = f.canonical_name
             if c == key:
-                cols.append(F.col(quote(c)))
+                cols.append(quote(c))
                 if i == 0:
                     order.append(c)
                 continue
@@ -147,9 +147,9 @@ def _renamed_parts(
             if new in seen or new == key:
                 raise ValueError(f"merged column name {new!r} is produced twice")
             seen.add(new)
-            cols.append(F.col(quote(c)).alias(new))
+            cols.append(f"{quote(c)} AS {quote(new)}")
             order.append(new)
-        parts.append(std.select(*cols))
+        parts.append(std.selectExpr(*cols))
     if key not in order:
         order.insert(0, key)
     return parts, order
@@ -208,7 +208,7 @@ def merge_by_key(
         branches.insert(0, _plain_spine(normal, key))
         branches += null_rows
     merged = _union_all(branches)
-    return merged.select(*[F.col(quote(c)) for c in out_cols])
+    return merged.selectExpr(*[quote(c) for c in out_cols])
 
 
 def _union_all(dfs: Sequence[DataFrame]) -> DataFrame:

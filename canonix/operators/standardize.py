@@ -89,31 +89,53 @@ def cast_to(c: Column, physical: T.DataType, target: T.DataType) -> Column:
     return c.try_cast(target)
 
 
-def standardize(
-    df: DataFrame,
+def cast_sql(name_sql: str, physical: T.DataType, target: T.DataType) -> str:
+    """SQL text of :func:`cast_to` for an already quoted column reference."""
+    if not is_basic_type(physical) or physical == target:
+        return name_sql
+    fn = "CAST" if _safe_cast(physical, target) else "TRY_CAST"
+    return f"{fn}({name_sql} AS {target.simpleString()})"
+
+
+def standardize_exprs(
+    columns: Mapping[str, T.DataType],
     dataset: str,
     hmap: HarmonizationMap,
     types: Mapping[str, T.DataType] | None = None,
     cast: bool = True,
-) -> DataFrame:
-    """Project ``df`` onto the map's canonical columns."""
-    physical = {f.name: f.dataType for f in df.schema.fields}  # one schema lookup
-    original = list(physical)
-    df2, rename = _positional(df, original)
+    rename: Mapping[str, str] | None = None,
+) -> list[str]:
+    """SQL select-list of the canonical projection of a dataset with these physical columns.
+
+    Built as expression text so the whole projection is one ``selectExpr``
+    call, however wide the map is.
+    """
+    original = list(columns)
     exprs = []
     for f in hmap.features:
         target = (types or {}).get(f.canonical_name) or declared_type(f.data_type)
         found = find_column(original, f.candidates(dataset))
+        out = quote(f.canonical_name)
         if found is not None:
-            src = rename[found]
-            phys = physical[found]
-            c = F.col(quote(src))
-            if cast:
-                c = cast_to(c, phys, target)
-            exprs.append(c.alias(f.canonical_name))
+            src = quote((rename or {}).get(found, found))
+            e = cast_sql(src, columns[found], target) if cast else src
+            exprs.append(f"{e} AS {out}")
         else:
-            exprs.append(F.lit(None).cast(target).alias(f.canonical_name))
-    return df2.select(*exprs)
+            exprs.append(f"CAST(NULL AS {target.simpleString()}) AS {out}")
+    return exprs
+
+
+def standardize(
+    df: DataFrame,
+    dataset: str,
+    hmap: HarmonizationMap,
+    types: Mapping[str, T.DataType] | None = None,
+    cast: bool = True,
+) -> DataFrame:
+    """Project ``df`` onto the map's canonical columns."""
+    physical = {f.name: f.dataType for f in df.schema.fields}  # one schema lookup
+    df2, rename = _positional(df, list(physical))
+    return df2.selectExpr(*standardize_exprs(physical, dataset, hmap, types, cast, rename))
 
 
 def standardize_all(

@@ -52,7 +52,7 @@ def _unique_across(env: StepEnv, canonical_feature_name: str, harmonization_map=
 
 
 def _merge(env: StepEnv, merge_key_canonical_name: str, harmonization_map=None, data_folder_path=None,
-           order=None, strategy: str = "spine"):
+           order=None, strategy: str = "auto"):
     return merge_by_key(harmonization_map or env.hmap, _datasets_arg(env, data_folder_path),
                         merge_key_canonical_name, order=order, strategy=strategy)
 
