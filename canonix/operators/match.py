@@ -102,37 +102,73 @@ def name_pairs(catalog: DataFrame) -> DataFrame:
     return g.select("col_a", "col_b", (F.col("st") / (F.col("na") + F.col("nb") - F.col("st"))).alias("name_score"))
 
 
-def distinct_values(datasets: Mapping[str, DataFrame], catalog_rows: list) -> DataFrame:
-    """Distinct ``(col_id, value)`` over every basic column (values as text)."""
+_WORD = 62  # column bits per bigint word (keeps every mask positive)
+
+
+def _basic_columns(catalog_rows: list) -> list:
+    """Columns taking part in value overlap, in ``col_id`` order (their bit index)."""
+    return sorted((r for r in catalog_rows if r["family"] is not None), key=lambda r: r["col_id"])
+
+
+def value_rows(datasets: Mapping[str, DataFrame], catalog_rows: list) -> DataFrame:
+    """``(value, w0..wk)`` per non-null cell: the cell's column as one bit of a bigint mask."""
+    cols = _basic_columns(catalog_rows)
+    words = max(1, -(-len(cols) // _WORD))
     parts = []
     by_ds: dict[str, list] = {}
-    for r in catalog_rows:
-        if r["family"] is not None:
-            by_ds.setdefault(r["dataset"], []).append(r)
-    for ds, cols in by_ds.items():
-        df = datasets[ds]
-        entries = F.array(*[
-            F.struct(F.lit(r["col_id"]).alias("col_id"), F.col(quote(r["column_name"])).cast("string").alias("value"))
-            for r in cols
-        ])
-        parts.append(df.select(F.inline(entries)))
+    for idx, r in enumerate(cols):
+        by_ds.setdefault(r["dataset"], []).append((idx, r))
+    for ds, items in by_ds.items():
+        entries = []
+        for idx, r in items:
+            ws = ", ".join(
+                f"'w{j}', {('CAST(1 AS BIGINT) << ' + str(idx % _WORD)) if j == idx // _WORD else 'CAST(0 AS BIGINT)'}"
+                for j in range(words))
+            entries.append(f"named_struct('value', CAST({quote(r['column_name'])} AS STRING), {ws})")
+        parts.append(datasets[ds].selectExpr(f"inline(array({', '.join(entries)}))"))
     longv = reduce(lambda x, y: x.union(y), parts)
-    return longv.where(F.col("value").isNotNull()).distinct()
+    return longv.where(F.col("value").isNotNull())
+
+
+def signatures(datasets: Mapping[str, DataFrame], catalog_rows: list) -> DataFrame:
+    """``(sig array<string>, cnt)``: how many distinct values exactly this set of columns holds.
+
+    Grouping by value ORs the column bits (``bit_or`` is combined per task
+    before the shuffle, so a value repeated in a third of all rows is one row
+    per task); counting per mask then leaves at most one row per distinct
+    column set. Masks are decoded to column ids only on that small table.
+    """
+    cols = _basic_columns(catalog_rows)
+    words = max(1, -(-len(cols) // _WORD))
+    wnames = [f"w{j}" for j in range(words)]
+    by_value = value_rows(datasets, catalog_rows).groupBy("value").agg(
+        *[F.bit_or(w).alias(w) for w in wnames])
+    masks = by_value.groupBy(*wnames).agg(F.count(F.lit(1)).alias("cnt"))
+    ids = ", ".join(_sql_str(r["col_id"]) for r in cols)
+    decoded = " , ".join(
+        f"transform(filter(sequence(0, {_WORD - 1}), i -> ((w{j} >> i) & 1) = 1), i -> i + {j * _WORD})"
+        for j in range(words))
+    return masks.selectExpr(
+        f"transform(concat({decoded}), i -> element_at(array({ids}), i + 1)) AS sig", "cnt")
+
+
+def _sql_str(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def value_overlap(datasets: Mapping[str, DataFrame], catalog: DataFrame) -> DataFrame:
     """Shared distinct values per column pair of different datasets and the same family.
 
     ``(col_a, col_b, shared, distinct_a, distinct_b, jaccard, containment)``.
+    Distinct counts per column and shared counts per pair both come from the
+    signature table; column pairs are derived only there.
     """
     cat_rows = catalog.collect()  # schema metadata: one row per column
-    dv = distinct_values(datasets, cat_rows)
-    nd = dv.groupBy("col_id").agg(F.count(F.lit(1)).alias("n_distinct"))
-    sig = dv.groupBy("value").agg(F.array_sort(F.collect_set("col_id")).alias("sig")).where(F.size("sig") > 1)
-    sig_counts = sig.groupBy("sig").agg(F.count(F.lit(1)).alias("cnt"))
-    # pairs from the (small) signature table only
+    sig_counts = signatures(datasets, cat_rows)
     pos = sig_counts.select("sig", "cnt", F.posexplode("sig").alias("i", "ca"))
-    pairs = pos.select("cnt", "ca", F.explode(F.slice(F.col("sig"), F.col("i") + 2, F.size("sig"))).alias("cb"))
+    nd = pos.groupBy(F.col("ca").alias("col_id")).agg(F.sum("cnt").alias("n_distinct"))
+    pairs = pos.where(F.size("sig") > 1).select(
+        "cnt", "ca", F.explode(F.slice(F.col("sig"), F.col("i") + 2, F.size("sig"))).alias("cb"))
     shared = pairs.groupBy(F.col("ca").alias("col_a"), F.col("cb").alias("col_b")).agg(
         F.sum("cnt").alias("shared"))
     meta = catalog.select("col_id", "dataset", "family")
