@@ -564,7 +564,9 @@ def _sink_csv_roundtrip(spark, sf):
 
 def _workbook_folder_scan(spark, sf):
     c = _read(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
-    binary = workbooks.encode_partitions(c.repartition(4, "c_nationkey"), "customer")
+    # one workbook per range of keys, at most ~50k rows each (a sheet is bounded)
+    n_books = max(1, -(-c.count() // 50_000))
+    binary = workbooks.encode_partitions(c.repartitionByRange(n_books, "c_custkey"), "customer")
     rows = workbooks.decode_workbooks(binary)
     header = c.columns
     return workbooks.typed_table(rows, header).drop("row_no")

@@ -86,7 +86,7 @@ def hadoop_rename(spark: SparkSession, src: str, dst: str) -> bool:
     d = jvm.org.apache.hadoop.fs.Path(dst)
     fs = s.getFileSystem(conf)
     if fs.exists(d):
-        fs.delete(d, True)
+        raise FileExistsError(f"rename target exists: {dst}")
     return fs.rename(s, d)
 
 
