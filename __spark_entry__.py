@@ -300,7 +300,7 @@ def _dataset_profile(spark, sf):
 def _report(spark, sf):
     ds = _load(spark, sf)
     ds["orders.parquet"] = _orders_with_nulls(spark, sf)
-    cols, dsp = pf.dataset_profile(ds, order_by={n: [df.columns[0]] for n, df in ds.items()})
+    cols, dsp = pf.dataset_profile(ds, samples=False)
     return rp.harmonization_report(testdata_map().to_long_df(spark), cols, dsp)
 
 
@@ -316,6 +316,14 @@ def _feature_context(spark, sf):
     return rp.feature_context(_report(spark, sf))
 
 
+def _map_long(spark, sf):
+    """The v2 document produced from the data, normalized to the long table by the Spark reader."""
+    from canonix.model import map_long_from_text
+
+    doc = _report(spark, sf).select(F.to_json(F.struct("harmonization_details", "dataset_info")).alias("value"))
+    return map_long_from_text(doc)
+
+
 def _map_roundtrip(spark, sf):
     path = scratch_path(spark, "map") + "/harmonization_map.json"
     rp.write_map_json(_report(spark, sf), path)
@@ -635,6 +643,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dataset_profile": _dataset_profile,
         "harmonization_report": _harmonization_report,
         "feature_context": _feature_context,
+        "map_long": _map_long,
         "map_roundtrip": _map_roundtrip,
         "match_columns_overlap": _match_columns_overlap,
         "match_columns_name": _match_columns_name,
@@ -893,6 +902,7 @@ def oracle_sql() -> dict[str, str]:
         "dataset_profile": " UNION ALL ".join(prof_cols),
         "harmonization_report": _report_rows_sql(False),
         "feature_context": " UNION ALL ".join(feat_lines + ds_lines),
+        "map_long": _report_rows_sql(True),
         "map_roundtrip": _report_rows_sql(True),
         "match_columns_overlap": _overlap_sql(),
         "steps_merge_filter": f"SELECT * FROM ({_merge_sql(_ds('lineitem', 'orders'), 'order_key')}) "

@@ -127,32 +127,44 @@ def rows_as_json(df: DataFrame) -> DataFrame:
 
 def dataset_profile(datasets: Mapping[str, DataFrame], sample_rows: int = 5,
                     order_by: Mapping[str, Sequence[str]] | None = None,
-                    metadata: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+                    metadata: DataFrame | None = None, samples: bool = True) -> tuple[DataFrame, DataFrame]:
     """Profile of every dataset (A8): ``(column_profile, dataset_profile)``.
 
     column_profile: ``dataset, position, column_name, data_type, null_count,
     unique_sample``. dataset_profile: ``dataset, rows, cols, sample_json,
-    metadata``. The unique sample follows the reference: unique values within
-    the head sample.
+    metadata``. Row count and null counts share one aggregate per dataset.
+    The unique sample follows the reference (unique values within the head
+    sample); ``samples=False`` skips the head samples (e.g. for the report,
+    which only needs types, null counts and shapes).
     """
     col_parts, ds_parts = [], []
     for name, df in datasets.items():
         ob = (order_by or {}).get(name)
+        fields = df.schema.fields
         types = df.sparkSession.createDataFrame(
-            [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)],
+            [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(fields)],
             "position int, column_name string, data_type string",
         )
         nc = null_counts(df, name)
-        us = unique_sample_head(df, sample_rows, ob, name).select("position", F.col("values").alias("unique_sample"))
-        col_parts.append(
-            nc.join(types, ["position", "column_name"]).join(us, "position", "left").select(
-                "dataset", "position", "column_name", "data_type", "null_count", "unique_sample")
-        )
-        sj = sample_json_records(df, sample_rows, ob).withColumn("dataset", F.lit(name))
-        sh = shape(df, name)
-        ds_parts.append(
-            sh.join(sj, "dataset", "left").select("dataset", "rows", "cols", F.col("records").alias("sample_json"))
-        )
+        cp = nc.join(F.broadcast(types), ["position", "column_name"])
+        if samples:
+            us = unique_sample_head(df, sample_rows, ob, name).select(
+                "position", F.col("values").alias("unique_sample"))
+            cp = cp.join(us, "position", "left")
+        else:
+            cp = cp.withColumn("unique_sample", F.lit(None).cast("array<string>"))
+        col_parts.append(cp.select("dataset", "position", "column_name", "data_type", "null_count",
+                                   "unique_sample"))
+        if fields:
+            sh = nc.groupBy("dataset").agg(F.max("rows").alias("rows")).withColumn("cols", F.lit(len(fields)))
+        else:
+            sh = shape(df, name)
+        if samples:
+            sj = sample_json_records(df, sample_rows, ob).withColumn("dataset", F.lit(name))
+            sh = sh.join(sj, "dataset", "left").withColumnRenamed("records", "sample_json")
+        else:
+            sh = sh.withColumn("sample_json", F.lit(None).cast("string"))
+        ds_parts.append(sh.select("dataset", "rows", "cols", "sample_json"))
     col_profile = col_parts[0]
     for p in col_parts[1:]:
         col_profile = col_profile.unionByName(p)

@@ -22,7 +22,7 @@ from canonix.operators.report import harmonization_report
 def harmonize(datasets: Mapping[str, DataFrame], metadata: DataFrame | None = None,
               cfg: MatchConfig | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(report, column_profile, map_long)`` for a set of datasets."""
-    col_prof, ds_prof = dataset_profile(datasets, metadata=metadata)
+    col_prof, ds_prof = dataset_profile(datasets, metadata=metadata, samples=False)
     map_long = match_columns(datasets, cfg)
     report = harmonization_report(map_long, col_prof, ds_prof)
     return report, col_prof, map_long
