@@ -210,6 +210,9 @@ def score_pairs(datasets: Mapping[str, DataFrame], catalog: DataFrame, cfg: Matc
 def connected_components(vertices: DataFrame, edges: DataFrame, cfg: MatchConfig | None = None) -> DataFrame:
     """``(id, component)`` with component = smallest id reachable (min-label propagation)."""
     cfg = cfg or MatchConfig()
+    from canonix.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(vertices.sparkSession)  # the cluster's shared folder (set locally only if absent)
     und = edges.select(F.col("src"), F.col("dst")).union(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     labels = vertices.select(F.col("id"), F.col("id").alias("label"))
     for rnd in range(cfg.max_rounds):
@@ -232,6 +235,9 @@ def match_columns(datasets: Mapping[str, DataFrame], cfg: MatchConfig | None = N
     catalog = column_catalog(spark, datasets)
     # Accepted edges are computed once (one pass over the data) and written to the
     # checkpoint folder, so the component rounds below never re-run the scans.
+    from canonix.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
     edges = score_pairs(datasets, catalog, cfg).where("accepted").select(
         F.col("col_a").alias("src"), F.col("col_b").alias("dst")).checkpoint()
     comps = connected_components(catalog.select(F.col("col_id").alias("id")), edges, cfg)
