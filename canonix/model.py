@@ -217,11 +217,13 @@ def _feature(obj: dict) -> Feature:
 def read_map_text(spark: SparkSession, path: str) -> str:
     """Read a map document's text. The document is a bounded metadata file."""
     try:
-        rows = spark.read.text(path, wholetext=True).collect()
+        rows = spark.read.text(path, wholetext=True).limit(2).collect()  # one small document
     except Exception as e:  # AnalysisException for a missing path
         raise MapLoadError(f"map not found at {path}: {e}") from e
     if not rows:
         raise MapLoadError(f"map at {path} is empty")
+    if len(rows) > 1:
+        raise MapLoadError(f"{path} holds more than one document; pass the map file itself")
     return rows[0][0]
 
 
