@@ -164,7 +164,12 @@ def value_overlap(datasets: Mapping[str, DataFrame], catalog: DataFrame) -> Data
     signature table; column pairs are derived only there.
     """
     cat_rows = catalog.collect()  # schema metadata: one row per column
-    sig_counts = signatures(datasets, cat_rows)
+    from canonix.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(catalog.sparkSession)
+    # The heavy pass runs once: its small result is written to the shared
+    # checkpoint folder and both uses below read it back.
+    sig_counts = signatures(datasets, cat_rows).checkpoint()
     pos = sig_counts.select("sig", "cnt", F.posexplode("sig").alias("i", "ca"))
     nd = pos.groupBy(F.col("ca").alias("col_id")).agg(F.sum("cnt").alias("n_distinct"))
     pairs = pos.where(F.size("sig") > 1).select(

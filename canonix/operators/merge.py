@@ -183,25 +183,33 @@ def merge_by_key(
         raise ValueError(f"unknown merge strategy {strategy!r}")
     skew = skew or SkewConfig()
     types = feature_types(hmap, {n: datasets[n] for n in names})
-    keyed, out_cols = _renamed_parts(hmap, datasets, names, key, prune_null, "not_null", types)
-    null_rows, _ = _renamed_parts(hmap, datasets, names, key, prune_null, "null", types)
-    if key_filter is not None:
-        keyed = [p.where(key_filter) for p in keyed]
-        null_rows = [p.where(key_filter) for p in null_rows]
-    hot = find_hot_keys(keyed, key, skew) if skew.enabled else []
+    if strategy == "chain":
+        # one scan per dataset: null keys ride along (a null key never matches,
+        # so each null-key row comes out once)
+        parts, out_cols = _renamed_parts(hmap, datasets, names, key, prune_null, None, types)
+        if key_filter is not None:
+            parts = [p.where(key_filter) for p in parts]
+        keyed, null_rows = parts, []
+    else:
+        keyed, out_cols = _renamed_parts(hmap, datasets, names, key, prune_null, "not_null", types)
+        null_rows, _ = _renamed_parts(hmap, datasets, names, key, prune_null, "null", types)
+        if key_filter is not None:
+            keyed = [p.where(key_filter) for p in keyed]
+            null_rows = [p.where(key_filter) for p in null_rows]
+        parts = keyed
+    hot = find_hot_keys(parts, key, skew) if skew.enabled else []
     branches = []
     if hot:
-        key_type = keyed[0].schema[key].dataType
-        hot_df = F.broadcast(_hot_key_frame(keyed[0], key, key_type, [h[0] for h in hot]))
-        normal = [p.join(hot_df, on=key, how="left_anti") for p in keyed]
-        branches.append(_salted_branch(keyed, key, key_type, hot, skew))
+        key_type = parts[0].schema[key].dataType
+        hot_df = F.broadcast(_hot_key_frame(parts[0], key, key_type, [h[0] for h in hot]))
+        # null keys survive the anti join (null never equals a hot key)
+        normal = [p.join(hot_df, on=key, how="left_anti") for p in parts]
+        branches.append(_salted_branch(parts, key, key_type, hot, skew))
     else:
-        normal = keyed
+        normal = parts
     if strategy == "chain":
-        # nulls ride along: a null key never matches, so each null-key row comes out once
-        parts = [k.unionByName(n) for k, n in zip(normal, null_rows)]
-        merged = parts[0]
-        for p in parts[1:]:
+        merged = normal[0]
+        for p in normal[1:]:
             merged = merged.join(p, on=key, how="full")
         branches.insert(0, merged)
     else:
@@ -272,7 +280,7 @@ def find_hot_keys(keyed: list[DataFrame], key: str, skew: SkewConfig) -> list[tu
     f = min(1.0, max(skew.detect_fraction, 1e-6))
     stats = key_counts(keyed, key, f)
     counts = [F.ceil(F.col(f"n{i}") / F.lit(f)).cast("bigint").alias(f"n{i}") for i in range(n)]
-    est = stats.select(F.col(_KEY_TMP), *counts)
+    est = stats.where(F.col(_KEY_TMP).isNotNull()).select(F.col(_KEY_TMP), *counts)
     cols = [F.col(f"n{i}") for i in range(n)]
     biggest = F.greatest(*cols) if n > 1 else cols[0]
     out = _product(cols)
