@@ -103,3 +103,20 @@ def test_actions_require_arguments(spark):
                      key="order_key", order=["orders.parquet", "lineitem.parquet"])
     assert got.count() == 7
     assert run_action("unique_values", env.hmap, env.datasets, canonical_feature="status").count() == 3
+
+
+def test_cli_merge_filter_and_generated_map(spark, tmpdir_path, capsys):
+    from canonix.__main__ import main
+
+    d = tmpdir_path
+    spark.createDataFrame([(1, "x"), (2, "y")], "id bigint, name string").write.option("header", True).csv(
+        f"{d}/data/a.csv")
+    spark.createDataFrame([(1, "p"), (3, "q")], "id bigint, name string").write.option("header", True).csv(
+        f"{d}/data/b.csv")
+    # no map yet: it is generated from the folder, then the merge runs on the matched key
+    assert main([f"{d}/map.json", f"{d}/data", "--action", "merge", "--canonical_feature", "id"]) == 0
+    out = capsys.readouterr().out
+    assert "shape: (3, 3)" in out
+    assert main([f"{d}/map.json", f"{d}/data", "--action", "unique_values", "--canonical_feature", "name",
+                 "--output", f"{d}/names"]) == 0
+    assert sorted(r.value for r in spark.read.text(f"{d}/names").collect()) == ["p", "q", "x", "y"]
