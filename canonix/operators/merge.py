@@ -197,14 +197,12 @@ def merge_by_key(
             keyed = [p.where(key_filter) for p in keyed]
             null_rows = [p.where(key_filter) for p in null_rows]
         parts = keyed
-    hot = find_hot_keys(parts, key, skew) if skew.enabled else []
+    hot = find_hot_keys(parts, key, skew) if skew.enabled else None
     branches = []
-    if hot:
-        key_type = parts[0].schema[key].dataType
-        hot_df = F.broadcast(_hot_key_frame(parts[0], key, key_type, [h[0] for h in hot]))
+    if hot is not None:
         # null keys survive the anti join (null never equals a hot key)
-        normal = [p.join(hot_df, on=key, how="left_anti") for p in parts]
-        branches.append(_salted_branch(parts, key, key_type, hot, skew))
+        normal = [p.join(F.broadcast(hot.select(key)), on=key, how="left_anti") for p in parts]
+        branches.append(_salted_branch(parts, key, hot, skew))
     else:
         normal = parts
     if strategy == "chain":
@@ -270,32 +268,37 @@ def merge_row_count(parts: list[DataFrame], key: str) -> DataFrame:
     return stats.agg(F.sum(per_key).cast("bigint").alias("rows"))
 
 
-def find_hot_keys(keyed: list[DataFrame], key: str, skew: SkewConfig) -> list[tuple]:
-    """Keys too heavy for one task, heaviest first, at most ``max_hot_keys``.
+def find_hot_keys(keyed: list[DataFrame], key: str, skew: SkewConfig) -> DataFrame | None:
+    """Keys too heavy for one task, heaviest first: ``(key, n0, n1, ...)`` or ``None``.
 
-    The result is bounded by construction (``limit``), so collecting it and
-    broadcasting it is safe at any data size.
+    At most ``max_hot_keys`` rows by construction (``limit``): the table is
+    collected (one job over the key columns) and turned back into a small
+    DataFrame, which is what makes broadcasting it safe at any data size.
     """
     n = len(keyed)
     f = min(1.0, max(skew.detect_fraction, 1e-6))
     stats = key_counts(keyed, key, f)
     counts = [F.ceil(F.col(f"n{i}") / F.lit(f)).cast("bigint").alias(f"n{i}") for i in range(n)]
-    est = stats.where(F.col(_KEY_TMP).isNotNull()).select(F.col(_KEY_TMP), *counts)
+    est = stats.where(F.col(_KEY_TMP).isNotNull()).select(F.col(_KEY_TMP).alias(key), *counts)
     cols = [F.col(f"n{i}") for i in range(n)]
     biggest = F.greatest(*cols) if n > 1 else cols[0]
     out = _product(cols)
     weight = F.greatest(biggest.cast("double") / skew.input_rows, out / skew.output_rows)
     hot = est.where(weight > 1.0).orderBy(weight.desc()).limit(skew.max_hot_keys)
-    return [tuple(r) for r in hot.collect()]
+    rows = hot.collect()
+    if not rows:
+        return None
+    import pandas as pd
 
-
-def _hot_key_frame(like: DataFrame, key: str, key_type: T.DataType, keys: list) -> DataFrame:
-    spark = like.sparkSession
-    return spark.createDataFrame([(k,) for k in keys], T.StructType([T.StructField(key, key_type, False)]))
+    pdf = pd.DataFrame([tuple(r) for r in rows], columns=hot.columns)
+    return keyed[0].sparkSession.createDataFrame(pdf, schema=hot.schema)  # Arrow path, bounded size
 
 
 def _split(a: int, b: int, skew: SkewConfig) -> tuple[int, int]:
-    """Groups per side for one key: bounded input per cell and output per cell."""
+    """Groups per side for one key: bounded input per cell and output per cell.
+
+    Reference form of :func:`_split_cols` (same rule on Python numbers).
+    """
     if b == 0:
         return 1, 1
     sa = max(1, math.ceil(a / skew.input_rows))
@@ -307,30 +310,34 @@ def _split(a: int, b: int, skew: SkewConfig) -> tuple[int, int]:
     return int(min(sa, skew.max_salt, a)), int(min(sb, skew.max_salt, b))
 
 
-def _salted_branch(keyed: list[DataFrame], key: str, key_type: T.DataType, hot: list[tuple], skew: SkewConfig
-                   ) -> DataFrame:
-    spark = keyed[0].sparkSession
-    n = len(keyed)
-    hot_keys = [h[0] for h in hot]
-    hot_df = _hot_key_frame(keyed[0], key, key_type, hot_keys)
-    plan_schema = T.StructType(
-        [T.StructField(key, key_type, False), T.StructField("__sa_n", T.IntegerType(), False),
-         T.StructField("__sb_n", T.IntegerType(), False)]
-    )
-    acc = hot_df
+def _split_cols(a: Column, b: Column, skew: SkewConfig) -> tuple[Column, Column]:
+    """:func:`_split` as column expressions over the (small) hot-key table."""
+    a, b = a.cast("double"), b.cast("double")
+    sa0 = F.greatest(F.lit(1.0), F.ceil(a / skew.input_rows).cast("double"))
+    sb0 = F.greatest(F.lit(1.0), F.ceil(b / skew.input_rows).cast("double"))
+    need = a * b / skew.output_rows
+    grow = sa0 * sb0 < need
+    sa1 = F.when(grow, F.greatest(sa0, F.ceil(F.sqrt(need * a / b)).cast("double"))).otherwise(sa0)
+    sb1 = F.when(grow, F.greatest(sb0, F.ceil(F.sqrt(need * b / a)).cast("double"))).otherwise(sb0)
+    sa = F.least(sa1, F.lit(float(skew.max_salt)), a)
+    sb = F.least(sb1, F.lit(float(skew.max_salt)), b)
+    zero = b <= 0
+    return (F.when(zero, 1).otherwise(sa.cast("int")), F.when(zero, 1).otherwise(sb.cast("int")))
+
+
+def _salted_branch(keyed: list[DataFrame], key: str, hot: DataFrame, skew: SkewConfig) -> DataFrame:
+    hot_keys = F.broadcast(hot.select(key))
+    acc = hot_keys
     rid_cols: list[str] = []
     for i, p in enumerate(keyed):
-        plan_rows = []
-        for h in hot:
-            counts = [int(c) for c in h[1:]]
-            a = math.prod(max(1, c) for c in counts[:i])
-            plan_rows.append((h[0], *_split(a, counts[i], skew)))
-        plan = F.broadcast(spark.createDataFrame(plan_rows, plan_schema))
+        a = _product([F.col(f"n{j}") for j in range(i)]) if i else F.lit(1.0)
+        sa, sb = _split_cols(a, F.col(f"n{i}"), skew)
+        plan = F.broadcast(hot.select(key, sa.alias("__sa_n"), sb.alias("__sb_n")))  # bounded by max_hot_keys
         rid = f"__rid{i}"
         # Row ids taken right after the scan are stable across task retries and
         # keep identical copies of a row apart when salting.
         right = (
-            p.join(F.broadcast(hot_df), on=key, how="left_semi")
+            p.join(hot_keys, on=key, how="left_semi")
             .withColumn(rid, F.monotonically_increasing_id())
             .join(plan, on=key)
             .withColumn("__sb", F.pmod(F.xxhash64(F.col(rid)), F.col("__sb_n")).cast("int"))

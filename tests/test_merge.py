@@ -126,3 +126,33 @@ def test_user_filter_on_spine_key_reaches_scans(spark):
     plan = m._jdf.queryExecution().executedPlan().toString()
     for c in ("c_nationkey", "s_nationkey", "n_nationkey"):
         assert f"EqualTo({c},7)" in plan
+
+
+@pytest.mark.parametrize("strategy", ["chain", "spine"])
+def test_sampled_detection_stays_exact(spark, strategy):
+    ds = _rand_tables(spark, 11, n=80, keys=3)
+    plain = merge_by_key(MAP, ds, "k", strategy=strategy, skew=SkewConfig(enabled=False))
+    sampled = merge_by_key(MAP, ds, "k", strategy=strategy,
+                           skew=SkewConfig(input_rows=2, output_rows=3, max_salt=4, detect_fraction=0.3))
+    assert rows(plain) == rows(sampled)
+
+
+def test_chain_with_salted_hot_keys(spark):
+    ds = _rand_tables(spark, 12, n=60, keys=3)
+    plain = merge_by_key(MAP, ds, "k", strategy="spine", skew=SkewConfig(enabled=False))
+    salted = merge_by_key(MAP, ds, "k", strategy="chain",
+                          skew=SkewConfig(input_rows=2, output_rows=3, max_salt=4, detect_fraction=1.0))
+    assert rows(plain) == rows(salted)
+
+
+def test_split_rule_expressions_match_python(spark):
+    from pyspark.sql import functions as F
+
+    from canonix.operators.merge import _split, _split_cols
+
+    skew = SkewConfig(input_rows=10, output_rows=50, max_salt=6)
+    cases = [(1, 0), (1, 5), (1, 100), (30, 7), (500, 500), (3, 2000), (1000, 1)]
+    df = spark.createDataFrame(cases, "a bigint, b bigint")
+    sa, sb = _split_cols(F.col("a"), F.col("b"), skew)
+    got = {(r.a, r.b): (r.sa, r.sb) for r in df.select("a", "b", sa.alias("sa"), sb.alias("sb")).collect()}
+    assert got == {c: _split(*c, skew) for c in cases}
