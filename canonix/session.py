@@ -58,19 +58,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/canonix-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def local_fs_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python can touch a local path (tests only)."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
-
-
 def hadoop_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop FileSystem, so it works for any shared store."""
     jvm = spark.sparkContext._jvm
