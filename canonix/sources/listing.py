@@ -79,15 +79,19 @@ def sidecar_pairing(spark: SparkSession, folder: str, datasets: DataFrame | None
     A sidecar is a top-level file with the dataset's base name and one of the
     metadata extensions; the first extension in precedence order wins.
     """
+    from canonix.session import hadoop_list
+
     inv = datasets if datasets is not None else folder_inventory(spark, folder).where(F.col("kind") == "tabular")
-    glob = "*.{" + ",".join(e.lstrip(".") for e in METADATA_EXTENSIONS) + "}"
-    texts = (
-        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob)
-        .text(folder, wholetext=True)
-        .select(F.col("value").alias("metadata_text"), F.col("_metadata.file_path").alias("path"))
-    )
-    rel = _relative(F.col("path"), folder)
-    texts = texts.where(~F.contains(rel, F.lit("/")))  # top-level files only
+    # Only top-level files can be sidecars: take their names from one listing of
+    # the folder, so text files nested inside dataset folders are never read.
+    paths = [p for p, is_file in hadoop_list(spark, folder)
+             if is_file and any(p.endswith(e) for e in METADATA_EXTENSIONS)]
+    tab = inv.select("dataset", base_name(F.col("dataset")).alias("base"))
+    if not paths:
+        return tab.select("dataset", F.lit(None).cast("string").alias("metadata_file"),
+                          F.lit(None).cast("string").alias("metadata_text"))
+    texts = spark.read.text(paths, wholetext=True).select(
+        F.col("value").alias("metadata_text"), F.col("_metadata.file_path").alias("path"))
     rank = F.array_position(F.array(*[F.lit(e) for e in METADATA_EXTENSIONS]), extension(F.col("path")))
     texts = texts.select(
         base_name(F.col("path")).alias("base"),
@@ -97,6 +101,5 @@ def sidecar_pairing(spark: SparkSession, folder: str, datasets: DataFrame | None
     ).where(F.col("rank") > 0)
     best = texts.groupBy("base").agg(
         F.min_by(F.struct("metadata_file", "metadata_text"), F.col("rank")).alias("m"))
-    tab = inv.select("dataset", base_name(F.col("dataset")).alias("base"))
     return tab.join(best, "base", "left").select(
         "dataset", F.col("m.metadata_file").alias("metadata_file"), F.col("m.metadata_text").alias("metadata_text"))

@@ -36,8 +36,15 @@ def read_csv(
     schema: T.StructType | str | None = None,
     corrupt_column: str | None = None,
     infer: bool = True,
+    sampling_ratio: float | None = None,
 ) -> DataFrame:
-    """Tolerant CSV scan (S1): bad cells become null instead of failing the job."""
+    """Tolerant CSV scan (S1): bad cells become null instead of failing the job.
+
+    Without a schema, types are inferred over all rows (one extra pass);
+    ``sampling_ratio`` infers from a fraction instead, and a cell that does not
+    fit the inferred type then reads as null, as with a prefix-inferring reader.
+    A declared schema (``declared_schema_for``) avoids the pass entirely.
+    """
     r = spark.read.option("header", True).option("mode", "PERMISSIVE")
     if schema is not None:
         if corrupt_column:
@@ -48,6 +55,8 @@ def read_csv(
             r = r.schema(schema)
     elif infer:
         r = r.option("inferSchema", True)
+        if sampling_ratio is not None:
+            r = r.option("samplingRatio", sampling_ratio)
     return r.csv(path)
 
 
@@ -84,11 +93,12 @@ def declared_schema_for(hmap: HarmonizationMap, dataset: str, header: Sequence[s
     return T.StructType([T.StructField(h, by_col.get(h, T.StringType())) for h in header])
 
 
-def read_dataset(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
+def read_dataset(spark: SparkSession, path: str, schema: T.StructType | None = None,
+                 sampling_ratio: float | None = None) -> DataFrame | None:
     """Read one dataset by extension; ``None`` for an unsupported extension."""
     ext = extension_of(path)
     if ext == ".csv":
-        return read_csv(spark, path, schema)
+        return read_csv(spark, path, schema, sampling_ratio=sampling_ratio)
     if ext == ".parquet":
         return spark.read.parquet(path)
     if ext == ".xlsx":
@@ -98,7 +108,7 @@ def read_dataset(spark: SparkSession, path: str, schema: T.StructType | None = N
     return None
 
 
-def load_folder(spark: SparkSession, folder: str, strict: bool = False
+def load_folder(spark: SparkSession, folder: str, strict: bool = False, sampling_ratio: float | None = None
                 ) -> tuple[dict[str, DataFrame], list[tuple[str, str]]]:
     """Every tabular dataset directly under ``folder``: ``({name: df}, [(name, reason)])``.
 
@@ -119,7 +129,7 @@ def load_folder(spark: SparkSession, folder: str, strict: bool = False
             skipped.append((name, f"unsupported extension {ext or '(none)'}"))
             continue
         try:
-            df = read_dataset(spark, path)
+            df = read_dataset(spark, path, sampling_ratio=sampling_ratio)
             _ = df.schema  # resolve now so an unreadable file is reported here
             out[name] = df
         except Exception as e:  # noqa: BLE001

@@ -33,3 +33,25 @@ def test_scope_any(spark):
                               "k int, status string, status_from_b_csv string")
     assert [r.k for r in filter_by_value(m, "status", "F").collect()] == [1]
     assert sorted(r.k for r in filter_by_value(m, "status", "F", scope="any").collect()) == [1, 2]
+
+
+def test_typed_filter_property(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    data = [(v,) for v in (-(2 ** 63), -129, -1, 0, 1, 7, 10, 127, 2 ** 31, 2 ** 63 - 1)] + [(None,)]
+    df = spark.createDataFrame(data, "b bigint").cache()
+    texts = st.one_of(
+        st.integers(min_value=-(2 ** 64), max_value=2 ** 64).map(str),
+        st.sampled_from(["007", "-0", "+1", " 1", "1 ", "1.0", "", "1e3", "0x10", "٣"]),
+        st.text(alphabet="-0123456789", max_size=4),
+    )
+
+    @settings(max_examples=25, deadline=None)
+    @given(texts)
+    def check(value):
+        typed = sorted(r.b for r in filter_by_value(df, "b", value).collect())
+        text = sorted(r.b for r in df.where(F.col("b").cast("string") == F.lit(value)).collect())
+        assert typed == text
+
+    check()
