@@ -28,6 +28,21 @@ def harmonize(datasets: Mapping[str, DataFrame], metadata: DataFrame | None = No
     return report, col_prof, map_long
 
 
+def harmonize_folder(spark: SparkSession, folder: str, cfg: MatchConfig | None = None
+                     ) -> tuple[DataFrame, DataFrame, DataFrame, list[tuple[str, str]]]:
+    """W6 end to end: load every tabular dataset of a folder, pair sidecar metadata,
+    profile, match and report. Returns ``(report, column_profile, map_long, skipped)``."""
+    from canonix.sources.listing import sidecar_pairing
+    from canonix.sources.tables import load_folder
+
+    datasets, skipped = load_folder(spark, folder)
+    if not datasets:
+        raise ValueError(f"no readable tabular dataset under {folder}")
+    meta = sidecar_pairing(spark, folder)
+    report, col_prof, map_long = harmonize(datasets, metadata=meta, cfg=cfg)
+    return report, col_prof, map_long, skipped
+
+
 def ensure_map(spark: SparkSession, datasets: Mapping[str, DataFrame], map_path: str,
                cfg: MatchConfig | None = None) -> HarmonizationMap:
     """Load the map, generating and writing it (v2 document) when it does not exist."""

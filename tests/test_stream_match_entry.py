@@ -43,3 +43,23 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() >= 0 and "nation_key" in df.columns
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_harmonize_folder(spark, tmpdir_path):
+    from canonix.plans.pipeline import harmonize_folder
+
+    d = tmpdir_path
+    spark.createDataFrame([(1, "a"), (2, "b")], "a_id bigint, a_name string").write.option("header", True).csv(
+        f"{d}/a.csv")
+    spark.createDataFrame([(2, "b"), (3, "c")], "b_id bigint, b_name string").write.option("header", True).csv(
+        f"{d}/b.csv")
+    with open(f"{d}/a.md", "w") as f:
+        f.write("notes")
+    report, cols, map_long, skipped = harmonize_folder(spark, d)
+    groups = {}
+    for r in map_long.collect():
+        groups.setdefault(r.canonical_name, set()).add((r.dataset, r.column_name))
+    assert {("a.csv", "a_id"), ("b.csv", "b_id")} in groups.values()
+    rep = report.collect()[0]
+    assert rep.dataset_info["a.csv"].shape == [2, 2]
+    assert skipped == [("a.md", "unsupported extension .md")]
