@@ -90,16 +90,37 @@ def column_catalog(spark: SparkSession, datasets: Mapping[str, DataFrame]) -> Da
     return spark.createDataFrame(rows, schema)
 
 
-def name_pairs(catalog: DataFrame) -> DataFrame:
-    """Token-Jaccard scores for column pairs of different datasets sharing a token."""
-    tok = catalog.select("col_id", "dataset", "family", F.size("tokens").alias("nt"),
-                         F.explode(F.array_distinct("tokens")).alias("token"))
-    a, b = tok.alias("a"), tok.alias("b")
-    shared = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.dataset") < F.col("b.dataset"))
-                    & (F.col("a.family") == F.col("b.family")))
-    g = shared.groupBy(F.col("a.col_id").alias("col_a"), F.col("b.col_id").alias("col_b"),
-                       F.col("a.nt").alias("na"), F.col("b.nt").alias("nb")).agg(F.count(F.lit(1)).alias("st"))
-    return g.select("col_a", "col_b", (F.col("st") / (F.col("na") + F.col("nb") - F.col("st"))).alias("name_score"))
+def name_pairs(catalog: DataFrame, edit_threshold: float = 0.85) -> DataFrame:
+    """Name scores for column pairs of different datasets and the same family.
+
+    Candidates share a name token or a character trigram of the compact name
+    key (an equi-join, never a cross join). Score = the larger of the token
+    Jaccard and the edit similarity ``1 - levenshtein / longer length`` when the
+    latter reaches ``edit_threshold`` (``drug_id`` ~ ``drugid``, but not
+    ``nationkey`` ~ ``regionkey``).
+    """
+    base = catalog.select("col_id", "dataset", "family", "tokens",
+                          F.regexp_replace("name_key", "_", "").alias("compact"))
+    grams = base.select(
+        "col_id", "dataset", "family",
+        F.explode(F.array_union(
+            F.array_distinct("tokens"),
+            F.expr("transform(sequence(1, greatest(length(compact) - 2, 1)), i -> concat('#', substring(compact, i, 3)))"),
+        )).alias("g"),
+    )
+    a, b = grams.alias("a"), grams.alias("b")
+    cand = a.join(b, (F.col("a.g") == F.col("b.g")) & (F.col("a.dataset") < F.col("b.dataset"))
+                  & (F.col("a.family") == F.col("b.family"))).select(
+        F.col("a.col_id").alias("col_a"), F.col("b.col_id").alias("col_b")).distinct()
+    ba, bb = base.alias("ba"), base.alias("bb")
+    scored = cand.join(ba, F.col("col_a") == F.col("ba.col_id")).join(bb, F.col("col_b") == F.col("bb.col_id"))
+    ta, tb = F.array_distinct(F.col("ba.tokens")), F.array_distinct(F.col("bb.tokens"))
+    inter = F.size(F.array_intersect(ta, tb))
+    jacc = inter / (F.size(ta) + F.size(tb) - inter)
+    longer = F.greatest(F.length("ba.compact"), F.length("bb.compact"))
+    edit = 1 - F.levenshtein("ba.compact", "bb.compact") / longer
+    score = F.greatest(jacc, F.when(edit >= edit_threshold, edit).otherwise(F.lit(0.0)))
+    return scored.select("col_a", "col_b", score.alias("name_score")).where(F.col("name_score") > 0)
 
 
 _WORD = 62  # column bits per bigint word (keeps every mask positive)

@@ -63,3 +63,14 @@ def test_harmonize_folder(spark, tmpdir_path):
     rep = report.collect()[0]
     assert rep.dataset_info["a.csv"].shape == [2, 2]
     assert skipped == [("a.md", "unsupported extension .md")]
+
+
+def test_name_pairs_tokens_and_edits(spark):
+    a = spark.createDataFrame([(1, "x", 1)], "DRUG_ID bigint, CELL_LINE_NAME string, nationkey bigint")
+    b = spark.createDataFrame([(1, "x", 1)], "DrugID bigint, CELL_LINE string, regionkey bigint")
+    cat = mt.column_catalog(spark, {"a.csv": a, "b.csv": b})
+    got = {(r.col_a.split("\u0001")[1], r.col_b.split("\u0001")[1]): round(r.name_score, 3)
+           for r in mt.name_pairs(cat).collect()}
+    assert got[("DRUG_ID", "DrugID")] == 1.0
+    assert got[("CELL_LINE_NAME", "CELL_LINE")] == round(2 / 3, 3)
+    assert ("nationkey", "regionkey") not in got
