@@ -346,7 +346,14 @@ def _match_columns_overlap(spark, sf):
         parts[0][0].alias("dataset_a"), parts[0][1].alias("column_a"),
         parts[1][0].alias("dataset_b"), parts[1][1].alias("column_b"),
         "shared", "distinct_a", "distinct_b",
-        F.round("jaccard", 6).alias("jaccard"), F.round("containment", 6).alias("containment"))
+        _ratio6(F.col("shared"), F.col("distinct_a") + F.col("distinct_b") - F.col("shared")).alias("jaccard"),
+        _ratio6(F.col("shared"), F.least("distinct_a", "distinct_b")).alias("containment"))
+
+
+def _ratio6(num, den):
+    """num/den as an exact 6-digit decimal (integer arithmetic, one IEEE division, half-up)."""
+    ppm = F.round((num * 1000000) / den).cast("bigint")
+    return (ppm.cast("decimal(18,0)") / F.lit(1000000)).cast("decimal(10,6)")
 
 
 def _match_columns_name(spark, sf):
@@ -811,8 +818,10 @@ def _overlap_sql() -> str:
         "FROM v a JOIN v b ON a.val = b.val AND a.ds < b.ds AND a.fam = b.fam GROUP BY ALL) "
         "SELECT sh.ds_a AS dataset_a, sh.col_a AS column_a, sh.ds_b AS dataset_b, sh.col_b AS column_b, "
         "sh.shared, na.n AS distinct_a, nb.n AS distinct_b, "
-        "round(sh.shared / (na.n + nb.n - sh.shared), 6) AS jaccard, "
-        "round(sh.shared / least(na.n, nb.n), 6) AS containment "
+        "CAST(CAST(round((sh.shared * 1000000) / (na.n + nb.n - sh.shared)) AS BIGINT) / 1000000 AS DECIMAL(10,6))"
+        " AS jaccard, "
+        "CAST(CAST(round((sh.shared * 1000000) / least(na.n, nb.n)) AS BIGINT) / 1000000 AS DECIMAL(10,6))"
+        " AS containment "
         "FROM sh JOIN nd na ON na.ds = sh.ds_a AND na.col = sh.col_a JOIN nd nb ON nb.ds = sh.ds_b AND nb.col = sh.col_b"
     )
 
