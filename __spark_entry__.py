@@ -440,11 +440,8 @@ def _json_parse_repair(spark, sf):
     raw = (F.when(F.col("event_type") == "click", F.expr("substring(props, 1, length(props) - 1)"))
            .when(F.col("event_type") == "error", F.expr("substring_index(props, ':', 1)"))
            .otherwise(F.col("props")))
-    acc, quar = jsontext.parse_repair(e.withColumn("raw", raw), "raw", "struct<k:bigint>")
-    good = acc.select("event_id", F.lit(True).alias("accepted"), "json_text", F.col("parsed.k").alias("k"))
-    bad = quar.select("event_id", F.lit(False).alias("accepted"), F.lit(None).cast("string").alias("json_text"),
-                      F.lit(None).cast("bigint").alias("k"))
-    return good.unionByName(bad)
+    out = jsontext.parse_repair_all(e.withColumn("raw", raw), "raw", "struct<k:bigint>")  # one UDF pass
+    return out.select("event_id", "accepted", "json_text", F.col("parsed.k").alias("k"))
 
 
 # ---------------------------------------------------------------------------

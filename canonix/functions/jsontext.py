@@ -70,19 +70,33 @@ def _repair_udf(s: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["accepted", "text", "error"])
 
 
-def parse_repair(df: DataFrame, column: str, schema: T.DataType | str | None = None,
-                 strip: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Split rows into ``(accepted, quarantine)`` by the repair rule (C11).
-
-    Accepted rows gain ``json_text`` (the repaired text) and, when ``schema``
-    is given, ``parsed`` (``from_json``); quarantined rows gain ``error``.
-    """
+def parse_repair_all(df: DataFrame, column: str, schema: T.DataType | str | None = None,
+                     strip: bool = True) -> DataFrame:
+    """One pass of the repair rule (C11): ``df`` plus ``accepted``, ``json_text``,
+    ``error`` and, when ``schema`` is given, ``parsed`` (null unless accepted)."""
     src = F.col(quote(column))
     if strip:
         src = strip_fences(src)
     r = df.withColumn("__r", _repair_udf(src))
-    accepted = r.where(F.col("__r.accepted")).withColumn("json_text", F.col("__r.text"))
+    out = r.withColumns({
+        "accepted": F.col("__r.accepted"),
+        "json_text": F.when(F.col("__r.accepted"), F.col("__r.text")),
+        "error": F.col("__r.error"),
+    })
     if schema is not None:
-        accepted = accepted.withColumn("parsed", F.from_json("json_text", schema))
-    quarantine = r.where(~F.col("__r.accepted")).withColumn("error", F.col("__r.error"))
-    return accepted.drop("__r"), quarantine.drop("__r")
+        out = out.withColumn("parsed", F.from_json("json_text", schema))
+    return out.drop("__r")
+
+
+def parse_repair(df: DataFrame, column: str, schema: T.DataType | str | None = None,
+                 strip: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Split rows into ``(accepted, quarantine)`` by the repair rule (C11).
+
+    Accepted rows keep ``json_text`` (the repaired text) and ``parsed``;
+    quarantined rows keep ``error``. Each side evaluates the rule; use
+    :func:`parse_repair_all` when both sides are consumed in one job.
+    """
+    allrows = parse_repair_all(df, column, schema, strip)
+    accepted = allrows.where(F.col("accepted")).drop("accepted", "error")
+    quarantine = allrows.where(~F.col("accepted")).drop("accepted", "json_text", *(["parsed"] if schema else []))
+    return accepted, quarantine
