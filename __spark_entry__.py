@@ -601,7 +601,7 @@ def _distinct_consolidate_stream(spark, sf):
 
 
 def _ensure_map(spark, sf):
-    from canonix.plans.pipeline import ensure_map
+    from canonix.plans.workflow import ensure_map
 
     path = scratch_path(spark, "auto-map") + "/harmonization_map.json"
     hm = ensure_map(spark, _load(spark, sf, ("customer", "supplier", "nation")), path)

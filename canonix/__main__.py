@@ -27,7 +27,7 @@ def main(argv: list[str] | None = None) -> int:
     args = ap.parse_args(argv)
 
     from canonix.plans.actions import run_action
-    from canonix.plans.pipeline import ensure_map
+    from canonix.plans.workflow import ensure_map
     from canonix.plans.steps import StepEnv, run_steps
     from canonix.session import ensure_checkpoint_dir
     from canonix.sources import sinks

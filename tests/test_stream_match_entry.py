@@ -46,7 +46,7 @@ def test_entry_smoke(spark):
 
 
 def test_harmonize_folder(spark, tmpdir_path):
-    from canonix.plans.pipeline import harmonize_folder
+    from canonix.plans.workflow import harmonize_folder
 
     d = tmpdir_path
     spark.createDataFrame([(1, "a"), (2, "b")], "a_id bigint, a_name string").write.option("header", True).csv(
