@@ -98,6 +98,26 @@ def consolidate_values(frames: Sequence[DataFrame], column: str, prior: DataFram
     return out.where(F.col(quote(column)).isNotNull()).distinct().orderBy(F.col(quote(column)))
 
 
+def _versions(spark: SparkSession, output_path: str) -> list[tuple[int, str]]:
+    """Complete versions under an output folder: ``[(n, path)]`` for ``v-<n>`` with a ``_SUCCESS`` marker."""
+    from canonix.session import hadoop_exists, hadoop_list
+
+    out = []
+    for path, is_file in hadoop_list(spark, output_path):
+        name = path.rstrip("/").rsplit("/", 1)[-1]
+        if not is_file and name.startswith("v-") and name[2:].isdigit() and hadoop_exists(spark, path + "/_SUCCESS"):
+            out.append((int(name[2:]), path))
+    return sorted(out)
+
+
+def read_consolidated_csv(spark: SparkSession, output_path: str) -> DataFrame | None:
+    """The latest complete version of a consolidated output, or ``None``."""
+    versions = _versions(spark, output_path)
+    if not versions:
+        return None
+    return spark.read.option("header", True).csv(versions[-1][1])
+
+
 def distinct_consolidate(
     spark: SparkSession,
     input_paths: Sequence[str],
@@ -105,14 +125,15 @@ def distinct_consolidate(
     output_path: str,
     reader=None,
 ) -> tuple[DataFrame, list[str]]:
-    """Incremental distinct consolidation to a CSV folder.
-
-    Reads the prior output when present, unions the column of every readable
-    input that has it, and writes the sorted distinct values to a new folder
-    that then replaces the old one (Spark cannot overwrite a path it reads).
-    Returns the re-read result and the list of skipped inputs.
+    """Incremental distinct consolidation to a versioned CSV folder.
+
+    Reads the latest complete version under ``output_path`` when present,
+    unions the column of every readable input that has it, and writes the
+    sorted distinct values as the next version ``v-<n+1>``. Nothing is
+    renamed or deleted: a version counts once its ``_SUCCESS`` marker exists,
+    so a run that dies midway leaves the previous result in place.
+    Returns the new version's values and the list of skipped inputs.
     """
-    from canonix.session import hadoop_exists, hadoop_rename
     from canonix.sources.tables import read_dataset
 
     reader = reader or (lambda p: read_dataset(spark, p))
@@ -126,18 +147,14 @@ def distinct_consolidate(
             skipped.append(p)
             continue
         frames.append(df)
+    versions = _versions(spark, output_path)
     prior = None
-    if hadoop_exists(spark, output_path):
-        prev = spark.read.option("header", True).csv(output_path)
+    if versions:
+        prev = spark.read.option("header", True).csv(versions[-1][1])
         if column in prev.columns:
             prior = prev
     result = consolidate_values(frames, column, prior)
-    import uuid
-
-    staging = output_path.rstrip("/") + f".staging-{uuid.uuid4().hex[:8]}"
+    target = f"{output_path.rstrip('/')}/v-{(versions[-1][0] + 1) if versions else 1}"
     # Range-partitioned by the sort: part files are in value order, no single task.
-    result.write.option("header", True).csv(staging)
-    if hadoop_exists(spark, output_path):
-        hadoop_rename(spark, output_path, output_path.rstrip("/") + f".prev-{uuid.uuid4().hex[:8]}")
-    hadoop_rename(spark, staging, output_path)
-    return spark.read.option("header", True).csv(output_path), skipped
+    result.write.mode("errorifexists").option("header", True).csv(target)
+    return spark.read.option("header", True).csv(target), skipped

@@ -66,17 +66,6 @@ def hadoop_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(conf).exists(p)
 
 
-def hadoop_rename(spark: SparkSession, src: str, dst: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    s = jvm.org.apache.hadoop.fs.Path(src)
-    d = jvm.org.apache.hadoop.fs.Path(dst)
-    fs = s.getFileSystem(conf)
-    if fs.exists(d):
-        raise FileExistsError(f"rename target exists: {dst}")
-    return fs.rename(s, d)
-
-
 def hadoop_list(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
     """(path, is_file) for the direct children of a folder (driver-side listing of names only)."""
     jvm = spark.sparkContext._jvm
