@@ -19,8 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from canonix.model import HarmonizationMap, declared_type, is_basic_type, quote
@@ -77,22 +76,22 @@ def _safe_cast(physical: T.DataType, target: T.DataType) -> bool:
     return False
 
 
-def cast_to(c: Column, physical: T.DataType, target: T.DataType) -> Column:
-    """Cast to the declared type; plain ``cast`` when it cannot fail (keeps
-    predicates on it pushable to the scan), ``try_cast`` otherwise."""
-    if not is_basic_type(physical):
-        return c
-    if physical == target:
-        return c
-    if _safe_cast(physical, target):
-        return c.cast(target)
-    return c.try_cast(target)
+_FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
 
 
 def cast_sql(name_sql: str, physical: T.DataType, target: T.DataType) -> str:
-    """SQL text of :func:`cast_to` for an already quoted column reference."""
+    """Cast text to the declared type for an already quoted column reference.
+
+    Plain ``CAST`` when it cannot fail (keeps predicates on it pushable to the
+    scan), ``TRY_CAST`` otherwise (a bad cell becomes null under ANSI mode).
+
+    A fractional number declared ``Integer`` converts only when it is whole
+    (``1.0`` -> ``1``); ``1.5`` becomes null instead of being truncated.
+    """
     if not is_basic_type(physical) or physical == target:
         return name_sql
+    if isinstance(physical, _FRACTIONAL) and isinstance(target, T.LongType):
+        return f"CASE WHEN {name_sql} = floor({name_sql}) THEN TRY_CAST({name_sql} AS BIGINT) END"
     fn = "CAST" if _safe_cast(physical, target) else "TRY_CAST"
     return f"{fn}({name_sql} AS {target.simpleString()})"
 
