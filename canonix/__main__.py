@@ -18,7 +18,7 @@ def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="canonix")
     ap.add_argument("map_path")
     ap.add_argument("data_folder")
-    ap.add_argument("--action", required=True, choices=["unique_values", "merge", "filter", "steps"])
+    ap.add_argument("--action", required=True, choices=["analyze", "unique_values", "merge", "filter", "steps"])
     ap.add_argument("--canonical_feature")
     ap.add_argument("--filter_value")
     ap.add_argument("--merge_key", help="merge key for filter (default: the map's first feature)")
@@ -35,6 +35,18 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = SparkSession.builder.appName("canonix").getOrCreate()
     ensure_checkpoint_dir(spark)
+    if args.action == "analyze":
+        # profile + match + report of the folder, written as the map document
+        from canonix.operators.report import feature_context, write_map_json
+        from canonix.plans.workflow import harmonize_folder
+
+        report, _, _, skipped = harmonize_folder(spark, args.data_folder)
+        for name, reason in skipped:
+            print(f"skipped {name}: {reason}", file=sys.stderr)
+        write_map_json(report, args.map_path)
+        for r in feature_context(report).orderBy("section", "ord").collect():  # one line per feature/dataset
+            print(r.line)
+        return 0
     datasets, skipped = load_folder(spark, args.data_folder)
     for name, reason in skipped:
         print(f"skipped {name}: {reason}", file=sys.stderr)

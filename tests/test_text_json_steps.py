@@ -120,3 +120,17 @@ def test_cli_merge_filter_and_generated_map(spark, tmpdir_path, capsys):
     assert main([f"{d}/map.json", f"{d}/data", "--action", "unique_values", "--canonical_feature", "name",
                  "--output", f"{d}/names"]) == 0
     assert sorted(r.value for r in spark.read.text(f"{d}/names").collect()) == ["p", "q", "x", "y"]
+
+
+def test_cli_analyze_writes_map(spark, tmpdir_path, capsys):
+    from canonix.__main__ import main
+    from canonix.plans.workflow import load_map_from_report_folder
+
+    d = tmpdir_path
+    spark.createDataFrame([(1, "x")], "id bigint, name string").write.option("header", True).csv(f"{d}/data/a.csv")
+    spark.createDataFrame([(1, "p")], "id bigint, label string").write.option("header", True).csv(f"{d}/data/b.csv")
+    assert main([f"{d}/out/map.json", f"{d}/data", "--action", "analyze"]) == 0
+    out = capsys.readouterr().out
+    assert "- a.csv: Shape [1, 2]" in out
+    hm = load_map_from_report_folder(spark, f"{d}/out/map.json")
+    assert hm.feature("id").candidates("b.csv") == ["id"]
