@@ -51,11 +51,44 @@ def null_counts(df: DataFrame, dataset: str | None = None) -> DataFrame:
     )
 
 
+_FILE_ORDER = ("__file_path", "__row_index")
+
+
+def _with_file_order(df: DataFrame) -> DataFrame | None:
+    """``df`` plus its file position (Parquet: file path and row index), or ``None`` if unknown."""
+    try:
+        out = df.select("*", F.col("_metadata.file_path").alias(_FILE_ORDER[0]),
+                        F.col("_metadata.row_index").alias(_FILE_ORDER[1]))
+        _ = out.schema
+        return out
+    except Exception:  # not a file scan with row indexes (CSV, joins, local data)
+        return None
+
+
 def head(df: DataFrame, n: int = 5, order_by: Sequence[str] | None = None) -> DataFrame:
-    """First ``n`` rows in an explicit order (S3, L2, K4). Spark rows have no
-    file order, so the order is named; ``TakeOrderedAndProject`` keeps n per task."""
-    cols = list(order_by) if order_by else df.columns
-    return df.orderBy(*[F.col(quote(c)).asc_nulls_first() for c in cols]).limit(n)
+    """First ``n`` rows (S3, L2, K4); ``TakeOrderedAndProject`` keeps n per task.
+
+    With ``order_by`` the order is named. Without it, a Parquet scan gives its
+    rows in file order (file path, row index), which is what reading the first
+    lines of a file means; other inputs fall back to ordering by every column.
+    """
+    return head_positioned(df, n, order_by).drop("__pos")
+
+
+def head_positioned(df: DataFrame, n: int = 5, order_by: Sequence[str] | None = None) -> DataFrame:
+    """:func:`head` plus ``__pos`` (1..n) in that order; the window runs over the n sampled rows only."""
+    if order_by:
+        keys = [F.col(quote(c)).asc_nulls_first() for c in order_by]
+        sample, extra = df.orderBy(*keys).limit(n), []
+    else:
+        positioned = _with_file_order(df)
+        if positioned is not None:
+            keys = [F.col(c) for c in _FILE_ORDER]
+            sample, extra = positioned.orderBy(*keys).limit(n), list(_FILE_ORDER)
+        else:
+            keys = [F.col(quote(c)).asc_nulls_first() for c in df.columns]
+            sample, extra = df.orderBy(*keys).limit(n), []
+    return sample.withColumn("__pos", F.row_number().over(Window.orderBy(*keys))).drop(*extra)
 
 
 def _as_text(f: T.StructField) -> Column:
@@ -69,10 +102,7 @@ def unique_sample_head(df: DataFrame, n: int = 5, order_by: Sequence[str] | None
     Output ``(dataset, position, column_name, values array<string>)``; a null
     value is kept as a null element, as the reference keeps NaN.
     """
-    order_cols = list(order_by) if order_by else df.columns
-    sample = head(df, n, order_cols)
-    w = Window.orderBy(*[F.col(quote(c)).asc_nulls_first() for c in order_cols])
-    sample = sample.withColumn("__pos", F.row_number().over(w))  # n rows, one task
+    sample = head_positioned(df, n, order_by)  # n rows
     fields = df.schema.fields
     stacked = sample.select(
         "__pos",
@@ -112,11 +142,10 @@ def unique_sample_full(df: DataFrame, n: int = 5, dataset: str | None = None) ->
 
 def sample_json_records(df: DataFrame, n: int = 5, order_by: Sequence[str] | None = None) -> DataFrame:
     """The first ``n`` rows as one JSON array of records (P8, C12): ``(records string)``."""
-    sample = head(df, n, order_by)
-    order_cols = list(order_by) if order_by else df.columns
-    keyed = sample.select(F.struct(*[F.col(quote(c)) for c in order_cols]).alias("__o"), F.struct("*").alias("r"))
+    sample = head_positioned(df, n, order_by)  # n rows
+    keyed = sample.select("__pos", F.struct(*[F.col(quote(c)) for c in df.columns]).alias("r"))
     return keyed.agg(
-        F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("__o", "r"))), lambda s: s["r"])).alias("records")
+        F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("__pos", "r"))), lambda s: s["r"])).alias("records")
     )
 
 

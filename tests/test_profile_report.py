@@ -46,3 +46,19 @@ def test_report_nests_and_feature_context(spark):
     # datasets the map names but that were not profiled carry no shape
     assert not any("customer.parquet" in x for x in lines)
     assert math.isfinite(len(lines))
+
+
+def test_head_without_order_is_file_order(spark):
+    import duckdb
+
+    o = spark.read.parquet(f"{SF}/orders.parquet")
+    got = [r.o_orderkey for r in pf.head(o, 5).collect()]
+    first = [r[0] for r in duckdb.sql(
+        f"SELECT o_orderkey FROM read_parquet('{SF}/orders.parquet', file_row_number=true) "
+        "ORDER BY file_row_number LIMIT 5").fetchall()]
+    assert got == first
+    rec = pf.sample_json_records(o, 2).collect()[0].records
+    assert rec.startswith('[{"o_orderkey":%d,' % first[0])
+    # no file position (local data): ordered by every column
+    df = spark.createDataFrame([(2, "b"), (1, "z"), (1, "a")], "i int, s string")
+    assert [tuple(r) for r in pf.head(df, 2).collect()] == [(1, "a"), (1, "z")]
