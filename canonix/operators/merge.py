@@ -41,6 +41,10 @@ from canonix.operators.standardize import feature_types, find_column, standardiz
 _KEY_TMP = "__k"
 
 
+class MergeTooLarge(RuntimeError):
+    """The merged output would exceed the caller's row limit."""
+
+
 @dataclass
 class SkewConfig:
     """Thresholds for the hot-key branch of the spine merge.
@@ -165,6 +169,7 @@ def merge_by_key(
     prune_null: bool = False,
     key_filter: Column | None = None,
     skew: SkewConfig | None = None,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Merge ``datasets`` (raw, un-standardized) on canonical ``key``.
 
@@ -173,6 +178,9 @@ def merge_by_key(
     accumulated side at every step), ``"spine"`` or ``"chain"``.
     ``key_filter`` is an optional predicate on the key column, applied to every
     input before joining (used by merge-then-filter on the key).
+    ``max_rows``: when given, the exact output size is computed first from the
+    key counts (one pre-aggregated pass, no join) and a larger merge raises
+    ``MergeTooLarge`` instead of running.
     """
     names, _ = participants(hmap, datasets, key, order, include_unkeyed)
     if not names:
@@ -197,6 +205,10 @@ def merge_by_key(
             keyed = [p.where(key_filter) for p in keyed]
             null_rows = [p.where(key_filter) for p in null_rows]
         parts = keyed
+    if max_rows is not None:
+        size = merge_row_count(keyed + null_rows, key).collect()[0]["rows"] or 0  # one row
+        if size > max_rows:
+            raise MergeTooLarge(f"merge on {key!r} would produce {size} rows (limit {max_rows})")
     hot = find_hot_keys(parts, key, skew) if skew.enabled else None
     branches = []
     if hot is not None:

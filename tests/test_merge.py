@@ -156,3 +156,14 @@ def test_split_rule_expressions_match_python(spark):
     sa, sb = _split_cols(F.col("a"), F.col("b"), skew)
     got = {(r.a, r.b): (r.sa, r.sb) for r in df.select("a", "b", sa.alias("sa"), sb.alias("sb")).collect()}
     assert got == {c: _split(*c, skew) for c in cases}
+
+
+@pytest.mark.parametrize("strategy", ["chain", "spine"])
+def test_max_rows_guard(spark, strategy):
+    from canonix.operators.merge import MergeTooLarge
+
+    ds = _rand_tables(spark, 13)
+    n = merge_by_key(MAP, ds, "k", strategy=strategy).count()
+    assert merge_by_key(MAP, ds, "k", strategy=strategy, max_rows=n).count() == n
+    with pytest.raises(MergeTooLarge):
+        merge_by_key(MAP, ds, "k", strategy=strategy, max_rows=n - 1)
