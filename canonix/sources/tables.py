@@ -57,7 +57,30 @@ def read_csv(
         r = r.option("inferSchema", True)
         if sampling_ratio is not None:
             r = r.option("samplingRatio", sampling_ratio)
-    return r.csv(path)
+    df = r.csv(path)
+    if schema is None:
+        df = _restore_header(spark, path, df)
+    return df
+
+
+def _restore_header(spark: SparkSession, path: str | Sequence[str], df: DataFrame) -> DataFrame:
+    """Give columns their exact header names back.
+
+    Spark's CSV reader renames headers that clash case-insensitively (``ID``,
+    ``id`` -> ``ID0``, ``id2``) and blank ones; map lookups are exact and
+    case-sensitive, so the names from the file's first line are restored
+    positionally (standardize then resolves clashing names by position).
+    """
+    import csv
+
+    first = spark.read.text(path).limit(1).collect()  # the header line
+    if not first or first[0][0] is None:
+        return df
+    names = next(csv.reader([first[0][0]]))
+    if len(names) != len(df.columns) or names == df.columns:
+        return df
+    names = [n if n != "" else df.columns[i] for i, n in enumerate(names)]
+    return df.toDF(*names)
 
 
 def read_csv_na_tokens(

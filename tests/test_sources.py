@@ -85,3 +85,20 @@ def test_sinks_roundtrip(spark, tmpdir_path):
     assert rows(spark.read.option("header", True).schema("k bigint, s string").csv(f"{tmpdir_path}/t")) == [(1, "x")]
     first, shape = sinks.preview(df, 5, ["k"])
     assert shape.collect()[0].asDict() == {"rows": 1, "cols": 2}
+
+
+def test_csv_header_names_exact_and_standardize(spark, tmpdir_path):
+    from canonix.model import HarmonizationMap
+    from canonix.operators.standardize import standardize
+
+    _w(f"{tmpdir_path}/t.csv", "ID, name ,id,CCLE IC50 uMol,a.b\n1, x ,10,1.5,p\n2,y,20,bad,q\n")
+    df = tables.read_csv(spark, f"{tmpdir_path}/t.csv")
+    assert df.columns == ["ID", " name ", "id", "CCLE IC50 uMol", "a.b"]
+    hm = HarmonizationMap.from_obj([
+        {"canonical_name": "upper", "data_type": "Integer", "original_columns": {"t.csv": ["ID"]}},
+        {"canonical_name": "lower", "data_type": "Integer", "original_columns": {"t.csv": ["id"]}},
+        {"canonical_name": "ic50", "data_type": "Float", "original_columns": {"t.csv": ["CCLE IC50 uMol"]}},
+        {"canonical_name": "dotted", "data_type": "String", "original_columns": {"t.csv": ["a.b"]}},
+    ])
+    got = sorted(tuple(r) for r in standardize(df, "t.csv", hm).collect())
+    assert got == [(1, 10, 1.5, "p"), (2, 20, None, "q")]
