@@ -117,27 +117,52 @@ def unique_sample_head(df: DataFrame, n: int = 5, order_by: Sequence[str] | None
     ).select(F.lit(dataset).cast("string").alias("dataset"), "position", "column_name", "values")
 
 
+def _orderable(dt: T.DataType) -> bool:
+    if isinstance(dt, T.MapType):
+        return False
+    if isinstance(dt, T.ArrayType):
+        return _orderable(dt.elementType)
+    if isinstance(dt, T.StructType):
+        return all(_orderable(f.dataType) for f in dt.fields)
+    return True
+
+
 def unique_sample_full(df: DataFrame, n: int = 5, dataset: str | None = None) -> DataFrame:
     """The ``n`` smallest distinct values of each column over the whole table (A3 full).
 
-    Distinct is a partial aggregate per task; the window's ``row_number() <= n``
-    keeps at most n rows per column and task before its shuffle.
+    All columns go through one plan: each cell becomes ``(position, key,
+    text)``, where ``key`` is a struct with one slot per column type so every
+    column keeps its native order. The distinct is a partial aggregate per
+    task; ``row_number() <= n`` per column is planned with a per-task group
+    limit before its shuffle, so at most n rows per column and task move.
+    Columns of an unorderable type (maps) are ordered by their text.
     """
     fields = df.schema.fields
-    parts = []
+    slots: dict[str, T.DataType] = {}
+    for f in fields:
+        dt = f.dataType if _orderable(f.dataType) else T.StringType()
+        slots.setdefault(dt.simpleString(), dt)
+    names = list(slots)
+    entries = []
     for i, f in enumerate(fields):
         c = F.col(quote(f.name))
-        d = df.select(c.alias("v")).where(F.col("v").isNotNull()).distinct()
-        w = Window.orderBy(F.col("v"))
-        top = d.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= n)
-        parts.append(top.select(F.lit(i).alias("position"), F.lit(f.name).alias("column_name"), "__rn",
-                                F.col("v").cast("string").alias("value")))
-    stacked = parts[0]
-    for p in parts[1:]:
-        stacked = stacked.union(p)
-    return stacked.groupBy("position", "column_name").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("__rn", "value"))), lambda s: s["value"]).alias("values")
-    ).select(F.lit(dataset).cast("string").alias("dataset"), "position", "column_name", "values")
+        dt = f.dataType if _orderable(f.dataType) else T.StringType()
+        own = dt.simpleString()
+        key = F.struct(*[
+            ((c if _orderable(f.dataType) else c.cast("string")) if nm == own else F.lit(None).cast(slots[nm]))
+            .alias(f"s{j}")
+            for j, nm in enumerate(names)
+        ])
+        entries.append(F.struct(F.lit(i).alias("position"), key.alias("k"), c.cast("string").alias("value")))
+    cells = df.select(F.inline(F.array(*entries))).where(F.col("value").isNotNull())
+    w = Window.partitionBy("position").orderBy("k")
+    top = cells.distinct().withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= n)
+    by_col = top.groupBy("position").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("__rn", "value"))), lambda x: x["value"]).alias("values"))
+    names_df = df.sparkSession.createDataFrame([(i, f.name) for i, f in enumerate(fields)],
+                                               "position int, column_name string")
+    return by_col.join(F.broadcast(names_df), "position").select(
+        F.lit(dataset).cast("string").alias("dataset"), "position", "column_name", "values")
 
 
 def sample_json_records(df: DataFrame, n: int = 5, order_by: Sequence[str] | None = None) -> DataFrame:
