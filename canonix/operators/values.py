@@ -45,14 +45,19 @@ def unique_values_across(
         spark = spark or SparkSession.getActiveSession()
         return _empty(spark, feature)
     types = feature_types(hmap, {n: datasets[n] for n in listed})
-    parts = [
-        standardize(datasets[n], n, hmap, types).select(canonical_string(F.col(quote(feature))).alias(feature))
-        for n in listed
-    ]
+    # Integers and strings have one text per value, so the distinct can run on the
+    # narrower native value and the text is made after it; other types (e.g.
+    # doubles, where -0.0 and 0.0 are one value but two texts) go to text first.
+    native = isinstance(types[feature], (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.StringType))
+    fc = F.col(quote(feature))
+    parts = [standardize(datasets[n], n, hmap, types).select(fc if native else canonical_string(fc).alias(feature))
+             for n in listed]
     out = reduce(lambda a, b: a.union(b), parts)
     if not include_null:
-        out = out.where(F.col(quote(feature)).isNotNull())
+        out = out.where(fc.isNotNull())
     out = out.distinct()
+    if native:
+        out = out.select(canonical_string(fc).alias(feature))
     if sort:
         out = out.orderBy(F.col(quote(feature)).asc_nulls_first())
     return out
