@@ -13,7 +13,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from canonix.model import HarmonizationMap, MapLoadError, load_map, load_map_long
+from canonix.model import HarmonizationMap, MapLoadError, load_map
 from canonix.operators.match import MatchConfig, match_columns
 from canonix.operators.profile import dataset_profile
 from canonix.operators.report import harmonization_report
@@ -64,7 +64,3 @@ def load_map_from_report_folder(spark: SparkSession, path: str) -> Harmonization
     if not text:
         raise MapLoadError(f"no map document under {path}")
     return HarmonizationMap.from_json(text[0][0])
-
-
-def map_long_at(spark: SparkSession, path: str) -> DataFrame:
-    return load_map_long(spark, path)

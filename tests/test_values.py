@@ -49,4 +49,9 @@ def test_consolidate_twice_equals_once(spark, tmpdir_path):
     assert [r.CELL_LINE for r in r1.collect()] == ["x", "y", "z"] and skipped == [paths[2]]
     r2, _ = distinct_consolidate(spark, paths, "CELL_LINE", out)
     assert [r.CELL_LINE for r in r2.collect()] == ["x", "y", "z"]
+    from canonix.operators.values import read_consolidated_csv
+
+    latest = read_consolidated_csv(spark, out)
+    assert [r.CELL_LINE for r in latest.collect()] == ["x", "y", "z"]
+    assert read_consolidated_csv(spark, f"{tmpdir_path}/nothing-here") is None
     assert [r.CELL_LINE for r in consolidate_values([a, b, c], "CELL_LINE").collect()] == ["x", "y", "z"]
