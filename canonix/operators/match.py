@@ -234,23 +234,43 @@ def score_pairs(datasets: Mapping[str, DataFrame], catalog: DataFrame, cfg: Matc
 
 
 def connected_components(vertices: DataFrame, edges: DataFrame, cfg: MatchConfig | None = None) -> DataFrame:
-    """``(id, component)`` with component = smallest id reachable (min-label propagation)."""
+    """``(id, component)`` with component = the smallest id reachable.
+
+    Vertices get dense integer ranks (in id order); labels are ranks. Each
+    round propagates the minimum label over both edge directions and then
+    jumps once (a vertex takes its label's label), so rounds grow with the log
+    of the path length. Labels only decrease, so the first round that leaves
+    their sum unchanged is the fixpoint (an exact test, no join with the
+    previous round). Each round is checkpointed to the shared folder, keeping
+    the lineage one round deep. Used on the column graph, whose size follows
+    the number of columns, not rows.
+    """
     cfg = cfg or MatchConfig()
     from canonix.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(vertices.sparkSession)  # the cluster's shared folder (set locally only if absent)
-    und = edges.select(F.col("src"), F.col("dst")).union(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    labels = vertices.select(F.col("id"), F.col("id").alias("label"))
-    for rnd in range(cfg.max_rounds):
-        nbr = und.join(labels, und.src == labels.id).select(F.col("dst").alias("id"), F.col("label").alias("nl"))
-        new = labels.join(nbr, "id", "left").groupBy("id").agg(
-            F.least(F.min("label"), F.coalesce(F.min("nl"), F.min("label"))).alias("label"))
-        if (rnd + 1) % cfg.checkpoint_every == 0:
-            new = new.checkpoint()
-        changed = new.join(labels.withColumnRenamed("label", "old"), "id").where(F.col("label") != F.col("old"))
-        if changed.limit(1).count() == 0:
-            return new.withColumnRenamed("label", "component")
-        labels = new
+    ranked = vertices.select("id").distinct().withColumn(
+        "vid", F.row_number().over(Window.orderBy("id")).cast("bigint")).checkpoint()
+    rid = ranked.select(F.col("id").alias("src"), F.col("vid").alias("s"))
+    did = ranked.select(F.col("id").alias("dst"), F.col("vid").alias("d"))
+    e = edges.join(rid, "src").join(did, "dst").select("s", "d")
+    und = e.union(e.select(F.col("d").alias("s"), F.col("s").alias("d")))
+    labels = ranked.select("vid", F.col("vid").alias("label"))
+    prev = labels.agg(F.sum("label")).collect()[0][0]
+    for _ in range(cfg.max_rounds):
+        nbr = und.join(labels.withColumnRenamed("vid", "s"), "s").groupBy(F.col("d").alias("vid")).agg(
+            F.min("label").alias("nl"))
+        step = labels.join(nbr, "vid", "left").select(
+            "vid", F.least("label", F.coalesce("nl", "label")).alias("label"))
+        jump = step.alias("v").join(step.alias("p"), F.col("v.label") == F.col("p.vid"), "left").select(
+            F.col("v.vid").alias("vid"),
+            F.least(F.col("v.label"), F.coalesce(F.col("p.label"), F.col("v.label"))).alias("label"))
+        labels = jump.checkpoint()
+        total = labels.agg(F.sum("label")).collect()[0][0]  # one number
+        if total == prev:
+            names = ranked.select(F.col("vid").alias("label"), F.col("id").alias("component"))
+            return labels.join(ranked, "vid").join(names, "label").select("id", "component")
+        prev = total
     raise RuntimeError("connected components did not converge")
 
 

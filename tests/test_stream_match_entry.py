@@ -74,3 +74,14 @@ def test_name_pairs_tokens_and_edits(spark):
     assert got[("DRUG_ID", "DrugID")] == 1.0
     assert got[("CELL_LINE_NAME", "CELL_LINE")] == round(2 / 3, 3)
     assert ("nationkey", "regionkey") not in got
+
+
+def test_connected_components_chain_and_islands(spark):
+    ids = [f"v{i:02d}" for i in range(12)]
+    chain = [(ids[i], ids[i + 1]) for i in range(7)]  # v00..v07 one path
+    extra = [("v09", "v10")]                          # v09-v10; v08 and v11 alone
+    v = spark.createDataFrame([(i,) for i in ids], "id string")
+    e = spark.createDataFrame(chain + extra, "src string, dst string")
+    got = {r.id: r.component for r in mt.connected_components(v, e).collect()}
+    assert all(got[i] == "v00" for i in ids[:8])
+    assert got["v09"] == got["v10"] == "v09" and got["v08"] == "v08" and got["v11"] == "v11"
