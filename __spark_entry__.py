@@ -506,8 +506,6 @@ def _csv_scan_na_tokens(spark, sf):
 
 def _write_folder(spark, sf, base):
     """A folder of datasets derived from the tables, with sidecar metadata files."""
-    from canonix.session import hadoop_list  # noqa: F401
-
     o = _read(spark, sf, "orders")
     c = _read(spark, sf, "customer")
     n = _read(spark, sf, "nation")
