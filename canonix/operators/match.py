@@ -8,12 +8,12 @@ Here the same outcome (groups, canonical name, type) comes from a Spark job:
    ``x_`` prefix removed, split into tokens).
 2. **Name score**: token Jaccard between columns of different datasets;
    candidate pairs come from a join on tokens, never a cross join.
-3. **Value overlap**: the distinct ``(column, value)`` table of every basic
-   column. Values are grouped into *signatures* (the sorted set of columns
-   holding the value), signatures are counted, and only then are column pairs
-   derived from the small signature table, so no per-value pair is emitted and
-   a value repeated in a third of all rows is one row after the map-side
-   distinct.
+3. **Value overlap**: every cell becomes ``(value, column bit)``; grouping by
+   value ORs the bits into a mask of the columns holding it (combined per
+   task, so a value repeated in a third of all rows is one row per task), and
+   masks are counted. Each mask row is then exploded once per member column
+   and one grouped sum per column yields its whole row of shared counts, so no
+   pair is ever emitted per value or per mask.
 4. **Decision**: Integer and Float columns need a name match (dense integer
    keys overlap by accident); String columns may also match on value
    containment.
@@ -151,66 +151,67 @@ def value_rows(datasets: Mapping[str, DataFrame], catalog_rows: list) -> DataFra
     return longv.where(F.col("value").isNotNull())
 
 
-def signatures(datasets: Mapping[str, DataFrame], catalog_rows: list) -> DataFrame:
-    """``(sig array<string>, cnt)``: how many distinct values exactly this set of columns holds.
+def signature_masks(datasets: Mapping[str, DataFrame], catalog_rows: list) -> DataFrame:
+    """``(w0..wk, cnt)``: how many distinct values exactly this set of columns (a bit mask) holds.
 
     Grouping by value ORs the column bits (``bit_or`` is combined per task
     before the shuffle, so a value repeated in a third of all rows is one row
     per task); counting per mask then leaves at most one row per distinct
-    column set. Masks are decoded to column ids only on that small table.
+    column set.
     """
     cols = _basic_columns(catalog_rows)
     words = max(1, -(-len(cols) // _WORD))
     wnames = [f"w{j}" for j in range(words)]
     by_value = value_rows(datasets, catalog_rows).groupBy("value").agg(
         *[F.bit_or(w).alias(w) for w in wnames])
-    masks = by_value.groupBy(*wnames).agg(F.count(F.lit(1)).alias("cnt"))
-    ids = ", ".join(_sql_str(r["col_id"]) for r in cols)
-    decoded = " , ".join(
-        f"transform(filter(sequence(0, {_WORD - 1}), i -> ((w{j} >> i) & 1) = 1), i -> i + {j * _WORD})"
-        for j in range(words))
-    return masks.selectExpr(
-        f"transform(concat({decoded}), i -> element_at(array({ids}), i + 1)) AS sig", "cnt")
-
-
-def _sql_str(s: str) -> str:
-    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return by_value.groupBy(*wnames).agg(F.count(F.lit(1)).alias("cnt"))
 
 
 def value_overlap(datasets: Mapping[str, DataFrame], catalog: DataFrame) -> DataFrame:
     """Shared distinct values per column pair of different datasets and the same family.
 
     ``(col_a, col_b, shared, distinct_a, distinct_b, jaccard, containment)``.
-    Distinct counts per column and shared counts per pair both come from the
-    signature table; column pairs are derived only there.
+    From the mask table: every mask row is exploded once per member column
+    ``a`` (linear in the mask sizes), and one grouped sum per column turns the
+    masks into the whole row of counts ``shared(a, b)`` at once (bit ``b`` of
+    each mask times its count). No pair is emitted per value or per mask; the
+    only pairs are the result itself, bounded by the number of columns squared.
+    ``shared(a, a)`` is the distinct count of ``a``.
     """
     cat_rows = catalog.collect()  # schema metadata: one row per column
     from canonix.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(catalog.sparkSession)
-    # The heavy pass runs once: its small result is written to the shared
-    # checkpoint folder and both uses below read it back.
-    sig_counts = signatures(datasets, cat_rows).checkpoint()
-    pos = sig_counts.select("sig", "cnt", F.posexplode("sig").alias("i", "ca"))
-    nd = pos.groupBy(F.col("ca").alias("col_id")).agg(F.sum("cnt").alias("n_distinct"))
-    pairs = pos.where(F.size("sig") > 1).select(
-        "cnt", "ca", F.explode(F.slice(F.col("sig"), F.col("i") + 2, F.size("sig"))).alias("cb"))
-    shared = pairs.groupBy(F.col("ca").alias("col_a"), F.col("cb").alias("col_b")).agg(
-        F.sum("cnt").alias("shared"))
+    cols = _basic_columns(cat_rows)
+    words = max(1, -(-len(cols) // _WORD))
+    wnames = [f"w{j}" for j in range(words)]
+    # The heavy pass runs once; its small result is written to the shared checkpoint folder.
+    masks = signature_masks(datasets, cat_rows).checkpoint()
+    members = " , ".join(
+        f"transform(filter(sequence(0, {_WORD - 1}), i -> ((w{j} >> i) & 1) = 1), i -> i + {j * _WORD})"
+        for j in range(words))
+    per_member = masks.selectExpr(*wnames, "cnt", f"explode(concat({members})) AS a")
+    row_of_counts = per_member.groupBy("a").agg(*[
+        F.sum(F.col("cnt") * F.shiftright(F.col(f"w{b // _WORD}"), b % _WORD).bitwiseAND(F.lit(1))).alias(f"c{b}")
+        for b in range(len(cols))
+    ])
+    counts = F.array(*[F.col(f"c{b}") for b in range(len(cols))])
+    ids = F.array(*[F.lit(r["col_id"]) for r in cols])
+    cells = row_of_counts.select(
+        "a", F.element_at(counts, F.col("a") + 1).alias("distinct_a"),
+        F.posexplode(counts).alias("b", "shared"))
+    pairs = cells.where((F.col("b") > F.col("a")) & (F.col("shared") > 0))
+    nd = cells.where(F.col("b") == F.col("a")).select(F.col("b").alias("bb"), F.col("shared").alias("distinct_b"))
+    out = pairs.join(F.broadcast(nd), F.col("b") == F.col("bb")).select(  # one row per column
+        F.element_at(ids, F.col("a") + 1).alias("col_a"), F.element_at(ids, F.col("b") + 1).alias("col_b"),
+        "shared", "distinct_a", "distinct_b")
     meta = catalog.select("col_id", "dataset", "family")
-    ma, mb = meta.alias("ma"), meta.alias("mb")
-    shared = (
-        shared.join(ma, F.col("col_a") == F.col("ma.col_id"))
+    ma, mb = F.broadcast(meta).alias("ma"), F.broadcast(meta).alias("mb")
+    out = (
+        out.join(ma, F.col("col_a") == F.col("ma.col_id"))
         .join(mb, F.col("col_b") == F.col("mb.col_id"))
         .where((F.col("ma.dataset") != F.col("mb.dataset")) & (F.col("ma.family") == F.col("mb.family")))
-        .select("col_a", "col_b", "shared")
-    )
-    na, nb = nd.alias("na"), nd.alias("nb")
-    out = (
-        shared.join(na, F.col("col_a") == F.col("na.col_id"))
-        .join(nb, F.col("col_b") == F.col("nb.col_id"))
-        .select("col_a", "col_b", "shared", F.col("na.n_distinct").alias("distinct_a"),
-                F.col("nb.n_distinct").alias("distinct_b"))
+        .select("col_a", "col_b", "shared", "distinct_a", "distinct_b")
     )
     return out.withColumns({
         "jaccard": F.col("shared") / (F.col("distinct_a") + F.col("distinct_b") - F.col("shared")),
