@@ -167,3 +167,17 @@ def test_max_rows_guard(spark, strategy):
     assert merge_by_key(MAP, ds, "k", strategy=strategy, max_rows=n).count() == n
     with pytest.raises(MergeTooLarge):
         merge_by_key(MAP, ds, "k", strategy=strategy, max_rows=n - 1)
+
+
+def test_mixed_physical_key_types_join_under_ansi(spark):
+    m = HarmonizationMap.from_obj([
+        {"canonical_name": "k", "data_type": "Integer", "original_columns": {"a.csv": ["ka"], "b.csv": ["kb"]}},
+        {"canonical_name": "v", "data_type": "String", "original_columns": {"a.csv": ["va"], "b.csv": ["vb"]}},
+    ])
+    a = spark.createDataFrame([(1, "x"), (2, "y")], "ka int, va string")
+    b = spark.createDataFrame([("1", "p"), ("oops", "q"), ("2.0", "r")], "kb string, vb string")
+    for strategy in ("chain", "spine"):
+        got = sorted(rows(merge_by_key(m, {"a.csv": a, "b.csv": b}, "k", strategy=strategy)),
+                     key=lambda t: (t[0] is None, t))
+        # "1" joins 1; "oops" and "2.0" are not integers: null keys, never matched
+        assert got == [(1, "x", "p"), (2, "y", None), (None, None, "q"), (None, None, "r")]
