@@ -160,3 +160,8 @@ def load_folder(spark: SparkSession, folder: str, strict: bool = False, sampling
                 raise
             skipped.append((name, f"unreadable: {type(e).__name__}"))
     return out, skipped
+
+
+def skipped_frame(spark: SparkSession, skipped: Sequence[tuple[str, str]]) -> DataFrame:
+    """The ``(dataset, reason)`` skip list of :func:`load_folder` as a DataFrame (one row per folder entry)."""
+    return spark.createDataFrame(list(skipped), "dataset string, reason string")

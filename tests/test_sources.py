@@ -47,6 +47,8 @@ def test_inventory_sidecar_precedence_and_load(spark, tmpdir_path):
     loaded, skipped = tables.load_folder(spark, d)
     assert sorted(loaded) == ["a.csv", "b.CSV", "c.csv"]
     assert ("notes.txt", "unsupported extension .txt") in skipped
+    sk = {r.dataset: r.reason for r in tables.skipped_frame(spark, skipped).collect()}
+    assert sk["notes.txt"] == "unsupported extension .txt"
 
 
 def test_recursive_discovery_case_sensitive(spark, tmpdir_path):
