@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from canonix.llm.bpe import op2_byte_bpe
 from canonix.llm.chat import OP8_SQL, op8_chat_formatting
 from canonix.llm.shard import op7_sharding
 
 QUERIES = {
+    "op2_byte_bpe": op2_byte_bpe,
     "op7_sharding": op7_sharding,
     "op8_chat_formatting": op8_chat_formatting,
 }
