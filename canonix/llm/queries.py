@@ -7,15 +7,18 @@ from canonix.llm.chat import OP8_SQL, op8_chat_formatting
 from canonix.llm.decontaminate import OP10_SQL, op10_decontamination
 from canonix.llm.quality import op3_quality_classifier
 from canonix.llm.shard import op7_sharding
+from canonix.llm.substrings import OP6_SQL, op6_substring_dedup
 
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_quality_classifier": op3_quality_classifier,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_sharding": op7_sharding,
     "op8_chat_formatting": op8_chat_formatting,
     "op10_decontamination": op10_decontamination,
 }
 SQL = {
+    "op6_substring_dedup": OP6_SQL,
     "op8_chat_formatting": OP8_SQL,
     "op10_decontamination": OP10_SQL,
 }
