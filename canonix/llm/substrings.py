@@ -1,7 +1,7 @@
 r"""Substring dedup by super-k-mers.
 
 A window is 13 consecutive words (``[^\x20\x09-\x0D]+``) of one document. A window's minimiser is the
-least fingerprint of its 5-word grams, so equal windows have equal minimisers wherever they are.
+least fingerprint of its 3-word grams, so equal windows have equal minimisers wherever they are.
 Consecutive windows with one minimiser travel as one packed string of words to the bucket of the
 minimiser; there the strings are sorted, and each distinct window gets the smallest ``doc_id`` it
 occurs in. Words covered by a window that also starts in a document with a smaller id are removed;
@@ -15,7 +15,6 @@ larger than any other; rows with equal ids do not remove each other's words; rep
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -24,22 +23,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from canonix.llm import words as W
+from canonix.llm.shard import numbered
 from canonix.session import scratch_path
 
 WINDOW = 13
-GRAM = 5
+GRAM = 3
 BUCKET_ROWS = 200_000
 #: Windows in one string at most, so that periodic text gives equal pieces.
 RUN = 64
+#: Text that a task packs at a time.
+CHUNK_BYTES = 16 << 20
 _LAST = np.iinfo(np.int64).max
 
 
-def row_print(col: pa.Array) -> np.ndarray:
-    """A 64-bit fingerprint of each whole text."""
-    return np.array([int.from_bytes(hashlib.blake2b(x or b"", digest_size=8).digest(), "little", signed=True)
-                     for x in col.cast(pa.binary()).to_pylist()], np.int64)
-
-
 def _order(col: pa.Array) -> np.ndarray:
     return col.fill_null(_LAST).to_numpy(zero_copy_only=False)
 
@@ -82,17 +78,87 @@ def super_kmers(col: pa.Array, window: int = WINDOW, gram: int = GRAM) -> tuple[
     return row, word - first[row], low[begin].view(np.int64), [text[a:b] for a, b in zip(lo.tolist(), hi.tolist(), strict=True)]
 
 
-def _packed(docs: DataFrame, window: int) -> DataFrame:
+def _planes(a: np.ndarray) -> bytes:
+    """Numbers byte by byte, the first bytes of all first: near numbers compress well."""
+    return a.view(np.uint8).reshape(len(a), -1).T.tobytes()
+
+
+def _numbers(data: bytes, n: int, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, n).T).view(kind).ravel()
+
+
+def _packed(docs: DataFrame, window: int, groups: int) -> DataFrame:
+    """(grp, blob): the packed strings of a stretch of rows for one group of buckets, compressed together."""
+
+    def chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+        held, size = [], 0
+        for b in W.text_slices(batches, 1, CHUNK_BYTES // 4):
+            held.append(b)
+            size += int(np.ptp(W.offsets_of(b.column(1))[[0, -1]]))
+            if size >= CHUNK_BYTES:
+                yield held
+                held, size = [], 0
+        if held:
+            yield held
+
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in W.text_slices(batches, 1, 1 << 20):
-            row, word, bucket, packed = super_kmers(b.column(1), window)
-            order, mark = _order(b.column(0)), row_print(b.column(1))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket), pa.array(packed, pa.binary()), pa.array(order[row]), pa.array(mark[row]), pa.array(word)],
-                names=["bucket", "packed", "doc", "mark", "word"])
+        import zstandard
+
+        squeeze = zstandard.ZstdCompressor(level=3)
+        for chunk in chunks(batches):
+            doc, row, word, bucket, packed = [], [], [], [], []
+            for b in chunk:
+                r, w, k, strings = super_kmers(b.column(1), window)
+                doc.append(_order(b.column(0))[r])
+                row.append(b.column(2).to_numpy()[r])
+                word.append(w)
+                bucket.append(k.view(np.uint64))
+                packed += strings
+            doc, row, word, bucket = (np.concatenate(x) for x in (doc, row, word, bucket))
+            group = (bucket >> np.uint64(32)) % np.uint64(groups)
+            order = np.lexsort([bucket, group])
+            names, cut = np.unique(group[order], return_index=True)
+            out = []
+            for lo, hi in zip(cut.tolist(), [*cut[1:].tolist(), len(order)], strict=True):
+                i = order[lo:hi]
+                out.append(squeeze.compress(b"".join([
+                    len(i).to_bytes(8, "little"), _planes(bucket[i].astype("<u4")), _planes(doc[i].astype("<i8")),
+                    _planes(row[i].astype("<i8")), _planes(word[i].astype("<i8")), b"\n".join([packed[j] for j in i.tolist()])])))
+                if len(out) == 64 or hi == len(order):
+                    done = hi == len(order)
+                    at = len(names) if done else np.searchsorted(cut, hi)
+                    yield pa.RecordBatch.from_arrays([pa.array(names[at - len(out):at].astype(np.int64)), pa.array(out, pa.binary())],
+                                                     names=["grp", "blob"])
+                    out = []
+
+    return docs.select(F.col("doc_id").cast("long"), "text", "__row").mapInArrow(work, "grp long, blob binary")
+
+
+def _unpacked(blobs: DataFrame) -> DataFrame:
+    """(bucket, packed, doc, row, word) of the blobs."""
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        work, "bucket long, packed binary, doc long, mark long, word long")
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        expand = zstandard.ZstdDecompressor()
+        for b in batches:
+            for blob in b.column(1):
+                data = expand.decompress(blob.as_py())
+                n, at = int.from_bytes(data[:8], "little"), 8
+                numbers = []
+                for kind in ("<u4", "<i8", "<i8", "<i8"):
+                    size = n * np.dtype(kind).itemsize
+                    numbers.append(_numbers(data[at:at + size], n, kind).astype(np.int64))
+                    at += size
+                strings = data[at:].split(b"\n")
+                for lo in range(0, n, 10_000):
+                    part = slice(lo, lo + 10_000)
+                    bucket, doc, row, word = (pa.array(x[part]) for x in numbers)
+                    yield pa.RecordBatch.from_arrays([bucket, pa.array(strings[part], pa.binary()), doc, row, word],
+                                                     names=["bucket", "packed", "doc", "row", "word"])
+
+    return blobs.mapInArrow(work, "bucket long, packed binary, doc long, row long, word long")
 
 
 def _cuts(packed: bytes, window: int) -> list[bytes]:
@@ -110,23 +176,23 @@ class _Bucket:
     def __init__(self, window: int, limit: int):
         self.window, self.limit, self.parts, self.rows, self.over = window, limit, [], 0, False
 
-    def add(self, packed: list[bytes], doc: np.ndarray, mark: np.ndarray, word: np.ndarray) -> None:
-        self.parts.append((packed, doc, mark, word))
+    def add(self, packed: list[bytes], doc: np.ndarray, row: np.ndarray, word: np.ndarray) -> None:
+        self.parts.append((packed, doc, row, word))
         self.rows += len(packed)
 
     def done(self) -> Iterator[tuple]:
-        """(doc, mark, word, words, None) of what to remove."""
+        """(doc, row, word, words, None) of what to remove."""
         if self.rows < 2 or self.over and not self.rows:
             return
         packed = [p for part in self.parts for p in part[0]]
-        doc, mark, word = (np.concatenate([part[i] for part in self.parts]).tolist() for i in (1, 2, 3))
+        doc, row, word = (np.concatenate([part[i] for part in self.parts]).tolist() for i in (1, 2, 3))
         if min(doc) == max(doc):
             return
         if packed[0] == packed[-1]:  # sorted: all alike, the first is the smallest document's
             n, least = packed[0].count(b" ") + 1, doc[0]
             for i in range(len(packed)):
                 if doc[i] > least:
-                    yield doc[i], mark[i], word[i], n, None
+                    yield doc[i], row[i], word[i], n, None
             return
         least: dict[bytes, int] = {}
         cuts, before = [], None
@@ -144,23 +210,23 @@ class _Bucket:
                 if hit and begin is None:
                     begin = k
                 elif not hit and begin is not None:
-                    yield d, mark[i], word[i] + begin, k - begin + self.window - 1, None
+                    yield d, row[i], word[i] + begin, k - begin + self.window - 1, None
                     begin = None
 
     def spill(self) -> Iterator[tuple]:
         """The strings so far as single windows."""
         self.over = True
-        for packed, doc, mark, word in self.parts:
-            for p, d, m, w in zip(packed, doc.tolist(), mark.tolist(), word.tolist(), strict=True):
+        for packed, doc, row, word in self.parts:
+            for p, d, m, w in zip(packed, doc.tolist(), row.tolist(), word.tolist(), strict=True):
                 for k, x in enumerate(_cuts(p, self.window)):
                     yield d, m, w + k, self.window, x
         self.parts, self.rows = [], 0
 
 
 def repeated_stretches(docs: DataFrame, window: int = WINDOW, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """(doc, mark, word, words): stretches to remove, of the document with this id and text fingerprint."""
-    schema = "doc long, mark long, word long, words long, window binary"
-    names = ["doc", "mark", "word", "words", "window"]
+    """(doc, row, word, words): stretches to remove, of ``docs`` by row number (``__row``)."""
+    schema = "doc long, row long, word long, words long, window binary"
+    names = ["doc", "row", "word", "words", "window"]
     kinds = [pa.int64()] * 4 + [pa.binary()]
 
     def batched(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
@@ -178,7 +244,7 @@ def repeated_stretches(docs: DataFrame, window: int = WINDOW, bucket_rows: int =
         for b in batches:
             if not b.num_rows:
                 continue
-            bucket, doc, mark, word = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 2, 3, 4))
+            bucket, doc, row, word = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 2, 3, 4))
             cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
             end = np.append(cut[1:], len(bucket))
             inner = end - cut > 1  # a string alone in its bucket has nothing to share
@@ -187,7 +253,7 @@ def repeated_stretches(docs: DataFrame, window: int = WINDOW, bucket_rows: int =
                 if bucket[lo] != now:
                     yield from held.spill() if held.over else held.done()
                     now, held = int(bucket[lo]), _Bucket(window, bucket_rows)
-                held.add(b.column(1).slice(lo, hi - lo).to_pylist(), doc[lo:hi], mark[lo:hi], word[lo:hi])
+                held.add(b.column(1).slice(lo, hi - lo).to_pylist(), doc[lo:hi], row[lo:hi], word[lo:hi])
                 if held.rows > bucket_rows:
                     yield from held.spill()
         yield from held.spill() if held.over else held.done()
@@ -195,24 +261,22 @@ def repeated_stretches(docs: DataFrame, window: int = WINDOW, bucket_rows: int =
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return batched(rows(batches))
 
-    found = _packed(docs, window).repartition("bucket").sortWithinPartitions("bucket", "packed", "doc").mapInArrow(work, schema)
+    groups = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = _unpacked(_packed(docs, window, groups).repartition("grp")).sortWithinPartitions("bucket", "packed", "doc").mapInArrow(work, schema)
     out = scratch_path(docs.sparkSession, "repeats")
     found.write.parquet(out)
     found = docs.sparkSession.read.parquet(out)
     alone = found.filter("window IS NOT NULL")
     least = alone.groupBy("window").agg(F.min("doc").alias("least"))
     late = alone.join(least, "window").filter("doc > least")
-    return found.filter("window IS NULL").drop("window").unionByName(late.select("doc", "mark", "word", "words"))
+    return found.filter("window IS NULL").drop("window").unionByName(late.select("doc", "row", "word", "words"))
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """(doc_id, n_words, n_removed, kept): every document's kept words, one space apart."""
+    docs, _ = numbered(docs.select(F.col("doc_id").cast("long"), "text"), "__row")
     gone = repeated_stretches(docs, window, bucket_rows)
-    gone = gone.groupBy("doc", "mark").agg(F.sort_array(F.collect_set(F.struct("word", "words"))).alias("gone"))
-
-    def marked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(row_print(b.column(1)))], names=["doc_id", "text", "mark"])
+    gone = gone.groupBy("row").agg(F.sort_array(F.collect_set(F.struct("word", "words"))).alias("gone"))
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sep = ~W.space_separated()
@@ -234,9 +298,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, bucket_rows: int = BUC
                  pa.array(kept, pa.binary()).cast(pa.string())],
                 names=["doc_id", "n_words", "n_removed", "kept"])
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(marked, "doc_id long, text string, mark long")
-    same = (F.coalesce(rows["doc_id"], F.lit(int(_LAST))) == gone["doc"]) & (rows["mark"] == gone["mark"])
-    return rows.join(gone, same, "left").select("doc_id", "text", "gone").mapInArrow(
+    return docs.join(gone, docs["__row"] == gone["row"], "left").select("doc_id", "text", "gone").mapInArrow(
         work, "doc_id long, n_words long, n_removed long, kept string")
 
 
