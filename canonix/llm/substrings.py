@@ -32,7 +32,7 @@ BUCKET_ROWS = 200_000
 #: Windows in one string at most, so that periodic text gives equal pieces.
 RUN = 64
 #: Text that a task packs at a time.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 _LAST = np.iinfo(np.int64).max
 
 
@@ -93,7 +93,7 @@ def _packed(docs: DataFrame, window: int, groups: int) -> DataFrame:
 
     def chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
         held, size = [], 0
-        for b in W.text_slices(batches, 1, CHUNK_BYTES // 4):
+        for b in W.text_slices(batches, 1, 1 << 20):
             held.append(b)
             size += int(np.ptp(W.offsets_of(b.column(1))[[0, -1]]))
             if size >= CHUNK_BYTES:
@@ -115,6 +115,7 @@ def _packed(docs: DataFrame, window: int, groups: int) -> DataFrame:
                 word.append(w)
                 bucket.append(k.view(np.uint64))
                 packed += strings
+            chunk.clear()
             doc, row, word, bucket = (np.concatenate(x) for x in (doc, row, word, bucket))
             group = (bucket >> np.uint64(32)) % np.uint64(groups)
             order = np.lexsort([bucket, group])
@@ -125,6 +126,8 @@ def _packed(docs: DataFrame, window: int, groups: int) -> DataFrame:
                 out.append(squeeze.compress(b"".join([
                     len(i).to_bytes(8, "little"), _planes(bucket[i].astype("<u4")), _planes(doc[i].astype("<i8")),
                     _planes(row[i].astype("<i8")), _planes(word[i].astype("<i8")), b"\n".join([packed[j] for j in i.tolist()])])))
+                for j in i.tolist():
+                    packed[j] = None
                 if len(out) == 64 or hi == len(order):
                     done = hi == len(order)
                     at = len(names) if done else np.searchsorted(cut, hi)
@@ -280,7 +283,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, bucket_rows: int = BUC
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sep = ~W.space_separated()
-        for b in W.text_slices(batches, 1):
+        for b in W.text_slices(batches, 1, 1 << 20):
             data, off = W.text_bytes(b.column(1))
             ws, we, first = W.word_spans(data, off, ~sep)
             out = np.zeros(len(ws), bool)
