@@ -6,6 +6,7 @@ from canonix.llm.bpe import op2_byte_bpe
 from canonix.llm.chat import OP8_SQL, op8_chat_formatting
 from canonix.llm.decontaminate import OP10_SQL, op10_decontamination
 from canonix.llm.nearest import op9_nearest_neighbours
+from canonix.llm.neardup import op5_ngram_jaccard_join
 from canonix.llm.packing import op4_packed_tokens
 from canonix.llm.quality import op3_quality_classifier
 from canonix.llm.shard import op7_sharding
@@ -15,6 +16,7 @@ QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_packed_tokens": op4_packed_tokens,
+    "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_sharding": op7_sharding,
     "op8_chat_formatting": op8_chat_formatting,
