@@ -5,6 +5,7 @@ from __future__ import annotations
 from canonix.llm.bpe import op2_byte_bpe
 from canonix.llm.chat import OP8_SQL, op8_chat_formatting
 from canonix.llm.decontaminate import OP10_SQL, op10_decontamination
+from canonix.llm.lines import op1_line_dedup
 from canonix.llm.nearest import op9_nearest_neighbours
 from canonix.llm.neardup import op5_ngram_jaccard_join
 from canonix.llm.packing import op4_packed_tokens
@@ -13,6 +14,7 @@ from canonix.llm.shard import op7_sharding
 from canonix.llm.substrings import OP6_SQL, op6_substring_dedup
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_packed_tokens": op4_packed_tokens,
