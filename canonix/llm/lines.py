@@ -128,15 +128,16 @@ def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     gone = _written(dropped_lines(rows, threshold), "dropped-lines")
     size = gone.agg(F.sum(F.size("gone") * 4 + 32)).first()[0] or 0
     gone = F.broadcast(gone) if size <= BROADCAST_BYTES // 4 else gone
-    joined = rows.join(gone, rows["__row"] == gone["row"], "left")
+    gone = gone.withColumnsRenamed({"row": "__at", "gone": "__gone"})  # names that documents do not have
+    joined = rows.join(gone, rows["__row"] == gone["__at"], "left")
     lines = F.split("text", "\n")
-    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__gone"))
     # Lines are cut once, and those that stay are taken by number.
     text = F.transform(F.array(lines), lambda l: F.array_join(F.transform(stay, lambda i: F.get(l, i)), "\n"))[0]
-    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(text)
+    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(text)
     kept = [text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines))
-    return joined.select(*kept, n_lines.cast("long").alias("__n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("__n_gone"))
+    return joined.select(*kept, n_lines.cast("long").alias("__n_lines"), F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("__n_gone"))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
