@@ -52,6 +52,8 @@ def repair_one(text: str | None, retries: int = 3) -> tuple[bool, str | None, st
             err = str(e)
             if any(k in err for k in _REPAIRABLE):
                 s = s + ("]" if s.endswith("}") else "}")
+        except (ValueError, RecursionError) as e:  # numbers too long or nesting too deep for the parser
+            return False, s, str(e)
     return False, s, err
 
 

@@ -19,7 +19,7 @@ def canonical_string(c: Column) -> Column:
 
 def split_trim(c: Column, sep: str = ",") -> Column:
     """Split on a separator and strip each part."""
-    return F.transform(F.split(c, _regex_escape(sep)), lambda x: F.trim(x))
+    return F.transform(F.split(c, _regex_escape(sep)), lambda x: F.regexp_replace(x, r"^[\s\p{Z}]+|[\s\p{Z}]+$", ""))
 
 
 def _regex_escape(s: str) -> str:

@@ -85,13 +85,17 @@ def cast_sql(name_sql: str, physical: T.DataType, target: T.DataType) -> str:
     Plain ``CAST`` when it cannot fail (keeps predicates on it pushable to the
     scan), ``TRY_CAST`` otherwise (a bad cell becomes null under ANSI mode).
 
-    A fractional number declared ``Integer`` converts only when it is whole
-    (``1.0`` -> ``1``); ``1.5`` becomes null instead of being truncated.
+    A fractional number declared ``Integer``, also one in text, converts only when it is
+    whole (``1.0`` -> ``1``); ``1.5`` becomes null instead of being truncated.
     """
     if not is_basic_type(physical) or physical == target:
         return name_sql
     if isinstance(physical, _FRACTIONAL) and isinstance(target, T.LongType):
         return f"CASE WHEN {name_sql} = floor({name_sql}) THEN TRY_CAST({name_sql} AS BIGINT) END"
+    if isinstance(physical, T.StringType) and isinstance(target, T.LongType):
+        number = f"TRY_CAST({name_sql} AS DECIMAL(38, 9))"
+        return (f"COALESCE(TRY_CAST({name_sql} AS BIGINT), "
+                f"CASE WHEN {number} = floor({number}) THEN TRY_CAST({number} AS BIGINT) END)")
     fn = "CAST" if _safe_cast(physical, target) else "TRY_CAST"
     return f"{fn}({name_sql} AS {target.simpleString()})"
 

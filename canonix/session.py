@@ -44,7 +44,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = spark.conf.get(_CHECKPOINT_KEY, None) or sc.getConf().get(_CHECKPOINT_KEY, None)
         if not current:
-            # Only reached when the cluster names no folder (local tests / bench).
+            if sc.master != "local" and not sc.master.startswith("local["):
+                raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+            # Local tests and bench.
             current = tempfile.mkdtemp(prefix="canonix-ckpt-")
             spark.conf.set(_CHECKPOINT_KEY, current)
         sc.setCheckpointDir(current)

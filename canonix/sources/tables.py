@@ -37,15 +37,19 @@ def read_csv(
     corrupt_column: str | None = None,
     infer: bool = True,
     sampling_ratio: float | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Tolerant CSV scan (S1): bad cells become null instead of failing the job.
 
+    Quoted cells may hold doubled quotes and line breaks. ``multi_line=False``
+    lets Spark split large files whose cells hold no line break.
+
     Without a schema, types are inferred over all rows (one extra pass);
     ``sampling_ratio`` infers from a fraction instead, and a cell that does not
     fit the inferred type then reads as null, as with a prefix-inferring reader.
     A declared schema (``declared_schema_for``) avoids the pass entirely.
     """
-    r = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    r = spark.read.option("header", True).option("mode", "PERMISSIVE").option("escape", '"').option("multiLine", multi_line)
     if schema is not None:
         if corrupt_column:
             st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
@@ -88,13 +92,15 @@ def read_csv_na_tokens(
     path: str | Sequence[str],
     types: dict[str, T.DataType] | None = None,
     na_tokens: Sequence[str] = ("",),
+    multi_line: bool = True,
 ) -> DataFrame:
     """CSV scan with a missing-value token list.
 
     Every cell is read as text; a cell equal to a token becomes null; columns
     named in ``types`` are then ``try_cast`` (a bad cell becomes null).
     """
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    raw = spark.read.option("header", True).option("inferSchema", False).option("escape", '"').option(
+        "multiLine", multi_line).csv(path)
     tokens = list(na_tokens)
     exprs = []
     for name in raw.columns:

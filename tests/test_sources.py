@@ -104,3 +104,13 @@ def test_csv_header_names_exact_and_standardize(spark, tmpdir_path):
     ])
     got = sorted(tuple(r) for r in standardize(df, "t.csv", hm).collect())
     assert got == [(1, 10, 1.5, "p"), (2, 20, None, "q")]
+
+
+def test_csv_quotes_and_line_breaks_roundtrip(spark, tmpdir_path):
+    from canonix.sources.sinks import write_csv
+    from canonix.sources.tables import read_csv, read_csv_na_tokens
+
+    want = [("1", 'say "hi", ok', "5"), ("2", "two\nlines", "6")]
+    write_csv(spark.createDataFrame(want, "id string, txt string, n string"), f"{tmpdir_path}/q")
+    for df in (read_csv(spark, f"{tmpdir_path}/q", infer=False), read_csv_na_tokens(spark, f"{tmpdir_path}/q")):
+        assert sorted(map(tuple, df.collect())) == want
