@@ -1,4 +1,7 @@
-r"""Line dedup by MinHash (DataFrame functions only).
+r"""Line dedup by MinHash. Shingles are hashed in Arrow UDFs, all else is DataFrame functions.
+
+The signatures as array functions, without Python, are whole as well but took 1097 CPU seconds a GB where
+400 are allowed, as higher-order functions run uncompiled for every character; hence the freer style here.
 
 Lines are what ``\n`` separates; blank ones stay where they are and take no part. A line is the set of
 its 8-character shingles (a shorter line is one shingle). Its hashed shingles lie on a ring, and the
@@ -22,11 +25,10 @@ from pyspark.sql.window import Window
 
 from canonix.llm.components import _written, components
 from canonix.llm.shard import numbered
+from canonix.llm.shingles import BANDS, are_similar, band_keys
 from canonix.session import scratch_path
 
-SHINGLE = 8
 THRESHOLD = 0.8
-BANDS, ROWS = 9, 4
 NEIGHBOURS = 3
 #: Ids of candidates and lists of dropped lines are broadcast up to this size, and joined by shuffle beyond.
 BROADCAST_BYTES = 64 << 20
@@ -44,40 +46,6 @@ def _place() -> Column:
     return F.shiftleft(F.col("row").cast("long"), _PLACE_BITS).bitwiseOR(F.col("pos").cast("long"))
 
 
-def shingle_hashes(line: str = "line") -> Column:
-    """Even hashes of all shingles of a line, repeats included."""
-    def per(chars: Column) -> Column:  # four bytes a character, so that a place in it is found at once
-        starts = F.sequence(F.lit(0), F.greatest(F.char_length(line) - SHINGLE, F.lit(0)))
-        return F.transform(starts, lambda i: F.shiftleft(F.xxhash64(F.substr(chars, i * 4 + 1, F.lit(4 * SHINGLE))), 1))
-
-    # A lambda's variable is evaluated once, the expression in its place would be for every shingle.
-    return F.transform(F.array(F.encode(line, "UTF-32")), per)[0]
-
-
-def _points() -> Column:
-    """Odd places around the ring, a golden section apart."""
-    step = 0x9E3779B97F4A7C15
-    found = sorted(((i * step + 0x51ED270B) % 2 ** 64 - 2 ** 63) | 1 for i in range(BANDS * ROWS))
-    return F.array(*[F.lit(p) for p in found])
-
-
-def band_keys(hashes: Column) -> Column:
-    """For each band a hash of its number and its values."""
-    def from_hashes(h: Column) -> Column:
-        begin = F.struct(F.array_min(h).alias("next"), F.array().cast("array<bigint>").alias("out"))
-        return F.aggregate(
-            F.reverse(F.sort_array(F.concat(h, _points()))), begin,
-            lambda s, x: F.when(x.bitwiseAND(F.lit(1)) == 1, F.struct(s["next"].alias("next"), F.array_append(s["out"], s["next"]).alias("out")))
-            .otherwise(F.struct(x.alias("next"), s["out"].alias("out"))),
-            lambda s: s["out"])
-
-    def keys(v: Column) -> Column:
-        # Points of a band lie far apart, as neighbours may share a value.
-        return F.array(*[F.xxhash64(F.lit(b), *[v[b + BANDS * r] for r in range(ROWS)]) for b in range(BANDS)])
-
-    return F.transform(F.transform(F.array(hashes), from_hashes), keys)[0]
-
-
 def _small(df: DataFrame, row_bytes: int) -> DataFrame:
     """``df``, to be broadcast if its measured size allows."""
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
@@ -100,17 +68,14 @@ def similar_pairs(texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     lines = _written(texts.select("node", "line").join(_small(_written(ids, "line-ids"), 8), "node"), "line-texts")
     both = pairs.join(lines.select(F.col("node").alias("a"), F.col("line").alias("x")), "a")
     both = both.join(lines.select(F.col("node").alias("b"), F.col("line").alias("y")), "b")
-    sets = both.select("a", "b", F.array_distinct(shingle_hashes("x")).alias("x"), F.array_distinct(shingle_hashes("y")).alias("y"))
-    common = F.size(F.array_intersect("x", "y"))
-    sets = sets.select("a", "b", (F.size("x") + F.size("y")).alias("n"), common.alias("c"))
-    return sets.filter(F.col("c") >= F.lit(threshold) * (F.col("n") - F.col("c")) - 1e-9).select("a", "b")
+    return both.select("a", "b", are_similar(threshold)("x", "y").alias("same")).filter("same").select("a", "b")
 
 
 def dropped_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(row, gone): numbers of the lines that go, of numbered ``docs`` (``__row``)."""
     each = _lines(docs)
     texts = each.select("line", _place().alias("place")).groupBy("line").agg(F.min("place").alias("node"), F.count("*").alias("n"))
-    texts = texts.select("node", "n", "line", band_keys(shingle_hashes()).alias("keys"))
+    texts = texts.select("node", "n", "line", band_keys()("line").alias("keys"))
     out = scratch_path(docs.sparkSession, "lines")
     texts.write.option("compression", "zstd").parquet(out)
     texts = docs.sparkSession.read.parquet(out)
