@@ -53,14 +53,16 @@ def _small(df: DataFrame, row_bytes: int) -> DataFrame:
 
 def similar_pairs(texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(a, b): verified pairs of the lines of ``texts`` (node, line, keys)."""
-    # With each band's key the next band's, for the order within a bucket.
-    turned = F.transform("keys", lambda k, i: F.struct(k.alias("key"), F.get("keys", (i + 1) % BANDS).alias("order")))
+    # With each band's key half of the next band's, for the order within a bucket.
+    turned = F.transform("keys", lambda k, i: F.struct(k.alias("key"), F.shiftrightunsigned(F.get("keys", (i + 1) % BANDS), 32).alias("order")))
     labels = texts.select("node", F.explode(turned).alias("k")).select("node", "k.key", "k.order")
-    shared = labels.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).filter("first != last")
-    members = labels.join(shared, "key")
-    near = Window.partitionBy("key").orderBy("order", "node")
-    others = [F.col("first"), *[F.lag("node", k).over(near) for k in range(1, NEIGHBOURS + 1)]]
-    pairs = members.select("node", F.array(*others).alias("others")).select("node", F.explode("others").alias("other"))
+    bucket = Window.partitionBy("key")  # one exchange and one sort serve both windows
+    near = bucket.orderBy("order", "node")
+    before = [f"before{k}" for k in range(1, NEIGHBOURS + 1)]
+    members = labels.select("node", F.min("node").over(bucket).alias("first"),
+                            *[F.lag("node", k).over(near).alias(c) for k, c in enumerate(before, 1)])
+    members = members.filter("first != node OR before1 IS NOT NULL")
+    pairs = members.select("node", F.explode(F.array("first", *before)).alias("other"))
     pairs = pairs.filter("other IS NOT NULL AND other != node").select(
         F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
     pairs = _written(pairs, "line-pairs")
