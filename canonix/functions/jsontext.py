@@ -3,18 +3,13 @@
 * ``strip_fences``: drop ```` ```json ```` / ```` ``` ```` markers and trim.
 * ``array_slice``: the text from the first ``[`` to the last ``]`` (a nested
   list stays whole; the last-``[`` rule would cut it in half).
-* ``parse_repair``: the reference's parse-with-repair loop. Which repair
-  applies depends on the Python parser's error kind (an unterminated string or
-  a missing ``,`` gets a closer appended, any other error none), which no Spark
-  expression reproduces, so this one step is a small Arrow-batched pandas UDF
-  over a column of responses; accepted text is then parsed by Spark.
+* ``parse_repair``: a truncated response is tried with up to two closers, all as
+  Spark columns. Differences to a plain JSON parser: an object that repeats a
+  key, and ``NaN`` or ``Infinity``, are not accepted.
 """
 
 from __future__ import annotations
 
-import json
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,41 +30,26 @@ def array_slice(c: Column) -> Column:
     return F.when(ok, F.substring(c, start, last - start + 1))
 
 
-_REPAIRABLE = ("Unterminated string", "Expecting ',' delimiter")
-
-
-def repair_one(text: str | None, retries: int = 3) -> tuple[bool, str | None, str | None]:
-    """(accepted, final text, last error) under the reference's retry rule."""
-    if text is None:
-        return False, None, "null input"
-    s = text
-    err = None
-    for _ in range(retries):
-        try:
-            json.loads(s)
-            return True, s, None
-        except json.JSONDecodeError as e:
-            err = str(e)
-            if any(k in err for k in _REPAIRABLE):
-                s = s + ("]" if s.endswith("}") else "}")
-        except (ValueError, RecursionError) as e:  # numbers too long or nesting too deep for the parser
-            return False, s, str(e)
-    return False, s, err
+def _is_json(c: Column) -> Column:
+    """Whether a text is one whole JSON document (null: no).
 
+    The parser stops after the first document, so what follows it shows only inside a list and inside an object.
+    """
+    inside = [F.concat(F.lit("["), c, F.lit("]")), F.concat(F.lit('{"x":'), c, F.lit("}"))]
+    return F.try_parse_json(inside[0]).isNotNull() & F.try_parse_json(inside[1]).isNotNull()
 
-_REPAIR_TYPE = T.StructType(
-    [
-        T.StructField("accepted", T.BooleanType()),
-        T.StructField("text", T.StringType()),
-        T.StructField("error", T.StringType()),
-    ]
-)
 
+def repair_candidates(c: Column) -> list[Column]:
+    """The text as it is, then with one and with two closers, in the order they are tried.
 
-@F.pandas_udf(_REPAIR_TYPE)
-def _repair_udf(s: pd.Series) -> pd.DataFrame:
-    out = [repair_one(None if v is None or (isinstance(v, float) and pd.isna(v)) else v) for v in s]
-    return pd.DataFrame(out, columns=["accepted", "text", "error"])
+    Only a text that breaks off inside a string or after a value is completed: one that ends in an opening
+    bracket, a comma or a colon lacks more than a closer, so its completions are null.
+    """
+    open_end = c.rlike(r"[^\s{\[,:]\s*$")
+    after_brace = F.endswith(c, F.lit("}"))
+    one = F.when(open_end, F.concat(c, F.when(after_brace, F.lit("]")).otherwise(F.lit("}"))))
+    two = F.when(open_end, F.concat(c, F.when(after_brace, F.lit("]}")).otherwise(F.lit("}]"))))
+    return [c, one, two]
 
 
 def parse_repair_all(df: DataFrame, column: str, schema: T.DataType | str | None = None,
@@ -79,15 +59,15 @@ def parse_repair_all(df: DataFrame, column: str, schema: T.DataType | str | None
     src = F.col(quote(column))
     if strip:
         src = strip_fences(src)
-    r = df.withColumn("__r", _repair_udf(src))
-    out = r.withColumns({
-        "accepted": F.col("__r.accepted"),
-        "json_text": F.when(F.col("__r.accepted"), F.col("__r.text")),
-        "error": F.col("__r.error"),
+    fixed = F.coalesce(*[F.when(_is_json(c), c) for c in repair_candidates(src)])
+    out = df.withColumn("json_text", fixed)
+    out = out.withColumns({
+        "accepted": F.col("json_text").isNotNull(),
+        "error": F.when(src.isNull(), F.lit("null input")).when(F.col("json_text").isNull(), F.lit("not valid JSON")),
     })
     if schema is not None:
         out = out.withColumn("parsed", F.from_json("json_text", schema))
-    return out.drop("__r")
+    return out
 
 
 def parse_repair(df: DataFrame, column: str, schema: T.DataType | str | None = None,

@@ -45,14 +45,20 @@ def value_predicate(c: Column, dtype: T.DataType, value: str) -> Column:
     return canonical_string(c) == F.lit(value)
 
 
-def suffixed_columns(df: DataFrame, feature: str) -> list[str]:
-    """The feature's unsuffixed column plus every ``<feature>_from_*`` column of a merge."""
+def suffixed_columns(df: DataFrame, feature: str, suffixes: Sequence[str] | None = None) -> list[str]:
+    """The feature's unsuffixed column plus its columns of later merged datasets.
+
+    ``suffixes`` names those datasets' suffixes exactly; without them every ``<feature>_from_*`` column counts.
+    """
     out = [feature] if feature in df.columns else []
+    if suffixes is not None:
+        return out + [feature + x for x in suffixes if feature + x in df.columns]
     out += [c for c in df.columns if c.startswith(feature + "_from_")]
     return out
 
 
-def filter_by_value(df: DataFrame, feature: str, value: str, scope: str = "first") -> DataFrame:
+def filter_by_value(df: DataFrame, feature: str, value: str, scope: str = "first",
+                    suffixes: Sequence[str] | None = None) -> DataFrame:
     """Keep rows whose canonical feature equals ``value`` as text (F1, F2).
 
     ``scope="first"`` tests only the unsuffixed column (the first merged
@@ -62,7 +68,7 @@ def filter_by_value(df: DataFrame, feature: str, value: str, scope: str = "first
     if feature not in df.columns:
         warnings.warn(f"canonical feature {feature!r} not in the DataFrame; returning no rows", stacklevel=2)
         return df.limit(0)
-    cols = [feature] if scope == "first" else suffixed_columns(df, feature)
+    cols = [feature] if scope == "first" else suffixed_columns(df, feature, suffixes)
     if scope not in ("first", "any"):
         raise ValueError(f"unknown scope {scope!r}")
     schema = {f.name: f.dataType for f in df.schema.fields}
@@ -89,15 +95,15 @@ def merge_then_filter(
     When the filter is on the merge key itself, the predicate is given to the
     merge so it is applied to every input before any join.
     """
-    from canonix.operators.merge import merge_by_key
+    from canonix.operators.merge import merge_by_key, participants
+    from canonix.operators.standardize import feature_types, suffix_for
 
     key = key or hmap.features[0].canonical_name
     key_filter = None
     if feature == key:
-        f = hmap.feature(key)
-        from canonix.model import declared_type
-
-        key_filter = value_predicate(F.col(quote(key)), declared_type(f.data_type), value)
+        names, _ = participants(hmap, datasets, key, order, merge_kwargs.get("include_unkeyed", False))
+        key_type = feature_types(hmap, {n: datasets[n] for n in names})[key]
+        key_filter = value_predicate(F.col(quote(key)), key_type, value)
     merged = merge_by_key(hmap, datasets, key, order=order, strategy=strategy, key_filter=key_filter,
                           **merge_kwargs)
-    return filter_by_value(merged, feature, value, scope=scope)
+    return filter_by_value(merged, feature, value, scope=scope, suffixes=[suffix_for(n) for n in datasets])

@@ -27,6 +27,7 @@ Two physical strategies produce the same rows:
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -182,7 +183,9 @@ def merge_by_key(
     key counts (one pre-aggregated pass, no join) and a larger merge raises
     ``MergeTooLarge`` instead of running.
     """
-    names, _ = participants(hmap, datasets, key, order, include_unkeyed)
+    names, skipped = participants(hmap, datasets, key, order, include_unkeyed)
+    if skipped:
+        warnings.warn(f"datasets without a column for {key!r} are skipped: {', '.join(skipped)}", stacklevel=2)
     if not names:
         raise ValueError(f"no dataset maps the merge key {key!r}")
     if strategy == "auto":
@@ -206,9 +209,11 @@ def merge_by_key(
             null_rows = [p.where(key_filter) for p in null_rows]
         parts = keyed
     if max_rows is not None:
-        size = merge_row_count(keyed + null_rows, key).collect()[0]["rows"] or 0  # one row
-        if size > max_rows:
-            raise MergeTooLarge(f"merge on {key!r} would produce {size} rows (limit {max_rows})")
+        total, too_many = merge_size(keyed + null_rows, key)
+        size = total.select("total", too_many.alias("over")).first()  # one row
+        if size["over"] or (size["total"] or 0) > max_rows:
+            rows = "over 9.2e18" if size["over"] else size["total"]
+            raise MergeTooLarge(f"merge on {key!r} would produce {rows} rows (limit {max_rows})")
     hot = find_hot_keys(parts, key, skew) if skew.enabled else None
     branches = []
     if hot is not None:
@@ -266,6 +271,24 @@ def _product(cols: list[Column]) -> Column:
     return reduce(lambda a, b: a * b, [F.greatest(c.cast("double"), F.lit(1.0)) for c in cols])
 
 
+def merge_size(parts: list[DataFrame], key: str) -> tuple[DataFrame, Column]:
+    """One row with the exact size ``total``, and a test that it exceeds a bigint (``total`` is then of no use).
+
+    Products and sums are decimals; a double beside them, never inexact by more than rounding, tells overflow.
+    """
+    stats = key_counts(parts, key)
+    counts = [F.col(f"n{i}") for i in range(len(parts))]
+    rows_of_null = reduce(lambda a, b: a + b, counts)
+    exact = F.lit(1).cast("decimal(38,0)")
+    for c in counts:
+        exact = F.try_multiply(exact, F.greatest(c, F.lit(1)).cast("decimal(19,0)")).cast("decimal(38,0)")
+    null_key = F.col(_KEY_TMP).isNull()
+    total = stats.agg(
+        F.try_sum(F.when(null_key, rows_of_null.cast("decimal(38,0)")).otherwise(exact)).alias("total"),
+        F.sum(F.when(null_key, rows_of_null.cast("double")).otherwise(_product(counts))).alias("about"))
+    return total, F.coalesce(F.col("about"), F.lit(0.0)) >= F.lit(9.2e18)
+
+
 def merge_row_count(parts: list[DataFrame], key: str) -> DataFrame:
     """Exact merged row count without joining (R5 size guard).
 
@@ -273,11 +296,8 @@ def merge_row_count(parts: list[DataFrame], key: str) -> DataFrame:
     of its rows once (null keys never match). One pre-aggregated pass over the
     key columns.
     """
-    stats = key_counts(parts, key)
-    counts = [F.col(f"n{i}") for i in range(len(parts))]
-    total = reduce(lambda a, b: a + b, counts)
-    per_key = F.when(F.col(_KEY_TMP).isNull(), total.cast("double")).otherwise(_product(counts))
-    return stats.agg(F.sum(per_key).cast("bigint").alias("rows"))
+    total, too_many = merge_size(parts, key)
+    return total.select(F.when(~too_many, F.col("total")).cast("bigint").alias("rows"))
 
 
 def find_hot_keys(keyed: list[DataFrame], key: str, skew: SkewConfig) -> DataFrame | None:

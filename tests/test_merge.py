@@ -181,3 +181,13 @@ def test_mixed_physical_key_types_join_under_ansi(spark):
                      key=lambda t: (t[0] is None, t))
         # "1" and "2.0" are whole numbers; "oops" is none: a null key, never matched
         assert got == [(1, "x", "p"), (2, "y", "r"), (None, None, "q")]
+
+
+def test_row_guard_tells_overflow(spark):
+    from canonix.operators.merge import MergeTooLarge
+
+    names = [f"{c}.csv" for c in "abcd"]
+    m = HarmonizationMap.from_obj([{"canonical_name": "k", "data_type": "Integer", "original_columns": {n: ["k"] for n in names}}])
+    ds = {n: spark.range(100_000).selectExpr("1 AS k") for n in names}
+    with pytest.raises(MergeTooLarge):
+        merge_by_key(m, ds, "k", max_rows=10)

@@ -134,3 +134,13 @@ def test_cli_analyze_writes_map(spark, tmpdir_path, capsys):
     assert "- a.csv: Shape [1, 2]" in out
     hm = load_map_from_report_folder(spark, f"{d}/out/map.json")
     assert hm.feature("id").candidates("b.csv") == ["id"]
+
+
+def test_repair_runs_without_python_and_survives_odd_input(spark):
+    odd = ["[" + "9" * 5000 + "]", "[" * 5000, '[{', '{"a":{"b":1', None, '[{"a":1']
+    df = spark.createDataFrame(list(enumerate(odd)), "i int, raw string")
+    out = jsontext.parse_repair_all(df, "raw")
+    assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {r.i: (r.accepted, r.json_text) for r in out.collect()}
+    assert got[5] == (True, '[{"a":1}]')
+    assert not any(got[i][0] for i in (1, 2, 3, 4))
