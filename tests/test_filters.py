@@ -55,3 +55,15 @@ def test_typed_filter_property(spark):
         assert typed == text
 
     check()
+
+
+def test_key_filter_uses_the_physical_key_type(spark):
+    from canonix.model import HarmonizationMap
+    from canonix.operators.filters import merge_then_filter
+
+    m = HarmonizationMap.from_obj([{"canonical_name": "t", "data_type": "Integer",
+                                    "original_columns": {"a.csv": ["t"], "b.csv": ["t"]}}])
+    df = spark.sql("SELECT TIMESTAMP '2024-01-05 00:00:00' AS t")
+    ds = {"a.csv": df, "b.csv": df}
+    assert merge_then_filter(m, ds, "t", "F").count() == 0
+    assert merge_then_filter(m, ds, "t", "2024-01-05 00:00:00").count() == 1
