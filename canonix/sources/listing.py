@@ -91,7 +91,10 @@ def sidecar_pairing(spark: SparkSession, folder: str, datasets: DataFrame | None
         return tab.select("dataset", F.lit(None).cast("string").alias("metadata_file"),
                           F.lit(None).cast("string").alias("metadata_text"))
     texts = spark.read.text(paths, wholetext=True).select(
-        F.col("value").alias("metadata_text"), F.col("_metadata.file_path").alias("path"))
+        F.col("value").alias("metadata_text"), F.col("_metadata.file_name").alias("path"))
+    # the file name, too, comes percent-encoded; a plus sign stands for itself
+    texts = texts.withColumn("path", F.coalesce(
+        F.try_url_decode(F.replace("path", F.lit("+"), F.lit("%2B"))), "path"))
     rank = F.array_position(F.array(*[F.lit(e) for e in METADATA_EXTENSIONS]), extension(F.col("path")))
     texts = texts.select(
         base_name(F.col("path")).alias("base"),
