@@ -10,10 +10,10 @@ the probability of their Jaccard similarity. Bands of four values give candidate
 0.8, more above); the exact similarity of the shingle sets decides; lines of 0.8 or more are joined by
 distributed union-find, and of each component only the first line of the corpus stays.
 
-Equal lines are one line from the start. Within a band's bucket each line meets the first one and its
-three neighbours in the order of another band, so the work grows with the lines, not with the square of a
-bucket: every pair of a bucket of up to five is compared, and of larger ones each line with four others in
-each of its nine bands. Defined results: the corpus is in table order (files by path, rows within);
+Equal lines are one line from the start. Within a band's bucket each line first meets the first one and its
+three neighbours in the order of another band. Lines that are joined by then need no more comparison; a
+bucket that still holds several classes is compared whole, in pairs of blocks of lines, so no candidate
+is left out. Defined results: the corpus is in table order (files by path, rows within);
 null text stays null; a text all of whose lines go is empty; repeated rows keep their lines only once.
 """
 
@@ -25,11 +25,13 @@ from pyspark.sql.window import Window
 
 from canonix.llm.components import _written, components
 from canonix.llm.shard import numbered
-from canonix.llm.shingles import BANDS, are_similar, band_keys
+from canonix.llm.shingles import BANDS, are_similar, band_keys, similar_in_blocks
 from canonix.session import scratch_path
 
 THRESHOLD = 0.8
 NEIGHBOURS = 3
+#: Lines of a bucket that are compared at a time, with each other or with as many others.
+BLOCK = 128
 #: Ids of candidates and lists of dropped lines are broadcast up to this size, and joined by shuffle beyond.
 BROADCAST_BYTES = 64 << 20
 #: A line's place: row number, then line number, which 24 bits hold.
@@ -51,26 +53,50 @@ def _small(df: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
 
 
-def similar_pairs(texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(a, b): verified pairs of the lines of ``texts`` (node, line, keys)."""
+def similar_classes(texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(node, root): classes of the lines of ``texts`` (node, line, keys) that have a similar line."""
     # With each band's key half of the next band's, for the order within a bucket.
     turned = F.transform("keys", lambda k, i: F.struct(k.alias("key"), F.shiftrightunsigned(F.get("keys", (i + 1) % BANDS), 32).alias("order")))
     labels = texts.select("node", F.explode(turned).alias("k")).select("node", "k.key", "k.order")
-    bucket = Window.partitionBy("key")  # one exchange and one sort serve both windows
+    bucket = Window.partitionBy("key")  # one exchange and one sort serve all windows
     near = bucket.orderBy("order", "node")
     before = [f"before{k}" for k in range(1, NEIGHBOURS + 1)]
-    members = labels.select("node", F.min("node").over(bucket).alias("first"),
+    members = labels.select("node", "key", F.min("node").over(bucket).alias("first"), F.count("*").over(bucket).alias("n"),
                             *[F.lag("node", k).over(near).alias(c) for k, c in enumerate(before, 1)])
-    members = members.filter("first != node OR before1 IS NOT NULL")
+    members = _written(members.filter("n > 1"), "line-buckets")
     pairs = members.select("node", F.explode(F.array("first", *before)).alias("other"))
     pairs = pairs.filter("other IS NOT NULL AND other != node").select(
         F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
     pairs = _written(pairs, "line-pairs")
-    ids = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    lines = _written(texts.select("node", "line").join(_small(_written(ids, "line-ids"), 8), "node"), "line-texts")
+    lines = texts.select("node", "line").join(_small(_written(members.select("node").distinct(), "line-ids"), 8), "node")
+    lines = _written(lines, "line-texts")
     both = pairs.join(lines.select(F.col("node").alias("a"), F.col("line").alias("x")), "a")
     both = both.join(lines.select(F.col("node").alias("b"), F.col("line").alias("y")), "b")
-    return both.select("a", "b", are_similar(threshold)("x", "y").alias("same")).filter("same").select("a", "b")
+    found = both.select("a", "b", are_similar(threshold)("x", "y").alias("same")).filter("same").select("a", "b")
+    roots = _written(components(_written(found, "similar-lines")), "line-classes")
+    # Only pairs of a bucket of more lines than met here, of which some are in different classes, are left.
+    rest = _rest(members.filter(F.col("n") > NEIGHBOURS + 1), roots, lines, threshold)
+    known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    return components(known.unionByName(rest))
+
+
+def _rest(members: DataFrame, roots: DataFrame, lines: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
+    """(a, b): similar lines of the buckets of ``members`` whose lines are of several classes, as edges to the least.
+
+    A bucket is cut, by class, into blocks of ``block`` lines; a pair of blocks is one piece of work. Blocks of one
+    and the same class need no comparison, so a bucket of thousands of near copies and some others is cheap.
+    """
+    rows = members.select("node", "key").join(_small(roots, 16), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    place = F.row_number().over(Window.partitionBy("key").orderBy("root", "node")) - 1
+    rows = _written(rows.select("node", "key", "root", F.floor(place / block).cast("int").alias("block")), "line-blocks")
+    blocks = rows.groupBy("key", "block").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+    meet = blocks.select("key", F.col("block").alias("i"), F.col("lo").alias("lo_i"), F.col("hi").alias("hi_i")).join(
+        blocks.select("key", F.col("block").alias("j"), "lo", "hi"), "key").filter("i <= j")
+    meet = meet.filter("least(lo, lo_i) != greatest(hi, hi_i)")
+    meet = meet.select("key", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
+    work = rows.join(meet, ["key", "block"]).join(lines, "node")
+    work = work.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return work.select("key", "i", "j", "block", "node", "line").mapInArrow(similar_in_blocks(threshold), "a long, b long")
 
 
 def dropped_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -81,8 +107,7 @@ def dropped_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     out = scratch_path(docs.sparkSession, "lines")
     texts.write.option("compression", "zstd").parquet(out)
     texts = docs.sparkSession.read.parquet(out)
-    roots = components(_written(similar_pairs(texts, threshold), "similar-lines"))
-    roots = _small(roots, 16)
+    roots = _small(_written(similar_classes(texts, threshold), "line-roots"), 16)
     kept = texts.join(roots, "node", "left").select(F.unhex(F.md5("line")).alias("id"), "n", "node", F.coalesce("root", "node").alias("root"))
     kept = kept.filter("n > 1 OR root != node").select("id", "root")
     found = each.select("row", "pos", F.unhex(F.md5("line")).alias("id"), _place().alias("place")).join(kept, "id").filter("place != root")

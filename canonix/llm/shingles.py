@@ -6,12 +6,13 @@ megabyte of lines (one longer line is a slice of its own), so memory follows the
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from canonix.llm.neardup import _Block
 from canonix.llm.words import mixed, text_slices
 
 SHINGLE = 8
@@ -98,3 +99,40 @@ def are_similar(threshold: float) -> Callable:
         return pa.array([v for s in slices for v in similar(s.column(0), s.column(1), threshold)], pa.bool_())
 
     return check
+
+
+def _sets(lines: pa.Array) -> Iterator[np.ndarray]:
+    """Sorted hashes of each line's shingles without repeats."""
+    whole = pa.RecordBatch.from_arrays([lines], names=["x"])
+    for s in text_slices([whole], 0, _SLICE):
+        h, first = hashed(s.column(0))
+        for i in range(s.num_rows):
+            yield np.unique(h[first[i]:first[i + 1]])
+
+
+def similar_in_blocks(threshold: float) -> Callable:
+    """For ``mapInArrow`` over (key, i, j, block, node, line) sorted by the first three: (a, b) edges of similar lines.
+
+    Lines of a block meet each other if ``i = j``, else those of the other block; of each piece of work every
+    line that is similar to another has one edge, to the least line it hangs together with.
+    """
+    at_key = np.zeros(1, np.int64)
+
+    def edges(held: _Block) -> pa.RecordBatch:
+        found = [(node, root) for node, _, root in held.links() if node != root]
+        a, b = zip(*found) if found else ((), ())
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, _Block(True, threshold)
+        for whole in batches:
+            for batch in text_slices([whole], 5, _SLICE):
+                places = zip(*(batch.column(c).to_pylist() for c in range(5)), strict=True)
+                for (key, i, j, block, node), grams in zip(places, _sets(batch.column(5)), strict=True):
+                    if (key, i, j) != now:
+                        yield edges(held)
+                        now, held = (key, i, j), _Block(i == j, threshold)
+                    held.add(node, block, at_key, grams.tobytes())
+        yield edges(held)
+
+    return work

@@ -151,6 +151,30 @@ def test_line_dedup_equals_brute_force(docs, empty):
     assert lines.dedup_lines(empty).count() == 0
 
 
+def test_line_buckets_are_compared_whole(spark):
+    rnd = random.Random(7)
+    base = ["".join(rnd.choice("abcdefghij") for _ in range(120)) for _ in range(4)]
+    # Chains of small changes: far ends of a chain are similar only by way of what lies between.
+    texts = []
+    for b in base:
+        for k in range(12):
+            texts.append(b[: 120 - 3 * k] + "".join(rnd.choice("xyz") for _ in range(3 * k)))
+    rnd.shuffle(texts)
+    want = _jaccard_classes([{x[i:i + 8] for i in range(max(1, len(x) - 7))} for x in texts], 0.8)
+    rows = spark.createDataFrame(list(enumerate(texts)), "node long, line string")
+    members = rows.selectExpr("node", "1L AS key")
+    none = spark.createDataFrame([], "node long, root long")
+    known = spark.createDataFrame([(i, c) for i, c in enumerate(want) if i % 2], "node long, root long")
+    for roots in (none, known):
+        for block in (5, 1000):
+            edges = lines._rest(members, roots, rows, 0.8, block).unionByName(roots.selectExpr("node AS a", "root AS b"))
+            got = {r["node"]: r["root"] for r in components(edges).collect()}
+            assert [got.get(i, i) for i in range(len(texts))] == want
+    # One class needs no comparison.
+    same = rows.selectExpr("node", "0L AS root")
+    assert lines._rest(members, same, rows, 0.8, 5).count() == 0
+
+
 def test_components(spark):
     rnd = random.Random(1)
     edges = [(rnd.randint(0, 300), rnd.randint(0, 300)) for _ in range(200)] + [(i, i + 1) for i in range(400, 440)]
