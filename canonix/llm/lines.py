@@ -41,7 +41,7 @@ _PLACE_BITS = 24
 def _lines(docs: DataFrame) -> DataFrame:
     """(row, pos, line) of the lines that are not blank."""
     each = docs.select(F.col("__row").alias("row"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    return each.filter(F.trim(F.translate("line", "\t\r\x0b\x0c", "    ")) != "")
+    return each.filter(F.col("line").rlike(r"[^ \t\r\x0b\x0c]"))
 
 
 def _place() -> Column:
