@@ -48,6 +48,11 @@ def _place() -> Column:
     return F.shiftleft(F.col("row").cast("long"), _PLACE_BITS).bitwiseOR(F.col("pos").cast("long"))
 
 
+def _line_id() -> list[Column]:
+    """128 bits that name a line: two hashes of different seeds."""
+    return [F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2")]
+
+
 def _small(df: DataFrame, row_bytes: int) -> DataFrame:
     """``df``, to be broadcast if its measured size allows."""
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
@@ -108,9 +113,9 @@ def dropped_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     texts.write.option("compression", "zstd").parquet(out)
     texts = docs.sparkSession.read.parquet(out)
     roots = _small(_written(similar_classes(texts, threshold), "line-roots"), 16)
-    kept = texts.join(roots, "node", "left").select(F.unhex(F.md5("line")).alias("id"), "n", "node", F.coalesce("root", "node").alias("root"))
-    kept = kept.filter("n > 1 OR root != node").select("id", "root")
-    found = each.select("row", "pos", F.unhex(F.md5("line")).alias("id"), _place().alias("place")).join(kept, "id").filter("place != root")
+    kept = texts.join(roots, "node", "left").select(*_line_id(), "n", "node", F.coalesce("root", "node").alias("root"))
+    kept = kept.filter("n > 1 OR root != node").select("h1", "h2", "root")
+    found = each.select("row", "pos", *_line_id(), _place().alias("place")).join(kept, ["h1", "h2"]).filter("place != root")
     return found.groupBy("row").agg(F.sort_array(F.collect_list("pos")).alias("gone"))
 
 
