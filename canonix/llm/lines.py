@@ -81,12 +81,13 @@ def similar_classes(texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame
     roots = _written(components(_written(found, "similar-lines")), "line-classes")
     # Only pairs of a bucket of more lines than met here, of which some are in different classes, are left.
     rest = _rest(members.filter(F.col("n") > NEIGHBOURS + 1), roots, lines, threshold)
-    known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-    return components(known.unionByName(rest))
+    joined = _small(_written(components(rest), "joined-classes"), 16)
+    again = roots.join(joined.select(F.col("node").alias("root"), F.col("root").alias("next")), "root", "left")
+    return again.select("node", F.coalesce("next", "root").alias("root")).unionByName(joined).distinct()
 
 
 def _rest(members: DataFrame, roots: DataFrame, lines: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
-    """(a, b): similar lines of the buckets of ``members`` whose lines are of several classes, as edges to the least.
+    """(a, b): classes with similar lines in a bucket of ``members``; a line without a class is its own.
 
     A bucket is cut, by class, into blocks of ``block`` lines; a pair of blocks is one piece of work. Blocks of one
     and the same class need no comparison, so a bucket of thousands of near copies and some others is cheap.
@@ -101,7 +102,7 @@ def _rest(members: DataFrame, roots: DataFrame, lines: DataFrame, threshold: flo
     meet = meet.select("key", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
     work = rows.join(meet, ["key", "block"]).join(lines, "node")
     work = work.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return work.select("key", "i", "j", "block", "node", "line").mapInArrow(similar_in_blocks(threshold), "a long, b long")
+    return work.select("key", "i", "j", "block", "node", "root", "line").mapInArrow(similar_in_blocks(threshold), "a long, b long")
 
 
 def dropped_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -111,28 +111,30 @@ def _sets(lines: pa.Array) -> Iterator[np.ndarray]:
 
 
 def similar_in_blocks(threshold: float) -> Callable:
-    """For ``mapInArrow`` over (key, i, j, block, node, line) sorted by the first three: (a, b) edges of similar lines.
+    """For ``mapInArrow`` over (key, i, j, block, node, root, line) sorted by the first three: (a, b) edges of roots.
 
     Lines of a block meet each other if ``i = j``, else those of the other block; of each piece of work every
-    line that is similar to another has one edge, to the least line it hangs together with.
+    line that is similar to another gives one edge, to the least line it hangs together with.
     """
     at_key = np.zeros(1, np.int64)
 
-    def edges(held: _Block) -> pa.RecordBatch:
-        found = [(node, root) for node, _, root in held.links() if node != root]
+    def edges(held: _Block, root: dict[int, int]) -> pa.RecordBatch:
+        found = {(root[node], root[least]) for node, _, least in held.links()}
+        found = sorted((a, b) for a, b in found if a != b)
         a, b = zip(*found) if found else ((), ())
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, _Block(True, threshold)
+        now, held, roots = None, _Block(True, threshold), {}
         for whole in batches:
-            for batch in text_slices([whole], 5, _SLICE):
-                places = zip(*(batch.column(c).to_pylist() for c in range(5)), strict=True)
-                for (key, i, j, block, node), grams in zip(places, _sets(batch.column(5)), strict=True):
+            for batch in text_slices([whole], 6, _SLICE):
+                places = zip(*(batch.column(c).to_pylist() for c in range(6)), strict=True)
+                for (key, i, j, block, node, root), grams in zip(places, _sets(batch.column(6)), strict=True):
                     if (key, i, j) != now:
-                        yield edges(held)
-                        now, held = (key, i, j), _Block(i == j, threshold)
+                        yield edges(held, roots)
+                        now, held, roots = (key, i, j), _Block(i == j, threshold), {}
                     held.add(node, block, at_key, grams.tobytes())
-        yield edges(held)
+                    roots[node] = root
+        yield edges(held, roots)
 
     return work
