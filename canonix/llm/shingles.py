@@ -64,10 +64,12 @@ def keys_of(lines: pa.Array) -> np.ndarray:
 
 def similar(x: pa.Array, y: pa.Array, threshold: float) -> list[bool]:
     """Whether the shingle sets of ``x[i]`` and ``y[i]`` have a Jaccard similarity of ``threshold`` or more."""
-    (hx, fx), (hy, fy) = hashed(x), hashed(y)
+    # A line that several pairs of the slice name is hashed and sorted once.
+    texts = pa.concat_arrays([x, y]).dictionary_encode()
+    sets, at = list(_sets(texts.dictionary)), texts.indices.to_numpy()
     out = []
-    for i in range(len(x)):
-        a, b = np.unique(hx[fx[i]:fx[i + 1]]), np.unique(hy[fy[i]:fy[i + 1]])
+    for a, b in zip(at[:len(x)].tolist(), at[len(x):].tolist(), strict=True):
+        a, b = sets[a], sets[b]
         small, large = sorted((len(a), len(b)))
         if small < threshold * large - 1e-9:
             out.append(False)
