@@ -199,7 +199,7 @@ def _merge_unkeyed_file(spark, sf):
 
 def _merge_hot_keys(spark, sf):
     # Thresholds small enough that most customer keys take the salted branch.
-    skew = SkewConfig(input_rows=8, output_rows=16, max_hot_keys=100_000, max_salt=8, detect_fraction=1.0)
+    skew = SkewConfig(input_rows=8, output_rows=16)
     return merge_by_key(testdata_map(), _load(spark, sf, ("customer", "orders")), "party_key",
                         order=_ds("customer", "orders"), prune_null=True, skew=skew)
 

@@ -38,6 +38,7 @@ from pyspark.sql import types as T
 
 from canonix.model import HarmonizationMap, quote
 from canonix.operators.standardize import feature_types, find_column, standardize, suffix_for
+from canonix.session import scratch_path
 
 _KEY_TMP = "__k"
 
@@ -52,23 +53,14 @@ class SkewConfig:
 
     ``input_rows``: a key with more rows than this in any dataset is hot.
     ``output_rows``: a key whose merged output exceeds this is hot.
-    ``max_hot_keys``: bound on the hot-key table (it is collected and
-    broadcast); the heaviest keys are taken first, the rest stay on the
-    shuffle path.
-    ``max_salt``: cap on groups per side of one key.
-    ``detect_fraction``: share of rows counted when looking for hot keys. The
-    key column is still scanned in full, but the counting shuffle shrinks by
-    this factor. Detection only routes keys to the salted branch; every row
-    is merged either way, and the salted join stays exact when an estimate is
-    off (a key seen with no rows in a dataset takes the plain left join).
+
+    Counts are exact and every such key is split; there is no bound on how many
+    keys are hot or on how far one is split.
     """
 
     enabled: bool = True
     input_rows: int = 2_000_000
     output_rows: int = 20_000_000
-    max_hot_keys: int = 50_000
-    max_salt: int = 4096
-    detect_fraction: float = 0.05
 
 
 def participants(
@@ -218,7 +210,7 @@ def merge_by_key(
     branches = []
     if hot is not None:
         # null keys survive the anti join (null never equals a hot key)
-        normal = [p.join(F.broadcast(hot.select(key)), on=key, how="left_anti") for p in parts]
+        normal = [p.join(hot.select(key), on=key, how="left_anti") for p in parts]
         branches.append(_salted_branch(parts, key, hot, skew))
     else:
         normal = parts
@@ -250,7 +242,7 @@ def _plain_spine(keyed: list[DataFrame], key: str) -> DataFrame:
 # Key statistics and hot keys
 # ---------------------------------------------------------------------------
 
-def key_counts(keyed: list[DataFrame], key: str, fraction: float = 1.0) -> DataFrame:
+def key_counts(keyed: list[DataFrame], key: str) -> DataFrame:
     """Per key, the row count in each dataset: ``(key, n0, n1, ...)``.
 
     Only the key column is scanned, and the counts are combined map-side before
@@ -261,8 +253,6 @@ def key_counts(keyed: list[DataFrame], key: str, fraction: float = 1.0) -> DataF
         lambda a, b: a.union(b),
         [p.select(F.col(quote(key)).alias(_KEY_TMP), F.lit(i).alias("__i")) for i, p in enumerate(keyed)],
     )
-    if fraction < 1.0:
-        tagged = tagged.where(F.rand(17) < fraction)
     aggs = [F.count_if(F.col("__i") == i).alias(f"n{i}") for i in range(len(keyed))]
     return tagged.groupBy(_KEY_TMP).agg(*aggs)
 
@@ -301,29 +291,25 @@ def merge_row_count(parts: list[DataFrame], key: str) -> DataFrame:
 
 
 def find_hot_keys(keyed: list[DataFrame], key: str, skew: SkewConfig) -> DataFrame | None:
-    """Keys too heavy for one task, heaviest first: ``(key, n0, n1, ...)`` or ``None``.
+    """All keys too heavy for one task: ``(key, n0, n1, ...)``, or ``None`` where there are none.
 
-    At most ``max_hot_keys`` rows by construction (``limit``): the table is
-    collected (one job over the key columns) and turned back into a small
-    DataFrame, which is what makes broadcasting it safe at any data size.
+    The table is written to the shared folder and read again, so joins with it
+    are planned by its real size: small ones are broadcast by Spark's own
+    threshold, larger ones shuffled.
     """
-    n = len(keyed)
-    f = min(1.0, max(skew.detect_fraction, 1e-6))
-    stats = key_counts(keyed, key, f)
-    counts = [F.ceil(F.col(f"n{i}") / F.lit(f)).cast("bigint").alias(f"n{i}") for i in range(n)]
-    est = stats.where(F.col(_KEY_TMP).isNotNull()).select(F.col(_KEY_TMP).alias(key), *counts)
-    cols = [F.col(f"n{i}") for i in range(n)]
-    biggest = F.greatest(*cols) if n > 1 else cols[0]
-    out = _product(cols)
-    weight = F.greatest(biggest.cast("double") / skew.input_rows, out / skew.output_rows)
-    hot = est.where(weight > 1.0).orderBy(weight.desc()).limit(skew.max_hot_keys)
-    rows = hot.collect()
-    if not rows:
-        return None
-    import pandas as pd
-
-    pdf = pd.DataFrame([tuple(r) for r in rows], columns=hot.columns)
-    return keyed[0].sparkSession.createDataFrame(pdf, schema=hot.schema)  # Arrow path, bounded size
+    cols = [F.col(f"n{i}") for i in range(len(keyed))]
+    biggest = F.greatest(*cols) if len(cols) > 1 else cols[0]
+    heavy = (biggest > skew.input_rows) | (_product(cols) > skew.output_rows)
+    stats = key_counts(keyed, key).where(F.col(_KEY_TMP).isNotNull() & heavy)
+    hot = _written(stats.select(F.col(_KEY_TMP).alias(key), *cols), "hot-keys")
+    return None if hot.isEmpty() else hot
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` by way of the shared folder: rows and their ids stay as they are when a task is retried."""
+    out = scratch_path(df.sparkSession, name)
+    df.write.parquet(out)
+    return df.sparkSession.read.parquet(out)
 
 
 def _split(a: int, b: int, skew: SkewConfig) -> tuple[int, int]:
@@ -339,11 +325,11 @@ def _split(a: int, b: int, skew: SkewConfig) -> tuple[int, int]:
     if sa * sb < need:
         sa = max(sa, math.ceil(math.sqrt(need * a / b)))
         sb = max(sb, math.ceil(math.sqrt(need * b / a)))
-    return int(min(sa, skew.max_salt, a)), int(min(sb, skew.max_salt, b))
+    return int(min(sa, a)), int(min(sb, b))
 
 
 def _split_cols(a: Column, b: Column, skew: SkewConfig) -> tuple[Column, Column]:
-    """:func:`_split` as column expressions over the (small) hot-key table."""
+    """:func:`_split` as column expressions over the hot-key table."""
     a, b = a.cast("double"), b.cast("double")
     sa0 = F.greatest(F.lit(1.0), F.ceil(a / skew.input_rows).cast("double"))
     sb0 = F.greatest(F.lit(1.0), F.ceil(b / skew.input_rows).cast("double"))
@@ -351,26 +337,25 @@ def _split_cols(a: Column, b: Column, skew: SkewConfig) -> tuple[Column, Column]
     grow = sa0 * sb0 < need
     sa1 = F.when(grow, F.greatest(sa0, F.ceil(F.sqrt(need * a / b)).cast("double"))).otherwise(sa0)
     sb1 = F.when(grow, F.greatest(sb0, F.ceil(F.sqrt(need * b / a)).cast("double"))).otherwise(sb0)
-    sa = F.least(sa1, F.lit(float(skew.max_salt)), a)
-    sb = F.least(sb1, F.lit(float(skew.max_salt)), b)
+    sa, sb = F.least(sa1, a), F.least(sb1, b)
     zero = b <= 0
     return (F.when(zero, 1).otherwise(sa.cast("int")), F.when(zero, 1).otherwise(sb.cast("int")))
 
 
 def _salted_branch(keyed: list[DataFrame], key: str, hot: DataFrame, skew: SkewConfig) -> DataFrame:
-    hot_keys = F.broadcast(hot.select(key))
+    hot_keys = hot.select(key)
     acc = hot_keys
     rid_cols: list[str] = []
     for i, p in enumerate(keyed):
         a = _product([F.col(f"n{j}") for j in range(i)]) if i else F.lit(1.0)
         sa, sb = _split_cols(a, F.col(f"n{i}"), skew)
-        plan = F.broadcast(hot.select(key, sa.alias("__sa_n"), sb.alias("__sb_n")))  # bounded by max_hot_keys
+        plan = hot.select(key, sa.alias("__sa_n"), sb.alias("__sb_n"))
         rid = f"__rid{i}"
-        # Row ids taken right after the scan are stable across task retries and
-        # keep identical copies of a row apart when salting.
+        # Row ids keep identical copies of a row apart when salting. They are written
+        # with the rows first, so a retried task sees the same ids whatever the input.
+        numbered = p.join(hot_keys, on=key, how="left_semi").withColumn(rid, F.monotonically_increasing_id())
         right = (
-            p.join(hot_keys, on=key, how="left_semi")
-            .withColumn(rid, F.monotonically_increasing_id())
+            _written(numbered, "hot-rows")
             .join(plan, on=key)
             .withColumn("__sb", F.pmod(F.xxhash64(F.col(rid)), F.col("__sb_n")).cast("int"))
             .withColumn("__sa", F.explode(F.sequence(F.lit(0), F.col("__sa_n") - 1)))

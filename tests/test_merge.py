@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from canonix.model import HarmonizationMap, testdata_map
-from canonix.operators.merge import SkewConfig, _renamed_parts, merge_by_key, merge_row_count, participants
+from canonix.operators.merge import SkewConfig, _renamed_parts, _salted_branch, find_hot_keys, merge_by_key, merge_row_count, participants
 from conftest import SF, rows
 
 MAP = HarmonizationMap.from_obj([
@@ -47,16 +47,27 @@ def test_spine_equals_chain_with_nulls_and_duplicates(spark, seed):
 def test_salted_hot_keys_equal_plain(spark, seed):
     ds = _rand_tables(spark, seed, n=60, keys=3)
     plain = merge_by_key(MAP, ds, "k", skew=SkewConfig(enabled=False))
-    salted = merge_by_key(MAP, ds, "k", skew=SkewConfig(input_rows=2, output_rows=3, max_salt=4, detect_fraction=1.0))
+    salted = merge_by_key(MAP, ds, "k", skew=SkewConfig(input_rows=2, output_rows=3))
     assert rows(plain) == rows(salted)
 
 
+def test_every_key_hot_after_a_shuffle(spark):
+    a = spark.range(600).selectExpr("id % 200 AS k", "id AS x").repartition(5)
+    b = spark.range(400).selectExpr("id % 200 AS k", "id AS y").repartition(3)
+    parts = [a, b]
+    hot = find_hot_keys(parts, "k", SkewConfig(input_rows=1, output_rows=2))
+    assert hot.count() == 200 and hot.agg({"n0": "sum"}).first()[0] == 600
+    got = sorted(map(tuple, _salted_branch(parts, "k", hot, SkewConfig(input_rows=1, output_rows=2)).select("k", "x", "y").collect()))
+    assert got == sorted(map(tuple, a.join(b, "k").select("k", "x", "y").collect()))
+    assert find_hot_keys(parts, "k", SkewConfig()) is None
+
+
 def test_exact_copies_split_by_salt(spark):
     # one key holding many identical rows: the row ids keep copies apart
     a = spark.createDataFrame([(1, "x")] * 50 + [(2, "y")], "ka int, va string")
     b = spark.createDataFrame([(1, "p")] * 7 + [(3, "q")], "kb int, vb string")
     ds = {"a.csv": a, "b.csv": b}
-    salted = merge_by_key(MAP, ds, "k", skew=SkewConfig(input_rows=4, output_rows=10, max_salt=8, detect_fraction=1.0))
+    salted = merge_by_key(MAP, ds, "k", skew=SkewConfig(input_rows=4, output_rows=10))
     plain = merge_by_key(MAP, ds, "k", skew=SkewConfig(enabled=False))
     assert salted.count() == 50 * 7 + 1 + 1
     assert rows(salted) == rows(plain)
@@ -129,19 +140,19 @@ def test_user_filter_on_spine_key_reaches_scans(spark):
 
 
 @pytest.mark.parametrize("strategy", ["chain", "spine"])
-def test_sampled_detection_stays_exact(spark, strategy):
+def test_detected_hot_keys_stay_exact(spark, strategy):
     ds = _rand_tables(spark, 11, n=80, keys=3)
     plain = merge_by_key(MAP, ds, "k", strategy=strategy, skew=SkewConfig(enabled=False))
-    sampled = merge_by_key(MAP, ds, "k", strategy=strategy,
-                           skew=SkewConfig(input_rows=2, output_rows=3, max_salt=4, detect_fraction=0.3))
-    assert rows(plain) == rows(sampled)
+    split = merge_by_key(MAP, ds, "k", strategy=strategy,
+                         skew=SkewConfig(input_rows=2, output_rows=3))
+    assert rows(plain) == rows(split)
 
 
 def test_chain_with_salted_hot_keys(spark):
     ds = _rand_tables(spark, 12, n=60, keys=3)
     plain = merge_by_key(MAP, ds, "k", strategy="spine", skew=SkewConfig(enabled=False))
     salted = merge_by_key(MAP, ds, "k", strategy="chain",
-                          skew=SkewConfig(input_rows=2, output_rows=3, max_salt=4, detect_fraction=1.0))
+                          skew=SkewConfig(input_rows=2, output_rows=3))
     assert rows(plain) == rows(salted)
 
 
@@ -150,7 +161,7 @@ def test_split_rule_expressions_match_python(spark):
 
     from canonix.operators.merge import _split, _split_cols
 
-    skew = SkewConfig(input_rows=10, output_rows=50, max_salt=6)
+    skew = SkewConfig(input_rows=10, output_rows=50)
     cases = [(1, 0), (1, 5), (1, 100), (30, 7), (500, 500), (3, 2000), (1000, 1)]
     df = spark.createDataFrame(cases, "a bigint, b bigint")
     sa, sb = _split_cols(F.col("a"), F.col("b"), skew)
