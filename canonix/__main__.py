@@ -29,7 +29,8 @@ def main(argv: list[str] | None = None) -> int:
     from canonix.plans.actions import run_action
     from canonix.plans.workflow import ensure_map
     from canonix.plans.steps import StepEnv, run_steps
-    from canonix.session import ensure_checkpoint_dir
+    from canonix.model import load_map
+    from canonix.session import ensure_checkpoint_dir, hadoop_exists
     from canonix.sources import sinks
     from canonix.sources.tables import load_folder
 
@@ -47,10 +48,11 @@ def main(argv: list[str] | None = None) -> int:
         for r in feature_context(report).orderBy("section", "ord").collect():  # one line per feature/dataset
             print(r.line)
         return 0
-    datasets, skipped = load_folder(spark, args.data_folder)
+    known = load_map(spark, args.map_path) if hadoop_exists(spark, args.map_path) else None
+    datasets, skipped = load_folder(spark, args.data_folder, hmap=known)
     for name, reason in skipped:
         print(f"skipped {name}: {reason}", file=sys.stderr)
-    hmap = ensure_map(spark, datasets, args.map_path)
+    hmap = known or ensure_map(spark, datasets, args.map_path)
     if args.action == "steps":
         if not args.steps:
             ap.error("--steps is required for --action steps")

@@ -36,7 +36,6 @@ def read_csv(
     schema: T.StructType | str | None = None,
     corrupt_column: str | None = None,
     infer: bool = True,
-    sampling_ratio: float | None = None,
     multi_line: bool = True,
 ) -> DataFrame:
     """Tolerant CSV scan (S1): bad cells become null instead of failing the job.
@@ -44,10 +43,8 @@ def read_csv(
     Quoted cells may hold doubled quotes and line breaks. ``multi_line=False``
     lets Spark split large files whose cells hold no line break.
 
-    Without a schema, types are inferred over all rows (one extra pass);
-    ``sampling_ratio`` infers from a fraction instead, and a cell that does not
-    fit the inferred type then reads as null, as with a prefix-inferring reader.
-    A declared schema (``declared_schema_for``) avoids the pass entirely.
+    Without a schema, types are inferred over all rows (one extra pass), or all
+    columns are text with ``infer=False``.
     """
     r = spark.read.option("header", True).option("mode", "PERMISSIVE").option("escape", '"').option("multiLine", multi_line)
     if schema is not None:
@@ -59,8 +56,6 @@ def read_csv(
             r = r.schema(schema)
     elif infer:
         r = r.option("inferSchema", True)
-        if sampling_ratio is not None:
-            r = r.option("samplingRatio", sampling_ratio)
     df = r.csv(path)
     if schema is None:
         df = _restore_header(spark, path, df)
@@ -122,12 +117,11 @@ def declared_schema_for(hmap: HarmonizationMap, dataset: str, header: Sequence[s
     return T.StructType([T.StructField(h, by_col.get(h, T.StringType())) for h in header])
 
 
-def read_dataset(spark: SparkSession, path: str, schema: T.StructType | None = None,
-                 sampling_ratio: float | None = None) -> DataFrame | None:
+def read_dataset(spark: SparkSession, path: str, schema: T.StructType | None = None, infer: bool = True) -> DataFrame | None:
     """Read one dataset by extension; ``None`` for an unsupported extension."""
     ext = extension_of(path)
     if ext == ".csv":
-        return read_csv(spark, path, schema, sampling_ratio=sampling_ratio)
+        return read_csv(spark, path, schema, infer=infer)
     if ext == ".parquet":
         return spark.read.parquet(path)
     if ext == ".xlsx":
@@ -137,12 +131,14 @@ def read_dataset(spark: SparkSession, path: str, schema: T.StructType | None = N
     return None
 
 
-def load_folder(spark: SparkSession, folder: str, strict: bool = False, sampling_ratio: float | None = None
+def load_folder(spark: SparkSession, folder: str, strict: bool = False, hmap: HarmonizationMap | None = None
                 ) -> tuple[dict[str, DataFrame], list[tuple[str, str]]]:
     """Every tabular dataset directly under ``folder``: ``({name: df}, [(name, reason)])``.
 
     Names are bare file (or Spark folder) names including the extension, the
-    key used by maps. Unreadable or unsupported entries are reported, not
+    key used by maps. With a map, CSV columns are read as text: standardizing
+    casts them to the declared types, so a declared String keeps its zeros and
+    a bad cell costs only itself, and no pass infers types. Unreadable or unsupported entries are reported, not
     fatal, unless ``strict``.
     """
     from canonix.session import basename, hadoop_list
@@ -158,7 +154,7 @@ def load_folder(spark: SparkSession, folder: str, strict: bool = False, sampling
             skipped.append((name, f"unsupported extension {ext or '(none)'}"))
             continue
         try:
-            df = read_dataset(spark, path, sampling_ratio=sampling_ratio)
+            df = read_dataset(spark, path, infer=hmap is None)
             _ = df.schema  # resolve now so an unreadable file is reported here
             out[name] = df
         except Exception as e:  # noqa: BLE001

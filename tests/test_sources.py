@@ -30,6 +30,19 @@ def test_csv_na_tokens(spark, tmpdir_path):
     assert default.where(F.col("a").isNull()).count() == 1
 
 
+def test_folder_with_a_map_keeps_text(spark, tmpdir_path):
+    from canonix.model import HarmonizationMap
+    from canonix.operators.standardize import standardize
+
+    _w(f"{tmpdir_path}/m/a.csv", "code,n,day\n007,1.0,2024-01-05\n0501,oops,unknown\n12,3,Jan 5 2024\n")
+    hmap = HarmonizationMap.from_obj([
+        {"canonical_name": c, "data_type": t, "description": "", "original_columns": {"a.csv": [c]}}
+        for c, t in (("code", "String"), ("n", "Integer"), ("day", "String"))])
+    loaded, _ = tables.load_folder(spark, f"{tmpdir_path}/m", hmap=hmap)
+    got = sorted(map(tuple, standardize(loaded["a.csv"], "a.csv", hmap).select("code", "n", "day").collect()), key=str)
+    assert got == [("007", 1, "2024-01-05"), ("0501", None, "unknown"), ("12", 3, "Jan 5 2024")]
+
+
 def test_inventory_sidecar_precedence_and_load(spark, tmpdir_path):
     d = tmpdir_path
     _w(f"{d}/a.csv", "x\n1\n")
