@@ -4,10 +4,10 @@ The signatures as array functions, without Python, are whole as well but took 10
 400 are allowed, as higher-order functions run uncompiled for every character; hence the freer style here.
 
 Lines are what ``\n`` separates; blank ones stay where they are and take no part. A line is the set of
-its 8-character shingles (a shorter line is one shingle). Its hashed shingles lie on a ring, and the
-signature is, for each of 36 fixed points, the next hash on the ring: two lines agree at a point with
-the probability of their Jaccard similarity. Bands of four values give candidates (0.991 of pairs at
-0.8, more above); the exact similarity of the shingle sets decides; lines of 0.8 or more are joined by
+its 8-character shingles (a shorter line is one shingle). The signature is the least value of its hashed
+shingles under each of 36 functions: two lines agree in a value with the probability of their Jaccard
+similarity, and in each by itself, however short they are. Bands of four values give candidates (0.991
+of pairs at 0.8, more above); the exact similarity of the shingle sets decides; lines of 0.8 or more are joined by
 distributed union-find, and of each component only the first line of the corpus stays.
 
 Equal lines are one line from the start. Within a band's bucket each line first meets the first one and its

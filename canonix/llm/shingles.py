@@ -20,7 +20,8 @@ BANDS, ROWS = 9, 4
 #: Fills lines shorter than a shingle, so that such a line is one shingle.
 _FILL = "\U0010FFFF"
 _WEIGHTS = [np.uint64(w) for w in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)]
-_EMPTY = np.uint64(2**64 - 1)
+#: For each value of a signature, an odd factor and a summand.
+_TURNS = np.random.default_rng(5).integers(0, 1 << 32, (BANDS * ROWS, 2), dtype=np.uint32) | np.array([1, 0], np.uint32)
 _SLICE = 1 << 20
 
 
@@ -38,21 +39,18 @@ def hashed(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signatures(h: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """For each line and each of ``BANDS * ROWS`` even points of the ring, the next hash on it."""
-    points = BANDS * ROWS
-    line = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    arc = ((h >> np.uint64(32)) * np.uint64(points)) >> np.uint64(32)
-    least = np.full((len(first) - 1) * points, _EMPTY)
-    np.minimum.at(least, line * points + arc.astype(np.int64), h)
-    least = least.reshape(-1, points)
-    for k in range(2 * points - 1, -1, -1):  # an arc without a hash takes the next one's
-        here, after = least[:, k % points], least[:, (k + 1) % points]
-        np.copyto(here, after, where=here == _EMPTY)
+    """For each line, the least value of its hashes' upper halves under each of ``BANDS * ROWS`` functions of their own."""
+    upper = (h >> np.uint64(32)).astype(np.uint32)
+    turned = np.empty_like(upper)
+    least = np.empty((len(first) - 1, len(_TURNS)), np.uint64)
+    for p, (mul, add) in enumerate(_TURNS if len(least) else ()):
+        np.add(np.multiply(upper, mul, out=turned), add, out=turned)
+        least[:, p] = np.minimum.reduceat(turned, first[:-1])
     return least
 
 
 def keys_of(lines: pa.Array) -> np.ndarray:
-    """(lines, bands): for each band a hash of its number and its values, which lie far apart on the ring."""
+    """(lines, bands): for each band a hash of its number and its values."""
     values = signatures(*hashed(lines))
     keys = np.empty((len(values), BANDS), np.uint64)
     for b in range(BANDS):

@@ -5,9 +5,10 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from canonix.llm import bpe, chat, decontaminate, lines, nearest, neardup, packing, quality, shard, substrings
+from canonix.llm import bpe, chat, decontaminate, lines, nearest, neardup, packing, quality, shard, shingles, substrings
 from canonix.llm.components import components
 
 DOCS = "doc_id long, text string, row long, n_hit string"
@@ -151,6 +152,33 @@ def test_line_dedup_equals_brute_force(docs, empty):
     assert lines.dedup_lines(empty).count() == 0
 
 
+def _line_pairs(common, more, trials):
+    """Pairs of lines of Jaccard similarity 0.8: ``common`` shingles and, on each side, ``more`` of their own."""
+    rnd = random.Random(common)
+    chars = "abcdefghijklmnopqrstuvwxyz0123456789"
+    for _ in range(trials):
+        both = "".join(rnd.choice(chars) for _ in range(common + 7))
+        yield [both + (mark + "".join(rnd.choice(chars) for _ in range(k - 1)) if k else "") for mark, k in zip("+-", more, strict=True)]
+
+
+@pytest.mark.parametrize("common, more", [(4, (1, 0)), (8, (1, 1)), (16, (2, 2)), (32, (4, 4)), (120, (15, 15)), (400, (50, 50))])
+def test_bands_find_short_lines_as_often_as_long_ones(common, more):
+    x, y = (pa.array(side) for side in zip(*_line_pairs(common, more, 1500), strict=True))
+    assert all(shingles.similar(x, y, 0.8))
+    met = (shingles.keys_of(x) == shingles.keys_of(y)).any(axis=1)
+    assert met.mean() > 0.98  # 1 - (1 - 0.8 ** 4) ** 9 = 0.991
+
+
+def test_short_similar_lines_are_joined(spark):
+    texts = [x for pair in _line_pairs(4, (1, 0), 400) for x in pair] + [x for pair in _line_pairs(8, (1, 1), 400) for x in pair]
+    want = _jaccard_classes([{x[i:i + 8] for i in range(len(x) - 7)} for x in texts], 0.8)
+    rows = spark.createDataFrame(list(enumerate(texts)), "node long, line string").select("*", shingles.band_keys()("line").alias("keys"))
+    got = {r["node"]: r["root"] for r in lines.similar_classes(rows).collect()}
+    assert all(want[k] == want[v] for k, v in got.items())
+    twins = [i for i, c in enumerate(want) if c != i]
+    assert sum(got.get(i, i) == want[i] for i in twins) > 0.98 * len(twins)
+
+
 def test_line_buckets_are_compared_whole(spark):
     rnd = random.Random(7)
     base = ["".join(rnd.choice("abcdefghij") for _ in range(120)) for _ in range(4)]
