@@ -8,6 +8,12 @@ amounts of room. A packed row has the id matrix line (``input_ids``, little-endi
 positions (``position_ids``, which begin anew with each segment; padding counts as a last segment
 that ``cu_seqlens`` leaves out).
 
+``write_packed`` puts them as files into a shared folder, each task its own shard under a name of its
+attempt: ``input_ids`` and ``position_ids`` are matrices of one line after the other, ``cu_seqlens`` is
+the 32-bit lengths of one line after the other (each from 0), ``segments.parquet`` the documents and
+pieces of each line. The manifest lists the attempts that Spark's committer took; files of others are
+never read. The folder has to be in a store that pyarrow opens (local or shared files, HDFS, S3, GCS).
+
 Packing is done by stretches of ``STRETCH_TOKENS`` tokens within a task, so memory is bounded and
 nothing is shuffled; at most the last rows of a stretch stay partly empty. Defined results: null or
 empty text is the end token alone; repeated documents are packed each; null ids stay null.
@@ -15,21 +21,33 @@ empty text is the end token alone; repeated documents are packed each; null ids
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import ExitStack
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow.fs import FileSystem
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from canonix.llm.bpe import Encoder, batch_tables, public_vocabulary, vocabulary
+from canonix.session import scratch_path
 
 ROW = 2048
 STRETCH_TOKENS = 2_000_000
 #: The tiktoken library encodes texts up to this length; longer ones are encoded by prefix tables in linear time.
 LONG_TEXT = 200_000
+#: Lines that are written and read at a time.
+_BATCH = 256
+_MANIFEST = "shard int, folder string, lines long, width int, kind string"
+_SCHEMA = T.StructType([
+    T.StructField("shard", T.IntegerType()), T.StructField("line", T.LongType()),
+    T.StructField("doc_ids", T.ArrayType(T.LongType())), T.StructField("pieces", T.ArrayType(T.IntegerType())),
+    T.StructField("cu_seqlens", T.ArrayType(T.IntegerType())), T.StructField("input_ids", T.BinaryType()),
+    T.StructField("position_ids", T.BinaryType())])
 
 
 class RoomTree:
@@ -100,20 +118,15 @@ def _packed_rows(ids: list, tokens: list[np.ndarray], capacity: int, end: int, k
                (np.arange(capacity) - begin).astype(kind).tobytes())
 
 
-def pack_documents(docs: DataFrame, row: int = ROW, path: str | None = None, pattern: str | None = None,
-                   end_token: int = 50256, stretch: int = STRETCH_TOKENS) -> DataFrame:
-    """One row for each packed line: shard, line, doc_ids, pieces, cu_seqlens, input_ids, position_ids."""
+def _packer(spark: SparkSession, row: int = ROW, path: str | None = None, pattern: str | None = None,
+            end_token: int = 50256, stretch: int = STRETCH_TOKENS) -> Callable:
+    """For ``mapInArrow`` over (doc_id, text): the packed lines."""
     if path is None or pattern is None:
         path, pattern = public_vocabulary()
     # The vocabulary's size does not depend on the data.
-    shared = docs.sparkSession.sparkContext.broadcast(batch_tables(vocabulary(path)))
-    schema = T.StructType([
-        T.StructField("shard", T.IntegerType()), T.StructField("line", T.LongType()),
-        T.StructField("doc_ids", T.ArrayType(T.LongType())), T.StructField("pieces", T.ArrayType(T.IntegerType())),
-        T.StructField("cu_seqlens", T.ArrayType(T.IntegerType())), T.StructField("input_ids", T.BinaryType()),
-        T.StructField("position_ids", T.BinaryType())])
+    shared = spark.sparkContext.broadcast(batch_tables(vocabulary(path)))
     kinds = [pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary(), pa.binary()]
-    names = schema.names
+    names = _SCHEMA.names
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import tiktoken
@@ -131,7 +144,7 @@ def pack_documents(docs: DataFrame, row: int = ROW, path: str | None = None, pat
             for r in _packed_rows(ids, tokens, row, end_token, kind):
                 held.append((shard, line, *r))
                 line += 1
-                if len(held) == 256:
+                if len(held) == _BATCH:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), kinds, strict=True)], names=names)
                     held = []
             if held:
@@ -151,9 +164,84 @@ def pack_documents(docs: DataFrame, row: int = ROW, path: str | None = None, pat
         if ids:
             yield from out()
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(work, schema)
+    return work
+
+
+def _documents(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long"), "text")
+
+
+def pack_documents(docs: DataFrame, row: int = ROW, **options) -> DataFrame:
+    """One row for each packed line: shard, line, doc_ids, pieces, cu_seqlens, input_ids, position_ids."""
+    return _documents(docs).mapInArrow(_packer(docs.sparkSession, row, **options), _SCHEMA)
+
+
+def write_packed(docs: DataFrame, out: str, row: int = ROW, **options) -> DataFrame:
+    """The packed lines of ``docs`` as files in the shared folder ``out``; returns the manifest, one row for each shard."""
+    pack = _packer(docs.sparkSession, row, **options)
+
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get()
+        folder = f"{out}/shard-{task.partitionId():05d}-{task.taskAttemptId()}"
+        files, lines, width = {}, 0, 0
+        with ExitStack() as opened:
+            for b in pack(batches):
+                segments = b.select(["doc_ids", "pieces"])
+                if not files:
+                    fs, at = FileSystem.from_uri(folder)
+                    fs.create_dir(at)
+                    for name in ("input_ids", "position_ids", "cu_seqlens", "segments.parquet"):
+                        files[name] = opened.enter_context(fs.open_output_stream(f"{at}/{name}"))
+                    table = opened.enter_context(pq.ParquetWriter(files["segments.parquet"], segments.schema))
+                for name in ("input_ids", "position_ids"):
+                    for line in b.column(name):
+                        files[name].write(line.as_buffer())
+                files["cu_seqlens"].write(b.column("cu_seqlens").flatten().to_numpy().astype("<i4").tobytes())
+                table.write_batch(segments)
+                lines, width = lines + b.num_rows, len(b.column("input_ids")[0].as_buffer())
+        if lines:
+            one = [(task.partitionId(), pa.int32()), (folder, pa.string()), (lines, pa.int64()), (row, pa.int32()), (f"<u{width // row}", pa.string())]
+            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in one], names=["shard", "folder", "lines", "width", "kind"])
+
+    _documents(docs).mapInArrow(work, _MANIFEST).write.parquet(f"{out}/manifest")
+    return docs.sparkSession.read.schema(_MANIFEST).parquet(f"{out}/manifest")
+
+
+def _whole(file: pa.NativeFile, size: int) -> pa.Buffer:
+    got = file.read_buffer(size)
+    if len(got) != size:
+        raise OSError(f"a packed file ends {size - len(got)} bytes early")
+    return got
+
+
+def read_packed(manifest: DataFrame) -> DataFrame:
+    """The rows of ``pack_documents``, read from the files that the manifest lists."""
+
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for shard in (r for b in batches for r in b.to_pylist()):
+            fs, at = FileSystem.from_uri(shard["folder"])
+            size, done = shard["width"] * np.dtype(shard["kind"]).itemsize, 0
+            with ExitStack() as opened:
+                files = {n: opened.enter_context(fs.open_input_stream(f"{at}/{n}")) for n in ("input_ids", "position_ids", "cu_seqlens")}
+                table = pq.ParquetFile(opened.enter_context(fs.open_input_file(f"{at}/segments.parquet")))
+                for s in table.iter_batches(_BATCH):
+                    n = s.num_rows
+                    first = np.concatenate([[0], np.cumsum(s.column("pieces").value_lengths().to_numpy() + 1)]).astype(np.int32)
+                    cu = np.frombuffer(_whole(files["cu_seqlens"], 4 * int(first[-1])), "<i4")
+                    lines = [pa.Array.from_buffers(pa.binary(size), n, [None, _whole(files[c], n * size)]).cast(pa.binary())
+                             for c in ("input_ids", "position_ids")]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(n, shard["shard"], np.int32)), pa.array(np.arange(done, done + n)), *s.columns,
+                         pa.ListArray.from_arrays(first, cu), *lines], names=_SCHEMA.names)
+                    done += n
+            if done != shard["lines"]:
+                raise OSError(f"{shard['folder']} has {done} of {shard['lines']} lines")
+
+    # A task for each shard: the manifest is small, the shards are not.
+    return manifest.repartition(max(1, manifest.count())).mapInArrow(work, _SCHEMA)
 
 
 def op4_packed_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents as packed lines of 2,048 tokens."""
-    return pack_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    """All documents as packed lines of 2,048 tokens, written to files of the shared folder and read from them."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return read_packed(write_packed(docs, scratch_path(spark, "packed-tokens")))

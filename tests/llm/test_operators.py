@@ -277,6 +277,30 @@ def test_packing_is_lossless(docs, empty):
     assert sorted(i for r in rows for i in r) == list(range(500)) and max(sizes[r].sum() for r in rows) <= 64
 
 
+def test_packed_lines_are_files(docs, empty, tmp_path):
+    from pyspark.errors import PySparkException
+
+    out = str(tmp_path / "packed")
+    manifest = packing.write_packed(docs, out, row=64)
+    want = packing.pack_documents(docs, row=64).orderBy("shard", "line").collect()
+    assert packing.read_packed(manifest).orderBy("shard", "line").collect() == want
+    for m in manifest.collect():
+        mine = [r for r in want if r["shard"] == m["shard"]]
+        assert m["lines"] == len(mine) and m["width"] == 64
+        for name in ("input_ids", "position_ids"):
+            matrix = np.fromfile(f"{m['folder']}/{name}", m["kind"]).reshape(-1, 64)
+            assert matrix.tobytes() == b"".join(r[name] for r in mine)
+        assert np.fromfile(f"{m['folder']}/cu_seqlens", "<i4").tolist() == [x for r in mine for x in r["cu_seqlens"]]
+    # What another attempt left is not read; what is cut short is told.
+    (tmp_path / "packed" / "shard-00000-999999").mkdir()
+    assert packing.read_packed(manifest).count() == len(want)
+    with open(f"{m['folder']}/position_ids", "r+b") as f:
+        f.truncate(10)
+    with pytest.raises(PySparkException, match="bytes early"):
+        packing.read_packed(manifest).collect()
+    assert packing.read_packed(packing.write_packed(empty, str(tmp_path / "none"))).count() == 0
+
+
 def test_nearest_recall_and_scores(spark):
     rng = np.random.default_rng(3)
     x = rng.standard_normal((900, 24)).astype(np.float32)
