@@ -1,10 +1,12 @@
-r"""N-gram Jaccard join by a MinHash LSH forest.
+r"""N-gram Jaccard join by MinHash bands of a fixed depth.
 
 Texts are sets of 5-word shingles (words ``[^\x20\x09-\x0D]+``; a text of fewer words, but not none, is
-one shingle). A signature of ``TREES * DEPTH`` MinHash values is cut into one label for each tree; a
-tree sorts labels by their prefixes. Matched prefixes are shortened from the whole label until pairs at
-the threshold share one in some tree with the target recall. Texts that share a prefix are candidates;
-all candidates are verified by the exact Jaccard similarity of their shingle sets (64-bit fingerprints
+one shingle). It is not an LSH forest: no labels are sorted and no prefix is shortened on the data. Each
+of ``TREES`` trees has one key, of as many MinHash values (``DEPTH`` at most) as let pairs at the
+threshold share a key with the target recall by formula: 5 of 8 as it stands, so 16 bands of 5 values,
+0.998 of pairs at 0.8. One threshold is asked for, so a depth known beforehand finds these pairs without
+looking for the longest match, by one grouping instead of a sort for each tree. Texts that share a key
+are candidates; all candidates are verified by the exact Jaccard similarity of their shingle sets (64-bit fingerprints
 of the shingles), and similar texts form classes.
 
 Equal texts are one text from the start. Candidates are gathered by connected groups of buckets, every
