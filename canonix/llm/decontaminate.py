@@ -1,10 +1,10 @@
-r"""Benchmark decontamination with suffix arrays of the training text.
+r"""Benchmark decontamination with partial suffix arrays of the training text.
 
-Every shard (a slice of documents within a task) gets a suffix array over its words. The suffixes of
-the benchmark items that begin a window are searched in it by binary search: each finds the run of
-training suffixes that share at least a window with it, and from those the longest verbatim match and
-its places. Suffixes that no test suffix can match, as their first words begin none, are left out of
-the array; the others are sorted by as many words as it takes, so matches are whole.
+Every shard (a slice of documents within a task, about 4 MB) gets a partial suffix array over its words:
+of the suffixes whose first four words (or the window's, if fewer) begin a window of the benchmark, as
+no others can match, in order of the window's words only. It is built anew for each length of window
+and each block of items, and not kept. The items' suffixes that begin a window are searched in it by
+binary search; each match is then followed word by word to its end, so matches are whole.
 
 A window is 13 consecutive words of an item (an item of fewer words, but not none, is one window). A
 document word inside an occurrence of a window is hit; a document with ``n_hit > 0`` and
@@ -67,7 +67,7 @@ def search(h: np.ndarray, first: np.ndarray, windows: dict) -> tuple[np.ndarray,
     at = ok[some]
     i = np.minimum(np.searchsorted(begins, mine[some]), len(begins) - 1)
     at = at[begins[i] == mine[some]]
-    # The suffix array of the shard: positions in order of the words from there on.
+    # The partial suffix array of the shard: positions in order of the ``n`` words from there on.
     at = at[np.lexsort([h[at + j] for j in range(n - 1, -1, -1)])]
     if not len(at):
         return (np.zeros(0, np.int64),) * 3
