@@ -25,7 +25,8 @@ STAGES = [
     ("byte-level BPE", encode),
 ]
 
-#: The quality classifier's sampling and the tokenizer's ids are beyond SQL; tests compare with brute force.
+#: The quality classifier's sampling and the tokenizer's ids are beyond SQL. tests/llm/test_pipeline.py runs the chain on a
+#: small corpus and compares each stage with brute force; of the quality classifier the draw, not the scores.
 ORACLE_SQL = None
 
 
