@@ -254,6 +254,16 @@ def test_decontamination_equals_brute_force(spark, docs, empty, block_bytes):
     assert decontaminate.decontaminate(empty, items).count() == 0 and decontaminate.decontaminate(docs, items.limit(0)).count() == docs.count()
 
 
+def test_repeated_items_do_not_fill_a_block(spark, docs):
+    base = docs.first()["text"].split(" ")
+    items = spark.createDataFrame([(1, " ".join(base[5:25]))] * 500 + [(i, f"item {i}") for i in (2, 3, None)], "item_id long, text string")
+    blocks = [b.collect() for b in decontaminate._blocks(items, 2000)]
+    assert sum(len(r["text"]) for r in max(blocks, key=len)) <= 2000
+    assert {tuple(r) for b in blocks for r in b} == {tuple(r) for r in items.collect()}
+    found = [decontaminate.find_hits(docs, i, block_bytes=2000).select("row", "__n_words", "__hits").collect() for i in (items, items.distinct())]
+    assert sorted(map(str, found[0])) == sorted(map(str, found[1])) and any(r["__hits"] for r in found[0])
+
+
 def test_packing_is_lossless(docs, empty):
     import tiktoken
 
