@@ -6,7 +6,7 @@ as numbers, with a break between pieces and in place of any other word: a phrase
 is rare itself. Level k then finds the frequent phrases of k words: the trie of the frequent phrases of k - 1
 words is broadcast, numpy advances the states of all positions of a shard together, one word a level, and the
 candidates are the positions whose first k - 1 words and last k - 1 words are both accepted (Apriori). Their pairs of
-accepting state and next word are counted in the shard, and Spark sums the shards' counts. Candidates are thus those that occur, so
+accepting state and next word are counted in the shard and added up in the task, and Spark sums the tasks' counts. Candidates are thus those that occur, so
 no pairs of words are made that stand nowhere.
 
 Scores are exact (whole decimals): each candidate is cut after each word, joined to both parts' counts, and its lowest-scoring
@@ -38,9 +38,11 @@ from canonix.llm.places import placed, written
 LEAST = 100
 LONGEST = 5
 TOP = 2000
-SLICE = 8 << 20
+SLICE = 4 << 20
 #: Numbers in a written row.
 STRETCH = 1 << 20
+#: Different candidates that a task holds before it sends them.
+HELD = 2 << 20
 VOCABULARY_BYTES = 64 << 20
 TRIE_PHRASES = 2 << 20
 _BREAK = np.zeros(256, bool)
@@ -187,14 +189,13 @@ def _sliced(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["lang", "data", "number"])
 
 
-def candidate_counts(numbers: np.ndarray, starts: int, size: int, known: trie.DoubleArray | None, phrases: np.ndarray | None,
-                     whole: bool, symbols: int) -> tuple[np.ndarray, np.ndarray]:
-    """(phrases of ``size`` words, counts) of the candidates that start at the first ``starts`` positions."""
+def candidates(numbers: np.ndarray, starts: int, size: int, known: trie.DoubleArray | None, whole: bool, symbols: int) -> tuple[np.ndarray, np.ndarray]:
+    """(candidates of ``size`` words that start at the first ``starts`` positions, counts): row of the first words * symbols + last word."""
     numbers = np.append(numbers, np.full(size, -1, np.int32)).astype(np.int64)
     n = len(numbers) - size
     at = np.flatnonzero(numbers[:n] >= 0)
     if known is None:
-        accepted = np.where(numbers[:n + 1] >= 0, numbers[:n + 1], -1)
+        accepted = numbers[:n + 1]
     else:
         state = np.zeros(len(at), np.int64)
         for j in range(size - 1):
@@ -206,39 +207,66 @@ def candidate_counts(numbers: np.ndarray, starts: int, size: int, known: trie.Do
     at = at[(at < starts) & (accepted[at] >= 0) & (numbers[at + size - 1] >= 0)]
     if whole:
         at = at[accepted[at + 1] >= 0]
-    found, count = np.unique(accepted[at] * symbols + numbers[at + size - 1], return_counts=True)
-    head = found // symbols
-    return np.column_stack([head if phrases is None else phrases[head], found % symbols]), count
+    return np.unique(accepted[at] * symbols + numbers[at + size - 1], return_counts=True)
+
+
+def summed(parts: Iterable[tuple[np.ndarray, np.ndarray]], limit: int = HELD) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Counts by key added up, so that a task sends a key once; whenever over ``limit`` different keys are held, they are sent."""
+    keys, counts, held, merged = [], [], 0, 0
+    for key, n in parts:
+        keys.append(key)
+        counts.append(n)
+        held += len(key)
+        if held >= max(limit, 2 * merged):
+            key, n = _added(keys, counts)
+            if len(key) >= limit:
+                yield key, n
+                key, n = key[:0], n[:0]
+            keys, counts, held, merged = [key], [n], len(key), len(key)
+    if held:
+        yield _added(keys, counts)
+
+
+def _added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    key, n = np.concatenate(keys), np.concatenate(counts)
+    order = np.argsort(key, kind="stable")
+    key, n = key[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    return key[first], np.add.reduceat(n, first)
 
 
 def next_level(texts: DataFrame, shorter: DataFrame | None, size: int, symbols: int, least: int, trie_phrases: int) -> DataFrame:
     """(phrase, n) of the frequent phrases of ``size`` words; ``shorter`` has those of one word less (None: all words)."""
-    names = [f"w{i}" for i in range(size)]
-    schema = ", ".join(f"{w} int" for w in names) + ", n long"
     levels, context = [], texts.sparkSession.sparkContext
     blocks = [None] if shorter is None else _blocks(shorter, shorter.count(), trie_phrases, "phrase")
     whole = len(blocks) == 1
     for block in blocks:
-        shared = None
+        phrases = None
         if block is not None:
             got = block.select("phrase").toArrow()["phrase"].combine_chunks()
             phrases = got.flatten().to_numpy().astype(np.int32).reshape(-1, size - 1)
             if not len(phrases):
                 continue
-            shared = context.broadcast((trie.build(phrases, symbols), phrases))
+        shared = context.broadcast((phrases if phrases is None else trie.build(phrases, symbols), phrases))
 
         def work(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            known, phrases = shared.value if shared else (None, None)
+            known = shared.value[0]
+            rows = ((b, i) for b in batches for i in range(b.num_rows))
+            parts = (candidates(np.frombuffer(b.column(1)[i].as_buffer(), np.int32), b.column(0)[i].as_py(), size, known, whole, symbols) for b, i in rows)
+            for key, n in summed(parts):
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], names=["key", "n"])
+
+        def spelled(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            phrases = shared.value[1]
             for b in batches:
-                for i in range(b.num_rows):
-                    words, n = candidate_counts(np.frombuffer(b.column(1)[i].as_buffer(), np.int32), b.column(0)[i].as_py(), size,
-                                                known, phrases, whole, symbols)
-                    yield pa.RecordBatch.from_arrays([*[pa.array(w.astype(np.int32)) for w in words.T], pa.array(n)], names=[*names, "n"])
-
-        counts = texts.mapInArrow(work, schema).groupBy(*names).agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-        levels.append(written(counts.select(F.array(*names).alias("phrase"), "n"), f"phrases-{size}"))
-        if shared:
-            shared.destroy()
+                head, last = np.divmod(b.column(0).to_numpy(), symbols)
+                words = np.column_stack([head if phrases is None else phrases[head], last]).astype(np.int32)
+                words = pa.FixedSizeListArray.from_arrays(words.ravel(), size).cast(pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([words, b.column(1)], names=["phrase", "n"])
+
+        counts = texts.mapInArrow(work, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+        levels.append(written(counts.mapInArrow(spelled, "phrase array<int>, n long"), f"phrases-{size}"))
+        shared.destroy()
     if not levels:
         return texts.sparkSession.createDataFrame([], "phrase array<int>, n long")
     out = levels[0]

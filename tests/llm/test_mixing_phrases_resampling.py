@@ -150,7 +150,6 @@ def test_phrases_equal_brute_force(docs, options):
 
 
 def test_phrases_in_slices_and_stretches(docs, monkeypatch):
-    rows = [(r["text"], r["lang"]) for r in docs.select("text", "lang").collect()]
     batch = docs.select("lang", "text").toArrow().combine_chunks().to_batches()
     whole = Counter()
     for size in (8 << 20, 700, 1):
@@ -171,10 +170,19 @@ def test_phrases_in_slices_and_stretches(docs, monkeypatch):
     monkeypatch.setattr(phrases, "STRETCH", 3)
     found = Counter()
     for starts, x in phrases._stretches(number, ends, 3):
-        got, n = phrases.candidate_counts(np.frombuffer(x, np.int32), starts, 2, None, None, True, 10)
-        found.update(dict(zip(map(tuple, got.tolist()), n.tolist(), strict=True)))
-    assert found == Counter([(0, 1), (3, 4), (4, 5), (5, 6), (6, 0)])
-    assert rows
+        got, n = phrases.candidates(np.frombuffer(x, np.int32), starts, 2, None, True, 10)
+        found.update(dict(zip(got.tolist(), n.tolist(), strict=True)))
+    assert found == Counter([1, 34, 45, 56, 60])
+    rnd = np.random.default_rng(5)
+    parts = [np.unique(rnd.integers(0, 50, 20), return_counts=True) for _ in range(30)]
+    want = Counter()
+    for key, n in parts:
+        want.update(dict(zip(key.tolist(), n.tolist(), strict=True)))
+    for limit in (1, 7, 30, 1000):
+        found = Counter()
+        for key, n in phrases.summed(parts, limit):
+            found.update(dict(zip(key.tolist(), n.tolist(), strict=True)))
+        assert found == want
 
 
 def test_phrases_of_none(empty, docs):
