@@ -40,9 +40,9 @@ LONGEST = 5
 TOP = 2000
 SLICE = 4 << 20
 #: Numbers in a written row.
-STRETCH = 1 << 20
+STRETCH = 1 << 18
 #: Different candidates that a task holds before it sends them.
-HELD = 2 << 20
+HELD = 1 << 19
 VOCABULARY_BYTES = 64 << 20
 TRIE_PHRASES = 2 << 20
 _BREAK = np.zeros(256, bool)
@@ -69,7 +69,7 @@ def _cut(data: np.ndarray, size: int) -> Iterator[np.ndarray]:
 
 def slices(batches: Iterable[pa.RecordBatch], size: int = SLICE) -> Iterator[tuple[str, np.ndarray]]:
     """(language, lowered bytes) of rows (lang, text), rows parted by a line break."""
-    for b in batches:
+    for b in W.text_slices(batches, 1, size):
         for lang in pc.unique(b.column(0)).to_pylist():
             data, off = W.text_bytes(b.column(1).filter(pc.equal(b.column(0), lang)))
             for part in _cut(np.insert(W.lowered(data), off[1:-1], np.uint8(10)), size):
