@@ -970,6 +970,7 @@ def oracle_sql() -> dict[str, str]:
                                  "FROM customer"),
         "distinct_consolidate_stream": kinds,
         **entry_sources.SQL,
+        "merge_layout_csv": _merge_sql(three, "nation_key"),
         **LLM_SQL,
         **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline and corpus_pipeline.ORACLE_SQL else {}),
     }

@@ -58,8 +58,10 @@ def main(argv: list[str] | None = None) -> int:
             ap.error("--steps is required for --action steps")
         result = run_steps(args.steps, StepEnv(spark, hmap, datasets, folder=args.data_folder))
     else:
+        # files that are costly to scan are scanned once
+        strategy = "auto" if all(n.lower().endswith(".parquet") for n in datasets) else "layout"
         result = run_action(args.action, hmap, datasets, canonical_feature=args.canonical_feature,
-                            filter_value=args.filter_value, key=args.merge_key)
+                            filter_value=args.filter_value, key=args.merge_key, strategy=strategy)
     if args.output:
         if len(result.columns) == 1:
             sinks.write_text(result, args.output)

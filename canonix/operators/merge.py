@@ -22,6 +22,11 @@ Two physical strategies produce the same rows:
     other's groups, so each (key, sa, sb) cell is one bounded task.
 ``chain``
     the reference's left fold of ``FULL OUTER JOIN ... USING (key)``.
+``layout``
+    the spine over copies, for inputs that are costly to scan (CSV): each input is
+    scanned once and its standardized rows are written as Parquet. Counts, null rows and hot rows read
+    that copy; all other rows are written as a table bucketed and sorted by the key, so
+    that the spine's joins exchange nothing but the spine's keys.
 """
 
 from __future__ import annotations
@@ -166,7 +171,7 @@ def merge_by_key(
 ) -> DataFrame:
     """Merge ``datasets`` (raw, un-standardized) on canonical ``key``.
 
-    ``strategy``: ``"auto"`` (a single full outer join for two datasets, the
+    ``strategy``: ``"layout"`` (above), ``"auto"`` (a single full outer join for two datasets, the
     key spine from three on, where the chain would re-shuffle its growing
     accumulated side at every step), ``"spine"`` or ``"chain"``.
     ``key_filter`` is an optional predicate on the key column, applied to every
@@ -182,11 +187,19 @@ def merge_by_key(
         raise ValueError(f"no dataset maps the merge key {key!r}")
     if strategy == "auto":
         strategy = "chain" if len(names) <= 2 else "spine"
-    if strategy not in ("spine", "chain"):
+    if strategy not in ("spine", "chain", "layout"):
         raise ValueError(f"unknown merge strategy {strategy!r}")
     skew = skew or SkewConfig()
     types = feature_types(hmap, {n: datasets[n] for n in names})
-    if strategy == "chain":
+    if strategy == "layout":
+        copies, out_cols = _renamed_parts(hmap, datasets, names, key, prune_null, None, types)
+        if key_filter is not None:
+            copies = [p.where(key_filter) for p in copies]
+        copies = [_copied(p, "merge-copy") for p in copies]
+        keyed = [p.where(F.col(quote(key)).isNotNull()) for p in copies]
+        null_rows = [p.where(F.col(quote(key)).isNull()) for p in copies]
+        parts = keyed
+    elif strategy == "chain":
         # one scan per dataset: null keys ride along (a null key never matches,
         # so each null-key row comes out once)
         parts, out_cols = _renamed_parts(hmap, datasets, names, key, prune_null, None, types)
@@ -220,6 +233,8 @@ def merge_by_key(
             merged = merged.join(p, on=key, how="full")
         branches.insert(0, merged)
     else:
+        if strategy == "layout":
+            normal = [_bucketed(p, key) for p in normal]
         branches.insert(0, _plain_spine(normal, key))
         branches += null_rows
     merged = _union_all(branches)
@@ -230,6 +245,27 @@ def _union_all(dfs: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)
 
 
+def _copied(df: DataFrame, name: str) -> DataFrame:
+    """:func:`_written`, whatever the column names are."""
+    return _written(df.toDF(*[f"c{i}" for i in range(len(df.columns))]), name).toDF(*df.columns)
+
+
+def _bucketed(df: DataFrame, key: str) -> DataFrame:
+    """``df`` by way of a table in the shared folder, bucketed and sorted by ``key``, one file a bucket.
+
+    As many buckets as shuffle partitions, so that joins on the key take them as they are. The table
+    (``canonix_merge_<id>``, outside of the warehouse) is only known to the session's catalog.
+    """
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, "merge-buckets")
+    name = "canonix_merge_" + path.rsplit("-", 1)[-1]
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    by = f"c{df.columns.index(key)}"
+    plain.repartition(buckets, by).write.bucketBy(buckets, by).sortBy(by).option("path", path).saveAsTable(name)
+    return spark.table(name).toDF(*df.columns)
+
+
 def _plain_spine(keyed: list[DataFrame], key: str) -> DataFrame:
     spine = reduce(lambda a, b: a.union(b), [p.select(quote(key)) for p in keyed]).distinct()
     acc = spine

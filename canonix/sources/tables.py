@@ -155,7 +155,7 @@ def load_folder(spark: SparkSession, folder: str, strict: bool = False, hmap: Ha
         try:
             df = read_dataset(spark, path, infer=profile, na_tokens=tokens, multi_line=multi_line)
             _ = df.schema  # resolve now so an unreadable file is reported here
-            out[name] = trim_headers(df) if profile else df
+            out[name] = trim_headers(df) if profile else _as_mapped(df, name, hmap)
         except Exception as e:  # noqa: BLE001
             if strict:
                 raise
@@ -163,6 +163,13 @@ def load_folder(spark: SparkSession, folder: str, strict: bool = False, hmap: Ha
     return out, skipped
 
 
+def _as_mapped(df: DataFrame, dataset: str, hmap: HarmonizationMap) -> DataFrame:
+    """Columns under their exact names, but without the blanks around them where only that name is in the map."""
+    listed = {c for f in hmap.features for c in f.candidates(dataset)}
+    names = [c.strip() if c not in listed and c.strip() in listed and c.strip() not in df.columns else c for c in df.columns]
+    return df if names == df.columns or len(set(names)) < len(names) else df.toDF(*names)
+
+
 def skipped_frame(spark: SparkSession, skipped: Sequence[tuple[str, str]]) -> DataFrame:
     """The ``(dataset, reason)`` skip list of :func:`load_folder` as a DataFrame (one row per folder entry)."""
     return spark.createDataFrame(list(skipped), "dataset string, reason string")

@@ -43,6 +43,38 @@ def test_spine_equals_chain_with_nulls_and_duplicates(spark, seed):
     assert rows(spine) == rows(chain)
 
 
+@pytest.mark.parametrize("seed", [21, 22])
+@pytest.mark.parametrize("skew", [SkewConfig(), SkewConfig(input_rows=3, output_rows=5)])
+def test_layout_equals_chain(spark, seed, skew):
+    ds = _rand_tables(spark, seed)
+    for options in ({"include_unkeyed": True}, {"prune_null": True, "key_filter": F.col("k") < 3}):
+        want = merge_by_key(MAP, ds, "k", strategy="chain", **options)
+        got = merge_by_key(MAP, ds, "k", strategy="layout", skew=skew, **options)
+        assert got.columns == want.columns and rows(got) == rows(want)
+
+
+def test_layout_scans_each_file_once_and_exchanges_keys_only(spark, tmpdir_path, monkeypatch):
+    from canonix.operators import merge as mg
+    from canonix.sources import tables
+
+    for name, col in (("a", "ka,va"), ("b", "kb,vb,wb"), ("c", "kc,vc")):
+        with open(f"{tmpdir_path}/{name}.csv", "w") as f:
+            f.write(col + "\n" + "".join(f"{i % 7},x{i}{',1.5' if name == 'b' else ''}\n" for i in range(40)))
+    loaded, _ = tables.load_folder(spark, tmpdir_path, hmap=MAP)
+    scans, written = [], mg._written
+    monkeypatch.setattr(mg, "_written", lambda df, name: scans.append(df._jdf.queryExecution().toString().count("Scan csv")) or written(df, name))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = merge_by_key(MAP, loaded, "k", strategy="layout")
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(map(bool, scans)) == 3 and "Scan csv" not in plan
+    # At most the distinct keys are exchanged; the three bucketed sides are joined as they are.
+    assert plan.count("Exchange hashpartitioning") <= 1 and plan.count("SortMergeJoin") == 3 and plan.count("Bucketed: true") >= 3
+    assert rows(merged) == rows(merge_by_key(MAP, loaded, "k", strategy="chain"))
+
+
 @pytest.mark.parametrize("seed", [4, 5])
 def test_salted_hot_keys_equal_plain(spark, seed):
     ds = _rand_tables(spark, seed, n=60, keys=3)
