@@ -298,11 +298,17 @@ def _sample_json_records(spark, sf):
 
 
 def _dataset_profile(spark, sf):
+    """Everything of the profile: a row a column, with its dataset's shape, samples and metadata."""
     ds = {"customer.parquet": _read(spark, sf, "customer"),
           "orders.parquet": _orders_with_nulls(spark, sf)}
+    meta = _read(spark, sf, "customer").agg(F.concat(F.lit("rows: "), F.count("*").cast("string")).alias("metadata_text")).select(
+        F.lit("customer.parquet").alias("dataset"), "metadata_text")
     cols, dsp = pf.dataset_profile(ds, order_by={"customer.parquet": ["c_custkey"],
-                                                 "orders.parquet": ["o_orderkey"]})
-    return cols.drop("unique_sample").join(dsp.select("dataset", "rows", "cols"), "dataset")
+                                                 "orders.parquet": ["o_orderkey"]}, metadata=meta)
+    first = F.get_json_object("sample_json", "$[0]")
+    keys = F.expr("transform(from_json(sample_json, 'array<map<string,string>>'), x -> coalesce(x['c_custkey'], x['o_orderkey']))")
+    return cols.join(dsp.select("dataset", "rows", "cols", "metadata", keys.alias("sample_keys"),
+                                F.size(F.json_object_keys(first)).alias("sample_fields")), "dataset")
 
 
 # ---------------------------------------------------------------------------
@@ -318,10 +324,11 @@ def _report(spark, sf):
 
 def _harmonization_report(spark, sf):
     rep = _report(spark, sf)
-    feats = rep.select(F.posexplode("harmonization_details").alias("feature_pos", "f"))
+    feats = rep.select(F.posexplode("harmonization_details").alias("feature_pos", "f"), "dataset_info")
     per_ds = feats.select("feature_pos", F.col("f.canonical_name").alias("canonical_name"),
-                          F.explode("f.original_columns").alias("dataset", "cols"))
-    return per_ds.select("feature_pos", "canonical_name", "dataset", F.inline("cols"))
+                          F.explode("f.original_columns").alias("dataset", "cols"), "dataset_info")
+    shape = F.try_element_at("dataset_info", F.col("dataset"))["shape"]
+    return per_ds.select("feature_pos", "canonical_name", "dataset", shape.alias("shape"), F.inline("cols"))
 
 
 def _feature_context(spark, sf):
@@ -346,7 +353,7 @@ def _map_roundtrip(spark, sf):
 # Column matching
 # ---------------------------------------------------------------------------
 
-_MATCH_TABLES = ("customer", "supplier", "nation", "orders", "part")
+_MATCH_TABLES = ALL_TABLES
 
 
 def _match_columns_overlap(spark, sf):
@@ -608,10 +615,19 @@ def _ensure_map(spark, sf):
     from canonix.plans.workflow import ensure_map
 
     path = scratch_path(spark, "auto-map") + "/harmonization_map.json"
-    hm = ensure_map(spark, _load(spark, sf, ("customer", "supplier", "nation")), path)
+    _read(spark, sf, "region").select(F.lit("no map")).write.text(path)  # not a map: a new one takes its place
+    hm = ensure_map(spark, _load(spark, sf, ALL_TABLES), path, replace_invalid=True)
     return hm.to_long_df(spark)
 
 
+def _folder_analysis(spark, sf):
+    """The profile of a folder with its sidecar text, as the analysis keeps it."""
+    from canonix.plans.workflow import analyze_folder
+
+    found, _ = analyze_folder(spark, _write_folder(spark, sf, scratch_path(spark, "analysis")))
+    return found.dataset_profile.select("dataset", "rows", "cols", "metadata", F.size(F.from_json("sample_json", "array<string>")).alias("sampled"))
+
+
 # ---------------------------------------------------------------------------
 # Registry
 # ---------------------------------------------------------------------------
@@ -673,6 +689,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "workbook_folder_scan": _workbook_folder_scan,
         "distinct_consolidate_stream": _distinct_consolidate_stream,
         "ensure_map": _ensure_map,
+        "folder_analysis": _folder_analysis,
         **entry_sources.QUERIES,
         **LLM_QUERIES,
         **({"pipeline": corpus_pipeline.run} if corpus_pipeline else {}),
@@ -688,19 +705,67 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 _DUCK = {"Integer": "BIGINT", "String": "VARCHAR", "Float": "DOUBLE"}
 # Physical columns outside the declared vocabulary (pass through untouched).
 _NONBASIC = {("orders.parquet", "o_orderdate"): "TIMESTAMP", ("lineitem.parquet", "l_shipdate"): "TIMESTAMP"}
-# Spark type names of profiled tables (fixed by the test data).
-_SPARK_TYPES = {
-    "customer": [("c_custkey", "bigint"), ("c_name", "string"), ("c_nationkey", "int"), ("c_acctbal", "double"),
-                 ("c_mktsegment", "string")],
-    "orders": [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
-               ("o_totalprice", "double"), ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string")],
-    "part": [("p_partkey", "bigint"), ("p_name", "string"), ("p_brand", "string"), ("p_type", "string"),
-             ("p_size", "int"), ("p_retailprice", "double")],
-}
+# Spark type names of the tables' columns (fixed values of the test data).
+_SPARK_TYPES = {table: [tuple(c.split(":")) for c in cols.split()] for table, cols in {
+    "region": "r_regionkey:int r_name:string",
+    "nation": "n_nationkey:int n_name:string n_regionkey:int",
+    "customer": "c_custkey:bigint c_name:string c_nationkey:int c_acctbal:double c_mktsegment:string",
+    "supplier": "s_suppkey:bigint s_name:string s_nationkey:int s_acctbal:double",
+    "part": "p_partkey:bigint p_name:string p_brand:string p_type:string p_size:int p_retailprice:double",
+    "orders": "o_orderkey:bigint o_custkey:bigint o_orderstatus:string o_totalprice:double o_orderdate:timestamp_ntz o_orderpriority:string",
+    "lineitem": "l_orderkey:bigint l_partkey:bigint l_suppkey:bigint l_linenumber:int l_quantity:double l_extendedprice:double l_discount:double "
+                "l_tax:double l_returnflag:string l_linestatus:string l_shipdate:timestamp_ntz",
+    "events": "event_id:bigint ts:timestamp_ntz user_id:bigint event_type:string value:double props:string",
+    "documents": "doc_id:bigint text:string lang:string source:string n_chars:bigint",
+    "embeddings": "vec_id:bigint embedding:array<float> label:int",
+    "pages": "page_id:bigint url:string html:string",
+    "benchmark": "item_id:bigint text:string",
+    "labels": "doc_id:bigint quality:int toxic:int",
+    "conversations": "conv_id:bigint turn:bigint role:string text:string",
+}.items()}
+# Features that matching must find in the tables: name, type, columns (fixed values, set by hand).
+_MATCHED = [(name, kind, columns.split()) for name, kind, columns in (
+    ("acctbal", "Float", "customer.c_acctbal supplier.s_acctbal"), ("brand", "String", "part.p_brand"), ("conv_id", "Integer", "conversations.conv_id"),
+    ("custkey", "Integer", "customer.c_custkey orders.o_custkey"), ("discount", "Float", "lineitem.l_discount"),
+    ("doc_id", "Integer", "documents.doc_id labels.doc_id"), ("embedding", "String", "embeddings.embedding"), ("event_id", "Integer", "events.event_id"),
+    ("event_type", "String", "events.event_type part.p_type"), ("extendedprice", "Float", "lineitem.l_extendedprice"), ("html", "String", "pages.html"),
+    ("item_id", "Integer", "benchmark.item_id"), ("label", "Integer", "embeddings.label"), ("lang", "String", "documents.lang"),
+    ("linenumber", "Integer", "lineitem.l_linenumber"), ("linestatus", "String", "lineitem.l_linestatus orders.o_orderstatus"),
+    ("mktsegment", "String", "customer.c_mktsegment"), ("n_chars", "Integer", "documents.n_chars"),
+    ("name", "String", "customer.c_name nation.n_name part.p_name region.r_name supplier.s_name"),
+    ("nationkey", "Integer", "customer.c_nationkey nation.n_nationkey supplier.s_nationkey"), ("orderdate", "String", "orders.o_orderdate"),
+    ("orderkey", "Integer", "lineitem.l_orderkey orders.o_orderkey"), ("orderpriority", "String", "orders.o_orderpriority"),
+    ("page_id", "Integer", "pages.page_id"), ("partkey", "Integer", "lineitem.l_partkey part.p_partkey"), ("props", "String", "events.props"),
+    ("quality", "Integer", "labels.quality"), ("quantity", "Float", "lineitem.l_quantity"),
+    ("regionkey", "Integer", "nation.n_regionkey region.r_regionkey"), ("retailprice", "Float", "part.p_retailprice"),
+    ("returnflag", "String", "lineitem.l_returnflag"), ("role", "String", "conversations.role"), ("shipdate", "String", "lineitem.l_shipdate"),
+    ("size", "Integer", "part.p_size"), ("source", "String", "documents.source"), ("suppkey", "Integer", "lineitem.l_suppkey supplier.s_suppkey"),
+    ("tax", "Float", "lineitem.l_tax"), ("text", "String", "benchmark.text conversations.text documents.text"), ("totalprice", "Float", "orders.o_totalprice"),
+    ("toxic", "Integer", "labels.toxic"), ("ts", "String", "events.ts"), ("turn", "Integer", "conversations.turn"), ("url", "String", "pages.url"),
+    ("user_id", "Integer", "events.user_id"), ("value", "Float", "events.value"), ("vec_id", "Integer", "embeddings.vec_id"))]
 _ORDERS_NULLS = ("(SELECT * REPLACE (nullif(o_orderstatus, 'F') AS o_orderstatus, "
                  "nullif(o_orderpriority, '3-MEDIUM') AS o_orderpriority) FROM orders)")
 
 
+def _vocabulary(spark_type: str) -> str:
+    return {"bigint": "Integer", "int": "Integer", "double": "Float"}.get(spark_type, "String")
+
+
+def _matched_sql(as_document: bool) -> str:
+    """The long map of ``_MATCHED``; as a document has it, with its types and null counts."""
+    parts = []
+    for pos, (name, kind, columns) in enumerate(_MATCHED):
+        for c in columns:
+            table, column = c.split(".")
+            t = dict(_SPARK_TYPES[table])[column]
+            test = f"{column} IS NULL" + (f" OR isnan({column})" if t == "double" else "")
+            nulls = f"(SELECT count(*) FILTER ({test}) FROM {table})" if as_document else "CAST(NULL AS BIGINT)"
+            parts.append(f"SELECT {pos} AS feature_pos, '{name}' AS canonical_name, CAST(NULL AS VARCHAR) AS semantic_meaning, '{kind}' AS data_type, "
+                         f"'{table}.parquet' AS dataset, 0 AS cand_pos, '{column}' AS column_name, '{_vocabulary(t) if as_document else t}' AS column_type, "
+                         f"{nulls} AS nan_count")
+    return " UNION ALL ".join(parts)
+
+
 def _q(name: str) -> str:
     return '"' + name.replace('"', '""') + '"'
 
@@ -774,15 +839,7 @@ def _null_counts_sql(table, source, dataset) -> str:
 
 def _report_rows_sql(with_meta: bool) -> str:
     hm = testdata_map()
-    phys = {
-        "customer": dict(_SPARK_TYPES["customer"]), "orders": dict(_SPARK_TYPES["orders"]),
-        "part": dict(_SPARK_TYPES["part"]),
-        "supplier": {"s_suppkey": "bigint", "s_name": "string", "s_nationkey": "int", "s_acctbal": "double"},
-        "nation": {"n_nationkey": "int", "n_name": "string", "n_regionkey": "int"},
-        "region": {"r_regionkey": "int", "r_name": "string"},
-        "lineitem": {"l_orderkey": "bigint", "l_partkey": "bigint", "l_linestatus": "string",
-                     "l_extendedprice": "double", "l_shipdate": "timestamp_ntz"},
-    }
+    phys = {t: dict(c) for t, c in _SPARK_TYPES.items()}
     parts = []
     for fpos, f in enumerate(hm.features):
         for ds, refs in f.original_columns.items():
@@ -793,23 +850,17 @@ def _report_rows_sql(with_meta: bool) -> str:
                 t = phys[table][c]
                 test = f"{c} IS NULL" + (f" OR isnan({c})" if t == "double" else "")
                 meta = (f"'{f.semantic_meaning}' AS semantic_meaning, '{f.data_type}' AS data_type, "
-                        f"{cpos} AS cand_pos, " if with_meta else "")
+                        f"{cpos} AS cand_pos, " if with_meta else f"[(SELECT count(*) FROM {table}), {len(phys[table])}] AS shape, ")
                 parts.append(
                     f"SELECT {fpos} AS feature_pos, '{f.canonical_name}' AS canonical_name, {meta}'{ds}' AS dataset, "
-                    f"'{c}' AS column_name, '{t}' AS {'column_type' if with_meta else 'data_type'}, "
+                    f"'{c}' AS column_name, '{_vocabulary(t)}' AS {'column_type' if with_meta else 'data_type'}, "
                     f"CAST(SUM(CASE WHEN {test} THEN 1 ELSE 0 END) AS BIGINT) AS nan_count FROM {src}")
     return " UNION ALL ".join(parts)
 
 
 def _overlap_sql() -> str:
     fam = {"bigint": "Integer", "int": "Integer", "double": "Float", "string": "String"}
-    cols = {
-        "customer": _SPARK_TYPES["customer"],
-        "supplier": [("s_suppkey", "bigint"), ("s_name", "string"), ("s_nationkey", "int"), ("s_acctbal", "double")],
-        "nation": [("n_nationkey", "int"), ("n_name", "string"), ("n_regionkey", "int")],
-        "orders": [c for c in _SPARK_TYPES["orders"] if c[1] in fam],
-        "part": _SPARK_TYPES["part"],
-    }
+    cols = {t: [c for c in cs if c[1] in fam] for t, cs in _SPARK_TYPES.items()}
     vals = []
     for t, cs in cols.items():
         for c, ty in cs:
@@ -850,13 +901,18 @@ def oracle_sql() -> dict[str, str]:
             f"list(CAST(v AS VARCHAR) ORDER BY v) AS \"values\" FROM "
             f"(SELECT DISTINCT {c} AS v FROM part WHERE {c} IS NOT NULL ORDER BY v LIMIT 5)")
     prof_cols = []
-    for table, src in (("customer", "customer"), ("orders", _ORDERS_NULLS)):
+    for table, src, key in (("customer", "customer", "c_custkey"), ("orders", _ORDERS_NULLS, "o_orderkey")):
         for i, (c, t) in enumerate(_SPARK_TYPES[table]):
             test = f"{c} IS NULL" + (f" OR isnan({c})" if t == "double" else "")
             prof_cols.append(
                 f"SELECT '{table}.parquet' AS dataset, {i} AS position, '{c}' AS column_name, '{t}' AS data_type, "
-                f"CAST(SUM(CASE WHEN {test} THEN 1 ELSE 0 END) AS BIGINT) AS null_count, COUNT(*) AS rows, "
-                f"{len(_SPARK_TYPES[table])} AS cols FROM {src}")
+                f"CAST(SUM(CASE WHEN {test} THEN 1 ELSE 0 END) AS BIGINT) AS null_count, "
+                f"(SELECT list(v ORDER BY p) FROM (SELECT CAST({c} AS VARCHAR) AS v, min(p) AS p FROM (SELECT *, row_number() OVER (ORDER BY {key}) AS p "
+                f"FROM {src} ORDER BY {key} LIMIT 5) GROUP BY v)) AS unique_sample, COUNT(*) AS rows, "
+                f"{len(_SPARK_TYPES[table])} AS cols, {'$$rows: $$ || COUNT(*)' if table == 'customer' else 'CAST(NULL AS VARCHAR)'} AS metadata, "
+                f"(SELECT list(CAST({key} AS VARCHAR) ORDER BY {key}) FROM (SELECT {key} FROM {src} ORDER BY {key} LIMIT 5)) AS sample_keys, "
+                f"(SELECT {' + '.join(f'CAST({x} IS NOT NULL AS INTEGER)' for x, _ in _SPARK_TYPES[table])} FROM {src} ORDER BY {key} LIMIT 1) AS sample_fields "
+                f"FROM {src}")
     ds_lines = []
     ncols = {"customer": 5, "lineitem": 11, "nation": 3, "orders": 6, "part": 6, "region": 2, "supplier": 4}
     for i, t in enumerate(sorted(MAPPED)):
@@ -918,6 +974,12 @@ def oracle_sql() -> dict[str, str]:
         "map_long": _report_rows_sql(True),
         "map_roundtrip": _report_rows_sql(True),
         "match_columns_overlap": _overlap_sql(),
+        "match_columns_name": _matched_sql(False),
+        "ensure_map": _matched_sql(True),
+        "folder_analysis": (
+            "SELECT 'orders.csv' AS dataset, count(*) AS rows, 6 AS cols, 'rows: ' || count(*) || chr(10) AS metadata, 5 AS sampled FROM orders "
+            "UNION ALL SELECT 'customer.parquet', count(*), 5, 'rows: ' || count(*) || chr(10), 5 FROM customer "
+            "UNION ALL SELECT 'nation.CSV', count(*), 3, NULL, 5 FROM nation"),
         "steps_merge_filter": f"SELECT * FROM ({_merge_sql(_ds('lineitem', 'orders'), 'order_key')}) "
                               "WHERE status = 'F'",
         "steps_unique": _distinct_text("status", ["SELECT o_orderstatus AS v FROM orders",

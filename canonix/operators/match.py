@@ -4,22 +4,27 @@ The reference asks a language model to group columns that mean the same thing.
 Here the same outcome (groups, canonical name, type) comes from a Spark job:
 
 1. **Catalog** of columns (schema metadata, one row per column): a type family
-   (Integer / Float / String) and a name key (lower case, the dataset's common
+   (Integer / Float / String, others by their type) and a name key (lower case, the dataset's common
    ``x_`` prefix removed, split into tokens).
-2. **Name score**: token Jaccard between columns of different datasets;
-   candidate pairs come from a join on tokens, never a cross join.
-3. **Value overlap**: every cell becomes ``(value, column bit)``; grouping by
-   value ORs the bits into a mask of the columns holding it (combined per
-   task, so a value repeated in a third of all rows is one row per task), and
+2. **Name score**: token Jaccard or edit similarity between columns of different datasets. Candidates come
+   from prefix-filtered joins: tokens and trigrams are put in a global order, rarest first, and a column
+   is joined by as many of its first ones as any partner of that score must share, so ``id`` and ``name`` do
+   not bring all columns together. Names that differ in a qualifier only (``gdsc_auc``, ``ctrp_auc``) mean different things.
+3. **Value overlap** of text columns. A theta sketch a column (a bounded buffer, one pass a dataset) rules out pairs whose
+   overlap is certainly too small; the columns of the others are compared exactly: every cell becomes
+   ``(hash of the value, column bit)``; grouping by it ORs the bits into a mask of the columns holding it (combined per
+   task, so a value repeated in a third of all rows is one row per task, and no text is shuffled), and
    masks are counted. Each mask row is then exploded once per member column
    and one grouped sum per column yields its whole row of shared counts, so no
    pair is ever emitted per value or per mask.
-4. **Decision**: Integer and Float columns need a name match (dense integer
-   keys overlap by accident); String columns may also match on value
-   containment.
-5. **Groups**: connected components by iterated min-label propagation, the
-   lineage cut with ``checkpoint()`` every few rounds.
-6. **Canonical name**: the most frequent name key of the group (ties: lexical).
+4. **Decision**: numbers need a name match (dense integer
+   keys overlap by accident); other types too, and across types the names must be equal; text columns may also match on value
+   containment, weighed by the number of shared values.
+5. **Assignment**: between two datasets a column has one partner at most, the one that is best for both.
+6. **Groups**: connected components of these pairs by iterated min-label propagation (lineage cut with
+   ``checkpoint()``), each split so that no group holds two columns of a dataset or two qualifiers of a name: best pairs
+   first, a pair that would bring such two together is left out.
+7. **Canonical name**: the most frequent name key of the group (ties: lexical).
 """
 
 from __future__ import annotations
@@ -29,7 +34,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,9 +48,8 @@ _FLOAT = (T.FloatType, T.DoubleType, T.DecimalType)
 class MatchConfig:
     name_threshold: float = 0.5
     containment_threshold: float = 0.8
-    min_shared: int = 2
-    checkpoint_every: int = 2
-    max_rounds: int = 64
+    #: Entries of a column's sketch, as a power of two.
+    sketch_bits: int = 12
 
 
 def type_family(dt: T.DataType) -> str | None:
@@ -59,11 +63,14 @@ def type_family(dt: T.DataType) -> str | None:
 
 
 def _common_prefix(names: list[str]) -> str:
-    """The ``x_`` prefix shared by every column of a dataset (``c_`` in c_name, c_custkey)."""
+    """The ``x_`` prefix shared by every column of a dataset (``c_`` in c_name, c_custkey).
+
+    One or two letters only: a longer one (``ctrp_``) is a qualifier, which tells measures apart.
+    """
     if len(names) < 2:
         return ""
     heads = {n.lower().split("_", 1)[0] + "_" if "_" in n else None for n in names}
-    if len(heads) == 1 and None not in heads:
+    if len(heads) == 1 and None not in heads and len(min(heads)) <= 3:
         return heads.pop()
     return ""
 
@@ -90,37 +97,81 @@ def column_catalog(spark: SparkSession, datasets: Mapping[str, DataFrame]) -> Da
     return spark.createDataFrame(rows, schema)
 
 
-def name_pairs(catalog: DataFrame, edit_threshold: float = 0.85) -> DataFrame:
-    """Name scores for column pairs of different datasets and the same family.
+def _ranked(tokens: DataFrame) -> DataFrame:
+    """``tokens`` (id, g) with ``place`` of each token among its column's, rarest of all columns first."""
+    count = tokens.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    order = Window.partitionBy("id").orderBy("n", "g")
+    return tokens.join(count, "g").withColumn("place", F.row_number().over(order)).drop("n")
+
 
-    Candidates share a name token or a character trigram of the compact name
-    key (an equi-join, never a cross join). Score = the larger of the token
+def name_candidates(base: DataFrame, threshold: float, edit_threshold: float) -> DataFrame:
+    """Pairs of columns that may reach a score, from ``base`` (id, dataset, tokens, compact).
+
+    Tokens: sets of n and m that share a fraction ``threshold`` of their union share ``o = ceil(t (n + m) / (1 + t))``, hence
+    one of the first ``n - o + 1`` and ``m - o + 1`` by rarity; both sizes are part of the key. Trigrams: names of l
+    letters within e edits lose 3e at most, hence share one of the first ``3e + 1``.
+    """
+    sets = base.select("id", "dataset", F.array_distinct("tokens").alias("t")).withColumn("n", F.size("t"))
+    place = _ranked(sets.select("id", F.explode("t").alias("g")))
+    sizes = sets.filter("n > 0").select("id", "dataset", "n", F.explode(F.sequence(
+        F.ceil(F.col("n") * threshold).cast("int"), F.floor(F.col("n") / threshold).cast("int"))).alias("m"))
+    need = F.ceil(F.round((F.col("n") + F.col("m")) * threshold / (1 + threshold), 9))
+    keys = sizes.join(place, "id").filter(F.col("place") <= F.col("n") - need + 1)
+    a, b = keys.alias("a"), keys.alias("b")
+    by_token = a.join(b, (F.col("a.g") == F.col("b.g")) & (F.col("a.n") == F.col("b.m")) & (F.col("a.m") == F.col("b.n"))
+                      & (F.col("a.dataset") < F.col("b.dataset")))
+    lost = 1 - edit_threshold
+    texts = base.select("id", "dataset", "compact").withColumn(
+        "e", F.floor(F.round(F.length("compact") / edit_threshold * lost, 9)).cast("int"))
+    grams = texts.select("id", F.explode(F.expr(
+        "array_distinct(transform(sequence(1, greatest(length(compact) - 2, 1)), i -> substring(compact, i, 3)))")).alias("g"))
+    # Without room for an edit only equal names do.
+    spelled = texts.filter("e = 0").select("id", "dataset", F.concat(F.lit("="), "compact").alias("g"))
+    edits = texts.filter("e > 0").join(_ranked(grams), "id").filter(F.col("place") <= 3 * F.col("e") + 1).select("id", "dataset", "g")
+    near = spelled.union(edits).union(texts.filter("e > 0").select("id", "dataset", F.concat(F.lit("="), "compact")))
+    c, d = near.alias("a"), near.alias("b")
+    by_gram = c.join(d, (F.col("a.g") == F.col("b.g")) & (F.col("a.dataset") < F.col("b.dataset")))
+    pair = [F.col("a.id").alias("col_a"), F.col("b.id").alias("col_b")]
+    return by_token.select(*pair).union(by_gram.select(*pair)).distinct()
+
+
+#: How many tokens at the end two names have in common.
+_TAIL = ("aggregate(sequence(1, greatest(least(size({a}), size({b})), 1)), 0, (n, i) -> "
+         "if(n = i - 1 and try_element_at({a}, -i) = try_element_at({b}, -i), i, n))")
+
+
+def qualified_apart(a: str, b: str) -> Column:
+    """Whether two token lists end alike and begin with different qualifiers."""
+    tail = _TAIL.format(a=a, b=b)
+    head = "slice({x}, 1, size({x}) - {tail})"
+    left, right = head.format(x=a, tail=tail), head.format(x=b, tail=tail)
+    return F.expr(f"{tail} > 0 and size({left}) > 0 and size({right}) > 0 and not arrays_overlap({left}, {right})")
+
+
+def name_pairs(catalog: DataFrame, edit_threshold: float = 0.85, threshold: float = 0.5) -> DataFrame:
+    """Name scores for column pairs of different datasets.
+
+    Score = the larger of the token
     Jaccard and the edit similarity ``1 - levenshtein / longer length`` when the
     latter reaches ``edit_threshold`` (``drug_id`` ~ ``drugid``, but not
-    ``nationkey`` ~ ``regionkey``).
+    ``nationkey`` ~ ``regionkey``); pairs below ``threshold`` are left out, as are
+    names that differ in their qualifiers only.
     """
-    base = catalog.select("col_id", "dataset", "family", "tokens",
+    base = catalog.select(F.col("col_id").alias("id"), "dataset", "tokens",
                           F.regexp_replace("name_key", "_", "").alias("compact"))
-    grams = base.select(
-        "col_id", "dataset", "family",
-        F.explode(F.array_union(
-            F.array_distinct("tokens"),
-            F.expr("transform(sequence(1, greatest(length(compact) - 2, 1)), i -> concat('#', substring(compact, i, 3)))"),
-        )).alias("g"),
-    )
-    a, b = grams.alias("a"), grams.alias("b")
-    cand = a.join(b, (F.col("a.g") == F.col("b.g")) & (F.col("a.dataset") < F.col("b.dataset"))
-                  & (F.col("a.family") == F.col("b.family"))).select(
-        F.col("a.col_id").alias("col_a"), F.col("b.col_id").alias("col_b")).distinct()
+    cand = name_candidates(base, threshold, edit_threshold)
     ba, bb = base.alias("ba"), base.alias("bb")
-    scored = cand.join(ba, F.col("col_a") == F.col("ba.col_id")).join(bb, F.col("col_b") == F.col("bb.col_id"))
-    ta, tb = F.array_distinct(F.col("ba.tokens")), F.array_distinct(F.col("bb.tokens"))
+    scored = cand.join(ba, F.col("col_a") == F.col("ba.id")).join(bb, F.col("col_b") == F.col("bb.id")).select(
+        "col_a", "col_b", F.col("ba.tokens").alias("ta"), F.col("bb.tokens").alias("tb"),
+        F.col("ba.compact").alias("ca"), F.col("bb.compact").alias("cb"))
+    ta, tb = F.array_distinct(F.col("ta")), F.array_distinct(F.col("tb"))
     inter = F.size(F.array_intersect(ta, tb))
     jacc = inter / (F.size(ta) + F.size(tb) - inter)
-    longer = F.greatest(F.length("ba.compact"), F.length("bb.compact"))
-    edit = 1 - F.levenshtein("ba.compact", "bb.compact") / longer
+    longer = F.greatest(F.length("ca"), F.length("cb"))
+    edit = 1 - F.levenshtein("ca", "cb") / longer
     score = F.greatest(jacc, F.when(edit >= edit_threshold, edit).otherwise(F.lit(0.0)))
-    return scored.select("col_a", "col_b", score.alias("name_score")).where(F.col("name_score") > 0)
+    return scored.filter(~qualified_apart("ta", "tb")).select("col_a", "col_b", score.alias("name_score")).where(
+        F.col("name_score") >= threshold)
 
 
 _WORD = 62  # column bits per bigint word (keeps every mask positive)
@@ -132,7 +183,7 @@ def _basic_columns(catalog_rows: list) -> list:
 
 
 def value_rows(datasets: Mapping[str, DataFrame], catalog_rows: list) -> DataFrame:
-    """``(value, w0..wk)`` per non-null cell: the cell's column as one bit of a bigint mask."""
+    """``(h0, h1, w0..wk)`` per non-null cell: two hashes of its text, the cell's column as one bit of a bigint mask."""
     cols = _basic_columns(catalog_rows)
     words = max(1, -(-len(cols) // _WORD))
     parts = []
@@ -145,16 +196,17 @@ def value_rows(datasets: Mapping[str, DataFrame], catalog_rows: list) -> DataFra
             ws = ", ".join(
                 f"'w{j}', {('CAST(1 AS BIGINT) << ' + str(idx % _WORD)) if j == idx // _WORD else 'CAST(0 AS BIGINT)'}"
                 for j in range(words))
-            entries.append(f"named_struct('value', CAST({quote(r['column_name'])} AS STRING), {ws})")
+            text = f"CAST({quote(r['column_name'])} AS STRING)"
+            entries.append(f"named_struct('h0', IF({text} IS NULL, NULL, xxhash64({text})), 'h1', xxhash64(1, {text}), {ws})")
         parts.append(datasets[ds].selectExpr(f"inline(array({', '.join(entries)}))"))
     longv = reduce(lambda x, y: x.union(y), parts)
-    return longv.where(F.col("value").isNotNull())
+    return longv.where(F.col("h0").isNotNull())
 
 
 def signature_masks(datasets: Mapping[str, DataFrame], catalog_rows: list) -> DataFrame:
     """``(w0..wk, cnt)``: how many distinct values exactly this set of columns (a bit mask) holds.
 
-    Grouping by value ORs the column bits (``bit_or`` is combined per task
+    Values are told apart by 128 bits of hash. Grouping by value ORs the column bits (``bit_or`` is combined per task
     before the shuffle, so a value repeated in a third of all rows is one row
     per task); counting per mask then leaves at most one row per distinct
     column set.
@@ -162,7 +214,7 @@ def signature_masks(datasets: Mapping[str, DataFrame], catalog_rows: list) -> Da
     cols = _basic_columns(catalog_rows)
     words = max(1, -(-len(cols) // _WORD))
     wnames = [f"w{j}" for j in range(words)]
-    by_value = value_rows(datasets, catalog_rows).groupBy("value").agg(
+    by_value = value_rows(datasets, catalog_rows).groupBy("h0", "h1").agg(
         *[F.bit_or(w).alias(w) for w in wnames])
     return by_value.groupBy(*wnames).agg(F.count(F.lit(1)).alias("cnt"))
 
@@ -219,22 +271,108 @@ def value_overlap(datasets: Mapping[str, DataFrame], catalog: DataFrame) -> Data
     })
 
 
-def score_pairs(datasets: Mapping[str, DataFrame], catalog: DataFrame, cfg: MatchConfig | None = None) -> DataFrame:
-    """All candidate pairs with name and overlap evidence and the accept decision."""
-    cfg = cfg or MatchConfig()
-    names = name_pairs(catalog)
-    over = value_overlap(datasets, catalog)
-    both = names.join(over, ["col_a", "col_b"], "full")
-    fam = catalog.select(F.col("col_id").alias("col_a"), "family")
-    both = both.join(fam, "col_a").fillna({"name_score": 0.0, "shared": 0, "jaccard": 0.0, "containment": 0.0})
-    accept = (F.col("name_score") >= cfg.name_threshold) | (
-        (F.col("family") == "String") & (F.col("containment") >= cfg.containment_threshold)
-        & (F.col("shared") >= cfg.min_shared)
-    )
-    return both.withColumn("accepted", accept)
+def sketch_pairs(datasets: Mapping[str, DataFrame], catalog: DataFrame, cfg: MatchConfig) -> list[tuple[str, str]]:
+    """Pairs of text columns whose containment may reach the threshold, by theta sketches (schema-sized).
+
+    A sketch keeps the smallest hashes of a column, ``2 ** sketch_bits`` at most. A pair goes only if its estimated intersection is below
+    the threshold by more than five standard deviations and ten missed hashes.
+    """
+    text = [r for r in catalog.where("family = 'String'").collect()]
+    by_ds: dict[str, list] = {}
+    for r in text:
+        by_ds.setdefault(r["dataset"], []).append(r)
+    rows = []
+    for ds, cols in sorted(by_ds.items()):
+        one = datasets[ds].agg(*[F.theta_sketch_agg(F.col(quote(r["column_name"])).cast("string"), cfg.sketch_bits).alias(f"s{i}")
+                                 for i, r in enumerate(cols)])
+        rows.append(one.select(F.inline(F.array(*[
+            F.struct(F.lit(r["col_id"]).alias("id"), F.lit(ds).alias("dataset"), F.col(f"s{i}").alias("s")) for i, r in enumerate(cols)]))))
+    if len(rows) < 2:
+        return []
+    sketches = reduce(lambda x, y: x.union(y), rows).withColumn("n", F.theta_sketch_estimate("s")).checkpoint()
+    a, b = sketches.alias("a"), sketches.alias("b")
+    # The pairs are of columns, as the result may be; each costs two bounded sketches.
+    pairs = a.join(b, F.col("a.dataset") < F.col("b.dataset")).withColumn(
+        "shared", F.theta_sketch_estimate(F.theta_intersection("a.s", "b.s")))
+    share = F.least(F.lit(1.0), F.lit(float(1 << cfg.sketch_bits)) / F.greatest("a.n", "b.n", F.lit(1)))
+    most = F.col("shared") + 5 * F.sqrt(F.col("shared") / share) + F.when(share < 1, 10 / share).otherwise(0.5)
+    may = (F.least("a.n", "b.n") > 0) & (most >= cfg.containment_threshold * F.least("a.n", "b.n"))
+    return [(r[0], r[1]) for r in pairs.filter(may).select("a.id", "b.id").collect()]
 
 
-def connected_components(vertices: DataFrame, edges: DataFrame, cfg: MatchConfig | None = None) -> DataFrame:
+def score_pairs(datasets: Mapping[str, DataFrame], catalog: DataFrame, cfg: MatchConfig | None = None) -> DataFrame:
+    """All candidate pairs with name and overlap evidence, ``score`` and the accept decision."""
+    from canonix.session import ensure_checkpoint_dir
+
+    cfg = cfg or MatchConfig()
+    ensure_checkpoint_dir(catalog.sparkSession)
+    names = name_pairs(catalog, threshold=cfg.name_threshold)
+    likely = sketch_pairs(datasets, catalog, cfg)
+    some = {c for pair in likely for c in pair}
+    if some:
+        chosen = catalog.filter(F.col("col_id").isin(sorted(some)))
+        over = value_overlap(datasets, chosen).select("col_a", "col_b", "shared", "jaccard", "containment")
+        over = over.filter(F.col("containment") >= cfg.containment_threshold)
+        both = names.join(over, ["col_a", "col_b"], "full")
+    else:
+        both = names.withColumns({"shared": F.lit(0).cast("long"), "jaccard": F.lit(0.0), "containment": F.lit(0.0)})
+    kind = F.coalesce("family", "data_type")
+    for side in ("a", "b"):
+        both = both.join(catalog.select(F.col("col_id").alias(f"col_{side}"), F.col("dataset").alias(f"dataset_{side}"),
+                                        kind.alias(f"family_{side}")), f"col_{side}")
+    both = both.fillna({"name_score": 0.0, "shared": 0, "jaccard": 0.0, "containment": 0.0})
+    number = F.col("family_a").isin("Integer", "Float") & F.col("family_b").isin("Integer", "Float")
+    by_name = F.when((F.col("family_a") == F.col("family_b")) | number | (F.col("name_score") == 1), F.col("name_score")).otherwise(0.0)
+    # One shared value is weak evidence, many are strong.
+    by_value = F.col("containment") * (1 - 1 / (1 + F.col("shared")))
+    return both.withColumn("score", F.greatest(by_name, by_value)).withColumn(
+        "accepted", F.col("score") >= F.least(F.lit(cfg.name_threshold), F.lit(cfg.containment_threshold / 2)))
+
+
+def best_pairs(pairs: DataFrame) -> DataFrame:
+    """Of accepted pairs those that are best for both columns among the partners in the other's dataset (one to one)."""
+    def rank(mine, other):
+        order = Window.partitionBy(f"col_{mine}", f"dataset_{other}").orderBy(F.col("score").desc(), F.col("jaccard").desc(), f"col_{other}")
+        return F.row_number().over(order)
+
+    return pairs.withColumns({"ra": rank("a", "b"), "rb": rank("b", "a")}).filter("ra = 1 AND rb = 1").drop("ra", "rb")
+
+
+def _apart(a: list[str], b: list[str]) -> bool:
+    """:func:`qualified_apart` of two token lists."""
+    n = 0
+    while n < min(len(a), len(b)) and a[-1 - n] == b[-1 - n]:
+        n += 1
+    left, right = set(a[:len(a) - n]), set(b[:len(b) - n])
+    return bool(n and left and right and not left & right)
+
+
+def _split_group(edges):
+    """Groups of one component (pandas): best pairs first, none that brings two columns of a dataset or two qualifiers together."""
+    import pandas as pd
+
+    group, info, linked = {}, {}, set()
+    for e in edges.itertuples():
+        for side in ("a", "b"):
+            c = getattr(e, f"col_{side}")
+            group.setdefault(c, [c])
+            info[c] = getattr(e, f"dataset_{side}"), list(getattr(e, f"tokens_{side}"))
+        linked.add((e.col_a, e.col_b))
+
+    def clash(a, b):
+        return info[a][0] == info[b][0] or ((a, b) not in linked and (b, a) not in linked and _apart(info[a][1], info[b][1]))
+
+    for e in edges.sort_values(["score", "col_a", "col_b"], ascending=[False, True, True]).itertuples():
+        left, right = group[e.col_a], group[e.col_b]
+        if left is right or any(clash(a, b) for a in left for b in right):
+            continue
+        left += right
+        for c in right:
+            group[c] = left
+    return pd.DataFrame([(c, min(members)) for c, members in group.items()], columns=["id", "component"])
+
+
+def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """``(id, component)`` with component = the smallest id reachable.
 
     Vertices get dense integer ranks (in id order); labels are ranks. Each
@@ -246,7 +384,6 @@ def connected_components(vertices: DataFrame, edges: DataFrame, cfg: MatchConfig
     the lineage one round deep. Used on the column graph, whose size follows
     the number of columns, not rows.
     """
-    cfg = cfg or MatchConfig()
     from canonix.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(vertices.sparkSession)  # the cluster's shared folder (set locally only if absent)
@@ -258,7 +395,7 @@ def connected_components(vertices: DataFrame, edges: DataFrame, cfg: MatchConfig
     und = e.union(e.select(F.col("d").alias("s"), F.col("s").alias("d")))
     labels = ranked.select("vid", F.col("vid").alias("label"))
     prev = labels.agg(F.sum("label")).collect()[0][0]
-    for _ in range(cfg.max_rounds):
+    while True:  # labels only fall, so this ends
         nbr = und.join(labels.withColumnRenamed("vid", "s"), "s").groupBy(F.col("d").alias("vid")).agg(
             F.min("label").alias("nl"))
         step = labels.join(nbr, "vid", "left").select(
@@ -272,7 +409,6 @@ def connected_components(vertices: DataFrame, edges: DataFrame, cfg: MatchConfig
             names = ranked.select(F.col("vid").alias("label"), F.col("id").alias("component"))
             return labels.join(ranked, "vid").join(names, "label").select("id", "component")
         prev = total
-    raise RuntimeError("connected components did not converge")
 
 
 def match_columns(datasets: Mapping[str, DataFrame], cfg: MatchConfig | None = None) -> DataFrame:
@@ -285,14 +421,22 @@ def match_columns(datasets: Mapping[str, DataFrame], cfg: MatchConfig | None = N
     from canonix.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(spark)
-    edges = score_pairs(datasets, catalog, cfg).where("accepted").select(
-        F.col("col_a").alias("src"), F.col("col_b").alias("dst")).checkpoint()
-    comps = connected_components(catalog.select(F.col("col_id").alias("id")), edges, cfg)
-    members = catalog.join(comps.withColumnRenamed("id", "col_id"), "col_id")
+    pairs = best_pairs(score_pairs(datasets, catalog, cfg).where("accepted")).checkpoint()
+    comps = connected_components(catalog.select(F.col("col_id").alias("id")),
+                                 pairs.select(F.col("col_a").alias("src"), F.col("col_b").alias("dst")))
+    edges = pairs.join(comps.withColumnRenamed("id", "col_a"), "col_a")
+    for side in ("a", "b"):
+        edges = edges.join(catalog.select(F.col("col_id").alias(f"col_{side}"), F.col("tokens").alias(f"tokens_{side}")), f"col_{side}")
+    split = edges.groupBy("component").applyInPandas(_split_group, "id string, component string").checkpoint()
+    members = catalog.join(split.withColumnRenamed("id", "col_id"), "col_id", "left").withColumn(
+        "component", F.coalesce("component", "col_id"))
     names = members.groupBy("component", "name_key").agg(F.count(F.lit(1)).alias("n"))
     best = names.groupBy("component").agg(
         F.min_by("name_key", F.struct((-F.col("n")).alias("neg"), F.col("name_key"))).alias("canonical_name"))
-    fams = members.groupBy("component").agg(F.min("family").alias("group_family"))
+    # Of the vocabulary Integer, Float, String: the narrowest that holds all members.
+    fams = members.groupBy("component").agg(
+        F.when(F.every(F.col("family").eqNullSafe("Integer")), "Integer")
+        .when(F.every(F.coalesce(F.col("family").isin("Integer", "Float"), F.lit(False))), "Float").otherwise("String").alias("group_family"))
     groups = best.join(fams, "component")
     # unique canonical names: later groups with an equal name get a numeric suffix
     w = Window.partitionBy("canonical_name").orderBy("component")

@@ -70,25 +70,43 @@ def head(df: DataFrame, n: int = 5, order_by: Sequence[str] | None = None) -> Da
 
     With ``order_by`` the order is named. Without it, a Parquet scan gives its
     rows in file order (file path, row index), which is what reading the first
-    lines of a file means; other inputs fall back to ordering by every column.
+    lines of a file means, and only the files that hold them are read; for CSV files see ``tables.read_head``.
+    Other inputs fall back to ordering by every column.
     """
     return head_positioned(df, n, order_by).drop("__pos")
 
 
 def head_positioned(df: DataFrame, n: int = 5, order_by: Sequence[str] | None = None) -> DataFrame:
     """:func:`head` plus ``__pos`` (1..n) in that order; the window runs over the n sampled rows only."""
-    if order_by:
-        keys = [F.col(quote(c)).asc_nulls_first() for c in order_by]
-        sample, extra = df.orderBy(*keys).limit(n), []
-    else:
-        positioned = _with_file_order(df)
-        if positioned is not None:
-            keys = [F.col(c) for c in _FILE_ORDER]
-            sample, extra = positioned.orderBy(*keys).limit(n), list(_FILE_ORDER)
-        else:
-            keys = [F.col(quote(c)).asc_nulls_first() for c in df.columns]
-            sample, extra = df.orderBy(*keys).limit(n), []
-    return sample.withColumn("__pos", F.row_number().over(Window.orderBy(*keys))).drop(*extra)
+    if not order_by:
+        first = _first_of_files(df, n)
+        if first is not None:
+            return first
+    keys = [F.col(quote(c)).asc_nulls_first() for c in order_by or df.columns]
+    sample = df.orderBy(*keys).limit(n)
+    return sample.withColumn("__pos", F.row_number().over(Window.orderBy(*keys)))
+
+
+def _first_of_files(df: DataFrame, n: int) -> DataFrame | None:
+    """The first ``n`` rows of a scan that knows its file order, files by name, or ``None`` for anything else.
+
+    The files are read one after the other until there are n rows, which pass the driver; no other file is read.
+    """
+    positioned = _with_file_order(df)
+    if positioned is None:
+        return None
+    path, index = _FILE_ORDER
+    got: list = []
+    for f in sorted(positioned.inputFiles()):
+        name = f.replace("file:///", "file:/", 1)
+        rows = positioned.filter(F.col(path).isin(f, name)).orderBy(index).limit(n - len(got)).drop(path, index).collect()
+        got += [(*r, len(got) + i + 1) for i, r in enumerate(rows)]
+        if len(got) >= n:
+            break
+    if not got and not positioned.isEmpty():
+        return None  # paths are written in another way here
+    schema = T.StructType([*df.schema.fields, T.StructField("__pos", T.IntegerType())])
+    return df.sparkSession.createDataFrame(got, schema)
 
 
 def _as_text(f: T.StructField) -> Column:
@@ -96,13 +114,13 @@ def _as_text(f: T.StructField) -> Column:
 
 
 def unique_sample_head(df: DataFrame, n: int = 5, order_by: Sequence[str] | None = None,
-                       dataset: str | None = None) -> DataFrame:
+                       dataset: str | None = None, sample: DataFrame | None = None) -> DataFrame:
     """Unique values of each column within the first ``n`` rows, in order of appearance (A3 head).
 
     Output ``(dataset, position, column_name, values array<string>)``; a null
     value is kept as a null element, as the reference keeps NaN.
     """
-    sample = head_positioned(df, n, order_by)  # n rows
+    sample = head_positioned(df, n, order_by) if sample is None else sample  # n rows
     fields = df.schema.fields
     stacked = sample.select(
         "__pos",
@@ -165,9 +183,10 @@ def unique_sample_full(df: DataFrame, n: int = 5, dataset: str | None = None) ->
         F.lit(dataset).cast("string").alias("dataset"), "position", "column_name", "values")
 
 
-def sample_json_records(df: DataFrame, n: int = 5, order_by: Sequence[str] | None = None) -> DataFrame:
+def sample_json_records(df: DataFrame, n: int = 5, order_by: Sequence[str] | None = None,
+                        sample: DataFrame | None = None) -> DataFrame:
     """The first ``n`` rows as one JSON array of records (P8, C12): ``(records string)``."""
-    sample = head_positioned(df, n, order_by)  # n rows
+    sample = head_positioned(df, n, order_by) if sample is None else sample  # n rows
     keyed = sample.select("__pos", F.struct(*[F.col(quote(c)) for c in df.columns]).alias("r"))
     return keyed.agg(
         F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("__pos", "r"))), lambda s: s["r"])).alias("records")
@@ -181,12 +200,14 @@ def rows_as_json(df: DataFrame) -> DataFrame:
 
 def dataset_profile(datasets: Mapping[str, DataFrame], sample_rows: int = 5,
                     order_by: Mapping[str, Sequence[str]] | None = None,
-                    metadata: DataFrame | None = None, samples: bool = True) -> tuple[DataFrame, DataFrame]:
+                    metadata: DataFrame | None = None, samples: bool = True,
+                    heads: Mapping[str, DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
     """Profile of every dataset (A8): ``(column_profile, dataset_profile)``.
 
     column_profile: ``dataset, position, column_name, data_type, null_count,
     unique_sample``. dataset_profile: ``dataset, rows, cols, sample_json,
-    metadata``. Row count and null counts share one aggregate per dataset.
+    metadata``. Row count and null counts share one aggregate per dataset, its only whole scan; the head
+    sample is taken once and serves both samples (``heads``: samples with ``__pos`` taken elsewhere, as of CSV files).
     The unique sample follows the reference (unique values within the head
     sample); ``samples=False`` skips the head samples (e.g. for the report,
     which only needs types, null counts and shapes).
@@ -202,7 +223,12 @@ def dataset_profile(datasets: Mapping[str, DataFrame], sample_rows: int = 5,
         nc = null_counts(df, name)
         cp = nc.join(F.broadcast(types), ["position", "column_name"])
         if samples:
-            us = unique_sample_head(df, sample_rows, ob, name).select(
+            sample = (heads or {}).get(name)
+            if sample is None:
+                sample = head_positioned(df, sample_rows, ob)
+                if ob or _with_file_order(df) is None:  # n rows, kept so that both samples share their scan
+                    sample = df.sparkSession.createDataFrame(sample.collect(), sample.schema)
+            us = unique_sample_head(df, sample_rows, ob, name, sample).select(
                 "position", F.col("values").alias("unique_sample"))
             cp = cp.join(us, "position", "left")
         else:
@@ -214,7 +240,7 @@ def dataset_profile(datasets: Mapping[str, DataFrame], sample_rows: int = 5,
         else:
             sh = shape(df, name)
         if samples:
-            sj = sample_json_records(df, sample_rows, ob).withColumn("dataset", F.lit(name))
+            sj = sample_json_records(df, sample_rows, ob, sample).withColumn("dataset", F.lit(name))
             sh = sh.join(sj, "dataset", "left").withColumnRenamed("records", "sample_json")
         else:
             sh = sh.withColumn("sample_json", F.lit(None).cast("string"))

@@ -12,6 +12,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def vocabulary_type(spark_type: Column) -> Column:
+    """Integer, Float or String, the types of the document, for a Spark type's name (others are String)."""
+    return F.when(spark_type.isin("tinyint", "smallint", "int", "bigint", "Integer"), "Integer").when(
+        spark_type.isin("float", "double", "Float") | spark_type.startswith("decimal"), "Float").when(spark_type.isNotNull(), "String")
+
+
 def report_long(map_long: DataFrame, column_profile: DataFrame) -> DataFrame:
     """Long map rows enriched with the profiled type and null count of each column."""
     prof = column_profile.select(
@@ -22,7 +28,7 @@ def report_long(map_long: DataFrame, column_profile: DataFrame) -> DataFrame:
     joined = map_long.join(prof, ["dataset", "column_name"], "left")
     return joined.select(
         "feature_pos", "canonical_name", "semantic_meaning", "data_type", "dataset", "cand_pos", "column_name",
-        F.coalesce("profiled_type", "column_type").alias("column_type"),
+        vocabulary_type(F.coalesce("profiled_type", "column_type")).alias("column_type"),
         F.coalesce("profiled_nulls", "nan_count").alias("nan_count"),
     )
 
