@@ -10,9 +10,9 @@ Invariants (kept from the reference semantics):
 
 Columns of a basic type are ``try_cast`` to the declared type (``Integer`` ->
 bigint, ``Float`` -> double, ``String`` -> string), so mixed physical types join
-cleanly under ANSI mode. A column whose physical type is outside the declared
-vocabulary (timestamp, date, binary, nested) passes through untouched, and the
-null fill of that feature elsewhere uses the same physical type.
+cleanly under ANSI mode. Columns whose physical type is outside the declared
+vocabulary (timestamp, date, binary, nested) pass through untouched where all datasets of the feature agree on it, and the
+null fill elsewhere uses the same physical type. Where they do not agree, a declared String is text in all of them.
 """
 
 from __future__ import annotations
@@ -45,20 +45,14 @@ def _positional(df: DataFrame, columns: list[str] | None = None) -> tuple[DataFr
 
 
 def feature_types(hmap: HarmonizationMap, datasets: Mapping[str, DataFrame]) -> dict[str, T.DataType]:
-    """Output type per feature: declared, unless a mapped column has a non-basic physical type."""
+    """Output type per feature: declared, unless all mapped columns share one physical type outside the vocabulary."""
     schemas = {name: {f.name: f.dataType for f in df.schema.fields} for name, df in datasets.items()}
     out: dict[str, T.DataType] = {}
     for f in hmap.features:
-        t = declared_type(f.data_type)
-        for name, fields in schemas.items():
-            found = find_column(list(fields), f.candidates(name))
-            if found is None:
-                continue
-            phys = fields[found]
-            if not is_basic_type(phys):
-                t = phys
-                break
-        out[f.canonical_name] = t
+        found = [(fields, find_column(list(fields), f.candidates(name))) for name, fields in schemas.items()]
+        physical = [fields[c] for fields, c in found if c is not None]
+        agree = physical and not is_basic_type(physical[0]) and all(p == physical[0] for p in physical)
+        out[f.canonical_name] = physical[0] if agree else declared_type(f.data_type)
     return out
 
 
@@ -121,7 +115,12 @@ def standardize_exprs(
         out = quote(f.canonical_name)
         if found is not None:
             src = quote((rename or {}).get(found, found))
-            e = cast_sql(src, columns[found], target) if cast else src
+            if not cast or is_basic_type(columns[found]) or types is None or columns[found] == target:
+                e = cast_sql(src, columns[found], target) if cast else src
+            elif isinstance(target, T.StringType):
+                e = f"CAST({src} AS STRING)"  # a date here, text in another dataset: both are text
+            else:
+                e = f"CAST(NULL AS {target.simpleString()})"
             exprs.append(f"{e} AS {out}")
         else:
             exprs.append(f"CAST(NULL AS {target.simpleString()}) AS {out}")

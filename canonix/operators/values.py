@@ -7,6 +7,7 @@ of all rows costs one row per map task.
 
 from __future__ import annotations
 
+import re
 import warnings
 from collections.abc import Mapping, Sequence
 from functools import reduce
@@ -67,7 +68,7 @@ def unique_values_df(df: DataFrame, feature: str) -> DataFrame:
     """Distinct values of one column of a DataFrame, native type, null included (A5)."""
     if feature not in df.columns:
         warnings.warn(f"column {feature!r} not in the DataFrame", stacklevel=2)
-        return df.select(F.col(quote(df.columns[0])).alias(feature)).limit(0) if df.columns else df
+        return _empty(df.sparkSession, feature)
     return df.select(F.col(quote(feature))).distinct()
 
 
@@ -103,24 +104,36 @@ def consolidate_values(frames: Sequence[DataFrame], column: str, prior: DataFram
     return out.where(F.col(quote(column)).isNotNull()).distinct().orderBy(F.col(quote(column)))
 
 
-def _versions(spark: SparkSession, output_path: str) -> list[tuple[int, str]]:
-    """Complete versions under an output folder: ``[(n, path)]`` for ``v-<n>`` with a ``_SUCCESS`` marker."""
+def complete_folders(spark: SparkSession, path: str) -> list[str]:
+    """Folders directly under ``path`` that a finished write has marked with ``_SUCCESS``."""
     from canonix.session import hadoop_exists, hadoop_list
 
-    out = []
-    for path, is_file in hadoop_list(spark, output_path):
-        name = path.rstrip("/").rsplit("/", 1)[-1]
-        if not is_file and name.startswith("v-") and name[2:].isdigit() and hadoop_exists(spark, path + "/_SUCCESS"):
-            out.append((int(name[2:]), path))
-    return sorted(out)
+    return sorted(p for p, is_file in hadoop_list(spark, path) if not is_file and hadoop_exists(spark, p + "/_SUCCESS"))
+
+
+def _versions(spark: SparkSession, output_path: str) -> tuple[int, list[str]]:
+    """(number, folders) of the latest complete version: its base ``v-<n>`` and the deltas ``v-<n>-d-<k>`` written after it."""
+    found: dict[int, dict[int, str]] = {}
+    for path in complete_folders(spark, output_path):
+        m = re.fullmatch(r"v-(\d+)(?:-d-(\d+))?", path.rstrip("/").rsplit("/", 1)[-1])
+        if m:
+            found.setdefault(int(m[1]), {})[int(m[2] or 0)] = path
+    whole = [n for n, parts in found.items() if 0 in parts]
+    return (max(whole), [p for _, p in sorted(found[max(whole)].items())]) if whole else (0, [])
+
+
+def _read_versions(spark: SparkSession, paths: Sequence[str], column: str | None = None) -> DataFrame:
+    """The values of a base and its deltas, as they were written (a delta holds none that the others have)."""
+    from canonix.sources.tables import read_csv
+
+    parts = [read_csv(spark, p, infer=False) for p in paths]
+    return reduce(lambda a, b: a.union(b), [p if column is None else p.select(F.col(quote(column))) for p in parts])
 
 
 def read_consolidated_csv(spark: SparkSession, output_path: str) -> DataFrame | None:
     """The latest complete version of a consolidated output, or ``None``."""
-    versions = _versions(spark, output_path)
-    if not versions:
-        return None
-    return spark.read.option("header", True).csv(versions[-1][1])
+    paths = _versions(spark, output_path)[1]
+    return _read_versions(spark, paths) if paths else None
 
 
 def distinct_consolidate(
@@ -129,19 +142,23 @@ def distinct_consolidate(
     column: str,
     output_path: str,
     reader=None,
+    merge_every: int = 8,
 ) -> tuple[DataFrame, list[str]]:
     """Incremental distinct consolidation to a versioned CSV folder.
 
-    Reads the latest complete version under ``output_path`` when present,
-    unions the column of every readable input that has it, and writes the
-    sorted distinct values as the next version ``v-<n+1>``. Nothing is
-    renamed or deleted: a version counts once its ``_SUCCESS`` marker exists,
+    The first run writes the sorted distinct values of the column of every readable input that has it as
+    the base ``v-1``. A later run writes only the values that the base and its deltas do not hold (an anti join) as
+    the next delta, and nothing when there are none; in place of delta number ``merge_every`` a new base with all values is
+    written. Values are text and stay as they are: quotes, line breaks, leading zeros. Nothing is
+    renamed or deleted: a folder counts once its ``_SUCCESS`` marker exists,
     so a run that dies midway leaves the previous result in place.
-    Returns the new version's values and the list of skipped inputs.
+    Returns all values, sorted, and the list of skipped inputs.
     """
+    from canonix.operators.merge import _copied
+    from canonix.sources.sinks import write_csv
     from canonix.sources.tables import read_dataset
 
-    reader = reader or (lambda p: read_dataset(spark, p))
+    reader = reader or (lambda p: read_dataset(spark, p, infer=False))
     frames, skipped = [], []
     for p in input_paths:
         try:
@@ -152,14 +169,23 @@ def distinct_consolidate(
             skipped.append(p)
             continue
         frames.append(df)
-    versions = _versions(spark, output_path)
-    prior = None
-    if versions:
-        prev = spark.read.option("header", True).csv(versions[-1][1])
-        if column in prev.columns:
-            prior = prev
-    result = consolidate_values(frames, column, prior)
-    target = f"{output_path.rstrip('/')}/v-{(versions[-1][0] + 1) if versions else 1}"
-    # Range-partitioned by the sort: part files are in value order, no single task.
-    result.write.mode("errorifexists").option("header", True).csv(target)
-    return spark.read.option("header", True).csv(target), skipped
+    number, paths = _versions(spark, output_path)
+    found = consolidate_values(frames, column)
+    root = output_path.rstrip("/")
+    if not paths:
+        write_csv(found, f"{root}/v-1")
+        return _sorted(_read_versions(spark, [f"{root}/v-1"]), column), skipped
+    prior = _read_versions(spark, paths, column)
+    new = _copied(found.join(prior, column, "left_anti"), "new-values")
+    if not new.isEmpty():
+        if len(paths) < merge_every:
+            paths.append(f"{root}/v-{number}-d-{len(paths)}")
+            write_csv(_sorted(new, column), paths[-1])
+        else:
+            paths = [f"{root}/v-{number + 1}"]
+            write_csv(_sorted(prior.union(new), column), paths[0])  # range-partitioned: no single task
+    return _sorted(_read_versions(spark, paths, column), column), skipped
+
+
+def _sorted(values: DataFrame, column: str) -> DataFrame:
+    return values.orderBy(F.col(quote(column)))

@@ -20,8 +20,9 @@ def write_text(values: DataFrame, path: str, mode: str = "errorifexists") -> Non
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """A table as CSV with a header row (K2); a quote inside a cell is doubled, as standard readers expect."""
-    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    """A table as CSV with a header row (K2); a quote inside a cell is doubled, as standard readers expect, and blanks around it stay."""
+    df.write.mode(mode).option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option(
+        "ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def preview(df: DataFrame, n: int = 5, order_by: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:

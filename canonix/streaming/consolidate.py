@@ -1,11 +1,11 @@
 """Streaming distinct consolidation (T1, re-aimed from a re-run-by-hand script).
 
-New CSV files dropped into a folder are picked up incrementally; the distinct
-values of one column accumulate in the streaming state (``dropDuplicates``)
-and only new values are appended to the sink. ``availableNow`` processes what
-is there and stops, so the job can run on a schedule; the checkpoint (in the
-shared checkpoint folder) makes reruns resume, and a lost executor only
-replays its micro-batch.
+The stream tells which files of a folder are new; each micro-batch reads its files as tables,
+binding columns by name, and appends the distinct values of one column that the
+stored result does not hold yet (a stream-static anti join in ``foreachBatch``). The result is thus its own state: a
+new checkpoint, or a result written by another job, starts from what is stored. A batch writes one folder, named
+by query and batch, and counts once its ``_SUCCESS`` marker exists; a batch that is run again after a failure
+replaces its own folder. ``availableNow`` processes what is there and stops, so the job can run on a schedule.
 """
 
 from __future__ import annotations
@@ -15,6 +15,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from canonix.model import quote
+from canonix.operators.values import complete_folders
+
+_FILES = "path string, modificationTime timestamp, length bigint, content binary"
+
+
+def _read(spark: SparkSession, files: list[str], file_format: str, schema: T.StructType | None) -> DataFrame:
+    if file_format == "csv":
+        from canonix.sources.tables import read_csv
+
+        return read_csv(spark, files, schema, infer=False)
+    reader = spark.read.format(file_format)
+    return (reader.schema(schema) if schema else reader).load(files)
 
 
 def consolidate_stream(
@@ -25,21 +37,33 @@ def consolidate_stream(
     checkpoint_path: str,
     schema: T.StructType | None = None,
     file_format: str = "csv",
+    files_per_batch: int = 1000,
 ) -> None:
-    """Run one ``availableNow`` pass: new distinct non-null values of ``column`` to Parquet."""
-    reader = spark.readStream.format(file_format)
-    if file_format == "csv":
-        reader = reader.option("header", True)
-    if schema is None:
-        schema = T.StructType([T.StructField(column, T.StringType())])
-    stream = reader.schema(schema).load(input_folder)
-    vals = stream.select(F.col(quote(column)).cast("string").alias(column)).where(F.col(quote(column)).isNotNull())
+    """Run one ``availableNow`` pass: new distinct non-null values of ``column`` to Parquet.
+
+    Files without the column add nothing. A ``schema`` is bound by name for CSV.
+    """
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        files = sorted(r[0] for r in batch.select("path").collect())  # names, ``files_per_batch`` at most
+        if not files:
+            return
+        table = _read(session, files, file_format, schema)
+        if column not in table.columns:
+            return
+        name = f"q-{session.sparkContext.getLocalProperty('sql.streaming.queryId')}-{batch_id}"
+        values = table.select(F.col(quote(column)).cast("string").alias("value")).where("value IS NOT NULL").distinct()
+        stored = [p for p in complete_folders(session, output_path) if p.rstrip("/").rsplit("/", 1)[-1] != name]
+        if stored:
+            values = values.join(session.read.schema("value string").parquet(*stored), "value", "left_anti")
+        values.write.mode("overwrite").parquet(f"{output_path.rstrip('/')}/{name}")
+
     q = (
-        vals.dropDuplicates([column])
-        .writeStream.format("parquet")
-        .option("path", output_path)
+        spark.readStream.format("binaryFile").schema(_FILES).option("maxFilesPerTrigger", files_per_batch).load(input_folder)
+        .select("path")  # contents are not read here
+        .writeStream.foreachBatch(append)
         .option("checkpointLocation", checkpoint_path)
-        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )
@@ -48,4 +72,6 @@ def consolidate_stream(
 
 def read_consolidated(spark: SparkSession, output_path: str, column: str) -> DataFrame:
     """The consolidated values so far, sorted."""
-    return spark.read.parquet(output_path).select(column).orderBy(column)
+    stored = complete_folders(spark, output_path)
+    values = spark.read.schema("value string").parquet(*stored) if stored else spark.createDataFrame([], "value string")
+    return values.select(F.col("value").alias(column)).orderBy(F.col(quote(column)))
