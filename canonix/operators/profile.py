@@ -2,20 +2,21 @@
 
 All statistics of one dataset come from one pass: row count and per-column
 null counts are a single ``agg`` (partial aggregation per task, one row per
-task shuffled). Per-column unique samples are bounded top-n per column: the
-``row_number() <= n`` filter over a window is planned with a per-task group
-limit before the shuffle, so no column's values ever meet in one task.
+task shuffled). Unique samples over whole columns take a few rounds of such an
+aggregate, so no column's values ever meet in one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from canonix.model import quote
+from canonix.session import ensure_checkpoint_dir
 
 
 def _null_test(field: T.StructField) -> Column:
@@ -145,24 +146,56 @@ def _orderable(dt: T.DataType) -> bool:
     return True
 
 
+def _by_rounds(dt: T.DataType) -> bool:
+    """Types whose text gives the value back, so that a value found can be compared with in the next round."""
+    return isinstance(dt, T.AtomicType) and not isinstance(dt, T.BinaryType)
+
+
 def unique_sample_full(df: DataFrame, n: int = 5, dataset: str | None = None) -> DataFrame:
     """The ``n`` smallest distinct values of each column over the whole table (A3 full).
 
-    All columns go through one plan: each cell becomes ``(position, key,
+    ``n`` rounds of one aggregate: the least value above the last one, for all columns at once. A round shuffles one
+    row a task, whatever the number of distinct values, and brings one row to the driver; there are fewer
+    rounds when no column has that many values. Nested and binary columns go another way (``_nested_sample``).
+    """
+    fields = df.schema.fields
+    simple = [(i, f) for i, f in enumerate(fields) if _by_rounds(f.dataType)]
+    found: dict[int, list[str]] = {i: [] for i, _ in simple}
+    live = simple
+    for _ in range(n):
+        aggs = []
+        for i, f in live:
+            c = F.col(quote(f.name))
+            if found[i]:
+                c = F.when(c > F.lit(found[i][-1]).cast(f.dataType), c)
+            aggs.append(F.min(c).cast("string").alias(f"c{i}"))
+        row = df.agg(*aggs).first() if live else None
+        live = [(i, f) for i, f in live if row[f"c{i}"] is not None]
+        for i, _ in live:
+            found[i].append(row[f"c{i}"])
+        if not live:
+            break
+    schema = "dataset string, position int, column_name string, values array<string>"
+    out = df.sparkSession.createDataFrame([(dataset, i, f.name, found[i]) for i, f in simple if found[i]], schema)
+    nested = [(i, f) for i, f in enumerate(fields) if not _by_rounds(f.dataType)]
+    return out.union(_nested_sample(df, nested, n, dataset)) if nested else out
+
+
+def _nested_sample(df: DataFrame, fields: Sequence[tuple[int, T.StructField]], n: int, dataset: str | None) -> DataFrame:
+    """:func:`unique_sample_full` of these columns through one plan: each cell becomes ``(position, key,
     text)``, where ``key`` is a struct with one slot per column type so every
     column keeps its native order. The distinct is a partial aggregate per
     task; ``row_number() <= n`` per column is planned with a per-task group
     limit before its shuffle, so at most n rows per column and task move.
     Columns of an unorderable type (maps) are ordered by their text.
     """
-    fields = df.schema.fields
     slots: dict[str, T.DataType] = {}
-    for f in fields:
+    for _, f in fields:
         dt = f.dataType if _orderable(f.dataType) else T.StringType()
         slots.setdefault(dt.simpleString(), dt)
     names = list(slots)
     entries = []
-    for i, f in enumerate(fields):
+    for i, f in fields:
         c = F.col(quote(f.name))
         dt = f.dataType if _orderable(f.dataType) else T.StringType()
         own = dt.simpleString()
@@ -177,7 +210,7 @@ def unique_sample_full(df: DataFrame, n: int = 5, dataset: str | None = None) ->
     top = cells.distinct().withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= n)
     by_col = top.groupBy("position").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("__rn", "value"))), lambda x: x["value"]).alias("values"))
-    names_df = df.sparkSession.createDataFrame([(i, f.name) for i, f in enumerate(fields)],
+    names_df = df.sparkSession.createDataFrame([(i, f.name) for i, f in fields],
                                                "position int, column_name string")
     return by_col.join(F.broadcast(names_df), "position").select(
         F.lit(dataset).cast("string").alias("dataset"), "position", "column_name", "values")
@@ -212,38 +245,37 @@ def dataset_profile(datasets: Mapping[str, DataFrame], sample_rows: int = 5,
     sample); ``samples=False`` skips the head samples (e.g. for the report,
     which only needs types, null counts and shapes).
     """
+    spark = next(iter(datasets.values())).sparkSession
+    ensure_checkpoint_dir(spark)
+    # The one whole scan of each dataset; what it finds is written, as both profiles read it.
+    counts = reduce(DataFrame.union, [null_counts(df, name) for name, df in datasets.items()]).checkpoint()
     col_parts, ds_parts = [], []
     for name, df in datasets.items():
         ob = (order_by or {}).get(name)
         fields = df.schema.fields
-        types = df.sparkSession.createDataFrame(
+        types = spark.createDataFrame(
             [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(fields)],
             "position int, column_name string, data_type string",
         )
-        nc = null_counts(df, name)
+        nc = counts.filter(F.col("dataset") == name)
         cp = nc.join(F.broadcast(types), ["position", "column_name"])
+        sh = nc.groupBy("dataset").agg(F.max("rows").alias("rows")).withColumn("cols", F.lit(len(fields))) if fields else shape(df, name)
         if samples:
             sample = (heads or {}).get(name)
             if sample is None:
                 sample = head_positioned(df, sample_rows, ob)
                 if ob or _with_file_order(df) is None:  # n rows, kept so that both samples share their scan
-                    sample = df.sparkSession.createDataFrame(sample.collect(), sample.schema)
+                    sample = spark.createDataFrame(sample.collect(), sample.schema)
             us = unique_sample_head(df, sample_rows, ob, name, sample).select(
                 "position", F.col("values").alias("unique_sample"))
             cp = cp.join(us, "position", "left")
-        else:
-            cp = cp.withColumn("unique_sample", F.lit(None).cast("array<string>"))
-        col_parts.append(cp.select("dataset", "position", "column_name", "data_type", "null_count",
-                                   "unique_sample"))
-        if fields:
-            sh = nc.groupBy("dataset").agg(F.max("rows").alias("rows")).withColumn("cols", F.lit(len(fields)))
-        else:
-            sh = shape(df, name)
-        if samples:
             sj = sample_json_records(df, sample_rows, ob, sample).withColumn("dataset", F.lit(name))
             sh = sh.join(sj, "dataset", "left").withColumnRenamed("records", "sample_json")
         else:
+            cp = cp.withColumn("unique_sample", F.lit(None).cast("array<string>"))
             sh = sh.withColumn("sample_json", F.lit(None).cast("string"))
+        col_parts.append(cp.select("dataset", "position", "column_name", "data_type", "null_count",
+                                   "unique_sample"))
         ds_parts.append(sh.select("dataset", "rows", "cols", "sample_json"))
     col_profile = col_parts[0]
     for p in col_parts[1:]:

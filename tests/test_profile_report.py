@@ -61,3 +61,25 @@ def test_head_without_order_is_file_order(spark):
     # no file position (local data): ordered by every column
     df = spark.createDataFrame([(2, "b"), (1, "z"), (1, "a")], "i int, s string")
     assert [tuple(r) for r in pf.head(df, 2).collect()] == [(1, "a"), (1, "z")]
+
+
+def test_full_sample_of_every_kind_of_column(spark):
+    import datetime as dt
+    from decimal import Decimal
+
+    rows = [(i % 7, float(i % 3) if i % 5 else float("nan"), f"s{i % 11:02d}", dt.date(2024, 1, 1 + i % 4), dt.datetime(2024, 1, 1, i % 3),
+             Decimal(i % 2) / 4, i % 2 == 0, [i % 3], bytes([i % 2]), None) for i in range(60)]
+    df = spark.createDataFrame(rows, "a int, b double, c string, d date, e timestamp_ntz, f decimal(9,2), g boolean, h array<int>, i binary, j int")
+    got = {r["column_name"]: (r["position"], r["values"]) for r in pf.unique_sample_full(df, 3, "x").collect()}
+    assert got["a"] == (0, ["0", "1", "2"]) and got["b"] == (1, ["0.0", "1.0", "2.0"]) and got["c"] == (2, ["s00", "s01", "s02"])
+    assert got["d"][1] == ["2024-01-01", "2024-01-02", "2024-01-03"] and got["e"][1] == [f"2024-01-01 0{h}:00:00" for h in range(3)]
+    assert got["f"][1] == ["0.00", "0.25"] and got["g"][1] == ["false", "true"] and got["h"][1] == ["[0]", "[1]", "[2]"]
+    assert got["i"][0] == 8 and len(got["i"][1]) == 2 and "j" not in got
+    assert pf.unique_sample_full(df.limit(0), 3).count() == 0
+
+
+def test_profile_scans_each_dataset_once(spark):
+    ds = {f"{t}.parquet": spark.read.parquet(f"{SF}/{t}.parquet") for t in ("region", "nation")}
+    cols, dsp = pf.dataset_profile(ds, samples=False)
+    for frame in (cols, dsp):  # what was found is read again, not the tables
+        assert "FileScan" not in frame._jdf.queryExecution().executedPlan().toString()
