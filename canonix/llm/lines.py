@@ -14,7 +14,8 @@ Equal lines are one line from the start. Within a band's bucket each line first
 three neighbours in the order of another band. Lines that are joined by then need no more comparison; a
 bucket that still holds several classes is compared whole, in pairs of blocks of lines, so no candidate
 is left out. Defined results: the corpus is in table order (files by path, rows within);
-null text stays null; a text all of whose lines go is empty; repeated rows keep their lines only once.
+null text stays null; a text all of whose lines go is empty; repeated rows keep their lines only once; texts are read
+whole, whatever their number of lines; columns of the result's names (``__n_lines``, ``__n_gone``) give way to it.
 """
 
 from __future__ import annotations
@@ -34,8 +35,8 @@ NEIGHBOURS = 3
 BLOCK = 128
 #: Ids of candidates and lists of dropped lines are broadcast up to this size, and joined by shuffle beyond.
 BROADCAST_BYTES = 64 << 20
-#: A line's place: row number, then line number, which 24 bits hold.
-_PLACE_BITS = 24
+_RESULT = ("__n_lines", "__n_gone")
+_INNER = ("__row", "__at", "__gone", "__path", "__index", "__file", "__before", *_RESULT)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -44,8 +45,22 @@ def _lines(docs: DataFrame) -> DataFrame:
     return each.filter(F.col("line").rlike(r"[^ \t\r\x0b\x0c]"))
 
 
-def _place() -> Column:
-    return F.shiftleft(F.col("row").cast("long"), _PLACE_BITS).bitwiseOR(F.col("pos").cast("long"))
+def place_bits(rows: int, longest: int, lines) -> int:
+    """Bits that hold any line number of texts of ``longest`` bytes at most, beside those of ``rows`` row numbers.
+
+    ``lines`` tells the most lines of a text, where their bytes alone leave too little room.
+    """
+    bits = max(1, longest.bit_length())
+    if bits + rows.bit_length() > 63:
+        bits = max(1, lines().bit_length())
+    if bits + rows.bit_length() > 63:
+        raise ValueError(f"{rows} rows with texts of up to {1 << bits} lines are more places than 63 bits hold")
+    return bits
+
+
+def _place(bits: int) -> Column:
+    """A line's place in the corpus: row number, then line number."""
+    return F.shiftleft(F.col("row").cast("long"), bits).bitwiseOR(F.col("pos").cast("long"))
 
 
 def _line_id() -> list[Column]:
@@ -105,10 +120,12 @@ def _rest(members: DataFrame, roots: DataFrame, lines: DataFrame, threshold: flo
     return work.select("key", "i", "j", "block", "node", "root", "line").mapInArrow(similar_in_blocks(threshold), "a long, b long")
 
 
-def dropped_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(row, gone): numbers of the lines that go, of numbered ``docs`` (``__row``)."""
+def dropped_lines(docs: DataFrame, rows: int, threshold: float = THRESHOLD) -> DataFrame:
+    """(row, gone): numbers of the lines that go, of numbered ``docs`` (``__row``), ``rows`` in all."""
     each = _lines(docs)
-    texts = each.select("line", _place().alias("place")).groupBy("line").agg(F.min("place").alias("node"), F.count("*").alias("n"))
+    longest = docs.agg(F.max(F.octet_length("text"))).first()[0] or 0
+    bits = place_bits(rows, longest, lambda: docs.agg(F.max(F.size(F.split("text", "\n")))).first()[0])
+    texts = each.select("line", _place(bits).alias("place")).groupBy("line").agg(F.min("place").alias("node"), F.count("*").alias("n"))
     texts = texts.select("node", "n", "line", band_keys()("line").alias("keys"))
     out = scratch_path(docs.sparkSession, "lines")
     texts.write.option("compression", "zstd").parquet(out)
@@ -116,14 +133,19 @@ def dropped_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     roots = _small(_written(similar_classes(texts, threshold), "line-roots"), 16)
     kept = texts.join(roots, "node", "left").select(*_line_id(), "n", "node", F.coalesce("root", "node").alias("root"))
     kept = kept.filter("n > 1 OR root != node").select("h1", "h2", "root")
-    found = each.select("row", "pos", *_line_id(), _place().alias("place")).join(kept, ["h1", "h2"]).filter("place != root")
+    found = each.select("row", "pos", *_line_id(), _place(bits).alias("place")).join(kept, ["h1", "h2"]).filter("place != root")
     return found.groupBy("row").agg(F.sort_array(F.collect_list("pos")).alias("gone"))
 
 
 def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with texts without repeated lines, and ``__n_lines`` and ``__n_gone``."""
-    rows, _ = numbered(docs, "__row")
-    gone = _written(dropped_lines(rows, threshold), "dropped-lines")
+    own = [c for c in docs.columns if c in _INNER]
+    if own:  # documents' columns of our names go by others meanwhile
+        named = {c: f"__own{i}" for i, c in enumerate(own)}
+        out = dedup_lines(docs.withColumnsRenamed(named), threshold)
+        return out.select(*[F.col(named.get(c, f"`{c}`")).alias(c) for c in docs.columns if c not in _RESULT], *_RESULT)
+    rows, n = numbered(docs, "__row")
+    gone = _written(dropped_lines(rows, n, threshold), "dropped-lines")
     size = gone.agg(F.sum(F.size("gone") * 4 + 32)).first()[0] or 0
     gone = F.broadcast(gone) if size <= BROADCAST_BYTES // 4 else gone
     gone = gone.withColumnsRenamed({"row": "__at", "gone": "__gone"})  # names that documents do not have
