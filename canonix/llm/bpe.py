@@ -291,7 +291,7 @@ def encode_documents(docs: DataFrame, digest: str | None = None, path: str | Non
                      text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns and the encoding of every whole text.
 
-    ``digest`` None: ``ids`` (packed binary) and ``n_tokens``; "sha256": ``n_tokens``, ``ids_sha256`` and
+    Columns of the result's names give way to it. ``digest`` None: ``ids`` (packed binary) and ``n_tokens``; "sha256": ``n_tokens``, ``ids_sha256`` and
     ``decoded_sha256``, the last from decoding the ids. One pass without a shuffle. The broadcast is the
     vocabulary, whose size does not depend on the data.
     """
@@ -315,11 +315,13 @@ def encode_documents(docs: DataFrame, digest: str | None = None, path: str | Non
                 new += [pa.array(two, pa.string())] if digest else []
                 yield pa.RecordBatch.from_arrays(kept + new, names=names)
 
-    source = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("__text"))
     out = [T.StructField("n_tokens", T.LongType())]
     out += ([T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())] if digest
             else [T.StructField("ids", T.BinaryType())])
-    schema = T.StructType([f for f in source.schema.fields[:-1] if f.name not in {x.name for x in out}] + out)
+    kept = [c for c in keep if c not in {x.name for x in out}]
+    # The text goes last, by position, whatever the others are called.
+    source = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`"))
+    schema = T.StructType([*source.schema.fields[:-1], *out])
     names = schema.names
     return source.mapInArrow(work, schema)
 
