@@ -77,8 +77,8 @@ def _ids(col: pa.Array) -> np.ndarray:
     return col.fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
 
 
-def gram_counts(docs: DataFrame, known: np.ndarray, target: np.ndarray, bits: int = BITS) -> DataFrame:
-    """(place, raw, target): n-grams of all documents by place of the two models, summed."""
+def gram_counts(docs: DataFrame, known: np.ndarray, target: np.ndarray, bits: int = BITS) -> pa.Table:
+    """(place, raw, target): n-grams of all documents by place of the two models, summed. Their size is fixed by ``bits``."""
     shared = docs.sparkSession.sparkContext.broadcast((known, target))
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,12 +97,13 @@ def gram_counts(docs: DataFrame, known: np.ndarray, target: np.ndarray, bits: in
                                              names=["place", "raw", "target"])
 
     rows = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(work, "place long, raw long, target long")
-    return rows.groupBy("place").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
+    out = rows.groupBy("place").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toArrow()
+    shared.destroy()
+    return out
 
 
-def log_ratios(counts: DataFrame, bits: int = BITS) -> np.ndarray:
+def log_ratios(got: pa.Table, bits: int = BITS) -> np.ndarray:
     """Log ratio of each place of both models. Their size is fixed by ``bits``, so the driver may hold them."""
-    got = counts.toArrow()
     out = np.zeros((2, 1 << bits), np.float32)
     place, raws, goods = (got[c].to_numpy() for c in ("place", "raw", "target"))
     for model in (0, 1):
@@ -209,7 +210,7 @@ class Quality:
 
 
 def ratio_rows(docs: DataFrame, ratios: np.ndarray, seed: int) -> DataFrame:
-    """One row for each document: id, ratios and noise."""
+    """One row for each document: id, ratios and noise, written to the shared folder."""
     shared = docs.sparkSession.sparkContext.broadcast(ratios)
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,7 +220,10 @@ def ratio_rows(docs: DataFrame, ratios: np.ndarray, seed: int) -> DataFrame:
                    pa.array(_noise(_ids(b.column(0)), b.column(1), seed))]
             yield pa.RecordBatch.from_arrays([b.column(0), *new], names=["doc_id", "x", "noise"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(work, "doc_id long, x array<double>, noise double")
+    out = scratch_path(docs.sparkSession, "quality-ratios")
+    docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(work, "doc_id long, x array<double>, noise double").write.parquet(out)
+    shared.destroy()
+    return docs.sparkSession.read.parquet(out)
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, seed: int = 11, bits: int = BITS, bound: int = LABELLED) -> tuple[Quality, DataFrame]:
@@ -228,9 +232,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, seed: int = 11, bits: int =
     known, target = labelled_rows(labels, bound)
     held = W.mixed(known.astype(np.uint64)) % np.uint64(FIT_SHARE) == 0
     ratios = log_ratios(gram_counts(docs, known[~held], target[~held], bits), bits)
-    out = scratch_path(spark, "quality-ratios")
-    ratio_rows(docs, ratios, seed).write.parquet(out)
-    rows = spark.read.parquet(out)
+    pa.default_memory_pool().release_unused()  # the counts are no longer held here
+    rows = ratio_rows(docs, ratios, seed)
     told = spark.createDataFrame(list(zip(known[held].tolist(), target[held].tolist(), strict=True)), "doc_id long, target boolean")
     seen = rows.join(F.broadcast(told), "doc_id").groupBy("doc_id", "target").agg(F.min("x").alias("x")).toArrow()
     y = np.array(seen["target"].to_pylist(), bool)
