@@ -36,7 +36,7 @@ _HEAD = 4
 
 
 def item_windows(ids: list, col: pa.Array, window: int = WINDOW) -> dict:
-    """The items' words, and their windows by length: fingerprints, item number and place of each."""
+    """The items' words (one fingerprint each), and their windows by length: item number and place of each."""
     data, off = W.text_bytes(col)
     data = W.lowered(data)
     ws, we, first = W.word_spans(data, off, W.alphanumeric())
@@ -47,19 +47,19 @@ def item_windows(ids: list, col: pa.Array, window: int = WINDOW) -> dict:
         at = W.inside_rows(first, n)
         of = W.row_of(first, at)
         at = at[np.minimum(size, window)[of] == n]
-        out.append({"n": n, "words": h[at[:, None] + np.arange(n)], "item": W.row_of(first, at), "at": at})
+        out.append({"n": n, "item": W.row_of(first, at).astype(np.int32), "at": at})
     return {"ids": ids, "hashes": h, "first": first, "windows": out}
 
 
-def search(h: np.ndarray, first: np.ndarray, windows: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(position, length in words, window number) of every occurrence of a window in the shard."""
-    n, words = windows["n"], windows["words"]
+def search(h: np.ndarray, first: np.ndarray, windows: dict, items: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(position, length in words, window number) of every occurrence of a window in the shard; ``items``: the items' words."""
+    n, test = windows["n"], windows["at"]
     head = min(n, _HEAD)
     ok = W.inside_rows(first, n)
-    if not len(ok) or not len(words):
+    if not len(ok) or not len(test):
         return (np.zeros(0, np.int64),) * 3
     # Suffixes whose first words begin some test suffix.
-    begins = np.unique(_head(words, head))
+    begins = np.unique(W.gram_hashes(items, head)[test])
     mine = W.gram_hashes(h, head)[ok]
     table = np.zeros(1 << 20, bool)
     table[begins >> np.uint64(44)] = True
@@ -72,10 +72,10 @@ def search(h: np.ndarray, first: np.ndarray, windows: dict) -> tuple[np.ndarray,
     if not len(at):
         return (np.zeros(0, np.int64),) * 3
     # Word by word, binary search narrows each test suffix's run in the array.
-    low, high = np.zeros(len(words), np.int64), np.full(len(words), len(at))
+    low, high = np.zeros(len(test), np.int64), np.full(len(test), len(at))
     for j in range(n):
         column = h[at + j]
-        low, high = _narrow(column, low, high, words[:, j])
+        low, high = _narrow(column, low, high, items[test + j])
     runs = np.flatnonzero(high > low)
     count = (high - low)[runs]
     which = np.repeat(runs, count)
@@ -83,13 +83,6 @@ def search(h: np.ndarray, first: np.ndarray, windows: dict) -> tuple[np.ndarray,
     return at[low[which] + inner], np.full(len(which), n), which
 
 
-def _head(words: np.ndarray, n: int) -> np.ndarray:
-    g = words[:, 0].copy()
-    for j in range(1, n):
-        g = W.mixed(g * W._MUL + words[:, j])
-    return g
-
-
 def _narrow(column: np.ndarray, low: np.ndarray, high: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The part of each ``low:high`` of ``column`` (sorted there) that equals ``value``: two binary searches for all at once."""
     ends = []
@@ -175,7 +168,7 @@ def _hits(col: pa.Array, items: dict) -> tuple[np.ndarray, list, list]:
     n = len(col)
     hits, matches = [[] for _ in range(n)], [[] for _ in range(n)]
     for windows in items["windows"]:
-        at, size, which = search(h, first, windows)
+        at, size, which = search(h, first, windows, items["hashes"])
         if not len(at):
             continue
         item, test = windows["item"][which], windows["at"][which]
