@@ -79,6 +79,7 @@ REGISTRY: dict[str, Callable[..., Any]] = {
     "unique_values_single": _unique_single,
 }
 
+# Public step names (fixed values).
 ALIASES = {
     "standardize_dataframe_columns": "standardize",
     "get_unique_values_for_canonical_feature": "unique_values_across",
