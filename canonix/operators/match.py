@@ -9,7 +9,7 @@ Here the same outcome (groups, canonical name, type) comes from a Spark job:
 2. **Name score**: token Jaccard or edit similarity between columns of different datasets. Candidates come
    from prefix-filtered joins: tokens and trigrams are put in a global order, rarest first, and a column
    is joined by as many of its first ones as any partner of that score must share, so ``id`` and ``name`` do
-   not bring all columns together. Names that differ in a qualifier only (``gdsc_auc``, ``ctrp_auc``) mean different things.
+   not bring all columns together. Names that differ in a qualifier only (``north_yield``, ``south_yield``) mean different things.
 3. **Value overlap** of text columns. A theta sketch a column (a bounded buffer, one pass a dataset) rules out pairs whose
    overlap is certainly too small; the columns of the others are compared exactly: every cell becomes
    ``(hash of the value, column bit)``; grouping by it ORs the bits into a mask of the columns holding it (combined per
@@ -65,7 +65,7 @@ def type_family(dt: T.DataType) -> str | None:
 def _common_prefix(names: list[str]) -> str:
     """The ``x_`` prefix shared by every column of a dataset (``c_`` in c_name, c_custkey).
 
-    One or two letters only: a longer one (``ctrp_``) is a qualifier, which tells measures apart.
+    One or two letters only: a longer one (``south_``) is a qualifier, which tells measures apart.
     """
     if len(names) < 2:
         return ""

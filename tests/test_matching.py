@@ -17,14 +17,14 @@ def _groups(datasets, **cfg):
 
 
 def test_qualifiers_stay_apart(spark):
-    ds = {"x.csv": spark.createDataFrame([(1.0, "p")], "AUC double, key string"),
-          "y.csv": spark.createDataFrame([(1.5, "q")], "GDSC_AUC double, key string"),
-          "z.csv": spark.createDataFrame([(2.5, 3.5)], "CTRP_AUC double, CTRP_IC50 double")}
+    ds = {"x.csv": spark.createDataFrame([(1.0, "p")], "YIELD double, key string"),
+          "y.csv": spark.createDataFrame([(1.5, "q")], "NORTH_YIELD double, key string"),
+          "z.csv": spark.createDataFrame([(2.5, 3.5)], "SOUTH_YIELD double, SOUTH_RAIN double")}
     groups = _groups(ds)
-    assert not any({("y.csv", "GDSC_AUC"), ("z.csv", "CTRP_AUC")} <= g for g in groups.values())
+    assert not any({("y.csv", "NORTH_YIELD"), ("z.csv", "SOUTH_YIELD")} <= g for g in groups.values())
     assert {("x.csv", "key"), ("y.csv", "key")} in groups.values()
     # the plain name goes with one of them, not with both
-    assert sum(("x.csv", "AUC") in g and len(g) == 2 for g in groups.values()) == 1
+    assert sum(("x.csv", "YIELD") in g and len(g) == 2 for g in groups.values()) == 1
 
 
 def test_one_partner_a_dataset_and_no_two_columns_of_one(spark):
@@ -68,7 +68,7 @@ def test_sketches_keep_every_contained_pair(spark):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_name_candidates_lose_no_pair(spark, seed):
     rnd = random.Random(seed)
-    words = ["id", "id", "name", "name", "name", "drug", "cell", "line", "ic50", "umol", "tissue", "cosmic", "auc", "area"]
+    words = ["id", "id", "name", "name", "name", "field", "plot", "line", "rain", "unit", "soil", "crop", "yield", "area"]
     tables = {f"t{i}.csv": list(dict.fromkeys("_".join(rnd.sample(words, rnd.randint(1, 4))) + rnd.choice(["", "", "x"]) for _ in range(9))) for i in range(5)}
     ds = {n: spark.createDataFrame([tuple(range(len(c)))], ", ".join(f"{x} int" for x in c)) for n, c in tables.items()}
     cat = mt.column_catalog(spark, ds)
