@@ -9,8 +9,9 @@ windows are judged on the input.
 
 A bucket is worked on in one task while its strings are few (``BUCKET_ROWS``); the strings of a larger
 one leave the task as single windows, whose smallest ids are found by a map-side combined aggregate and
-joined back, so that no task holds more. Defined results: null text has no words; a null id counts as
-larger than any other; rows with equal ids do not remove each other's words; repeated rows are alike.
+joined back, so that no task holds more. Defined results: null text has no words; a null id is neither
+smaller nor larger than another, so rows without id keep all words and remove none; rows with equal ids do
+not remove each other's words; repeated rows are alike.
 """
 
 from __future__ import annotations
@@ -36,10 +37,6 @@ CHUNK_BYTES = 8 << 20
 _LAST = np.iinfo(np.int64).max
 
 
-def _order(col: pa.Array) -> np.ndarray:
-    return col.fill_null(_LAST).to_numpy(zero_copy_only=False)
-
-
 def super_kmers(col: pa.Array, window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
     """(row, word in row, bucket, packed words) of the runs of windows that share a minimiser."""
     data, off = W.text_bytes(col)
@@ -110,7 +107,7 @@ def _packed(docs: DataFrame, window: int, groups: int) -> DataFrame:
             doc, row, word, bucket, packed = [], [], [], [], []
             for b in chunk:
                 r, w, k, strings = super_kmers(b.column(1), window)
-                doc.append(_order(b.column(0))[r])
+                doc.append(b.column(0).to_numpy()[r])
                 row.append(b.column(2).to_numpy()[r])
                 word.append(w)
                 bucket.append(k.view(np.uint64))
@@ -278,7 +275,7 @@ def repeated_stretches(docs: DataFrame, window: int = WINDOW, bucket_rows: int =
 def remove_repeats(docs: DataFrame, window: int = WINDOW, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """(doc_id, n_words, n_removed, kept): every document's kept words, one space apart."""
     docs, _ = numbered(docs.select(F.col("doc_id").cast("long"), "text"), "__row")
-    gone = repeated_stretches(docs, window, bucket_rows)
+    gone = repeated_stretches(docs.filter("doc_id IS NOT NULL"), window, bucket_rows)
     gone = gone.groupBy("row").agg(F.sort_array(F.collect_set(F.struct("word", "words"))).alias("gone"))
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
