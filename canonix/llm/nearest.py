@@ -10,9 +10,9 @@ Centroids are fitted to ``SAMPLE`` vectors at most, chosen by a hash of the id;
 Lists are cut into blocks of ``BLOCK`` vectors and queries into groups of ``BLOCK``, so a hot list or
 many equal vectors are shared by tasks; each task keeps ten rows for a query. Defined results: vectors
 that are null, of length zero or hold null or non-finite components, and rows without id, take no part;
-vectors are compared with those of the same dimension; rows with the same id as the query are not its
-candidates, and a repeated query id is one query (its first vector by value); if fewer than ten
-candidates exist all are returned; ties go to the smaller id.
+vectors are compared with those of the same dimension; every row but the query's own is its candidate, other rows of
+the same id too, and each row of a repeated query id is a query; if fewer than ten candidates exist all are
+returned; ties go to the smaller id. Distances whose squares are beyond a double are measured in units of their largest part.
 """
 
 from __future__ import annotations
@@ -80,20 +80,34 @@ def _from_blobs(col: pa.ChunkedArray, d: int) -> np.ndarray:
     return np.frombuffer(b"".join(col.to_pylist()), np.float64).reshape(-1, d)
 
 
-def scan(ids: np.ndarray, rotated: np.ndarray, exact: np.ndarray, query_id: int, rq: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, distances) of the nearest ``k`` found in one block, nearest first."""
+def distances(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Euclidean distances of the rows of ``x`` from ``q``, also where squares are too large or too small for a double."""
+    part = x - q
+    with np.errstate(over="ignore"):
+        far = np.sqrt((part * part).sum(axis=1))
+    off = np.flatnonzero(~np.isfinite(far) | (far < 1e-140))
+    if len(off):
+        part = np.abs(part[off])
+        unit = part.max(axis=1)
+        some = (unit > 0) & np.isfinite(unit)
+        part[some] /= unit[some, None]
+        far[off] = np.where(some, unit * np.sqrt((part * part).sum(axis=1)), unit)
+    return far
+
+
+def scan(ids: np.ndarray, other: np.ndarray, rotated: np.ndarray, exact: np.ndarray, rq: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, distances) of the nearest ``k`` found among the rows ``other`` of one block, nearest first."""
     d = rotated.shape[1]
-    other = np.flatnonzero(ids != query_id)
 
     def best(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        far = np.sqrt(((exact[rows] - q) ** 2).sum(axis=1))
+        far = distances(exact[rows], q)
         order = np.lexsort([ids[rows], far])[:k]
         return rows[order], far[order]
 
     first, rest = other[:4 * k], other[4 * k:]
     near, far = best(first)
     if len(near) == k and len(rest):
-        bound = far[-1] ** 2
+        bound = far[-1] * far[-1]
         sums, done = np.zeros(len(rest)), 0
         while done < d and len(rest):
             part = rotated[rest, done:done + COLUMNS] - rq[done:done + COLUMNS]
@@ -119,18 +133,16 @@ def _search_dimension(rows: DataFrame, d: int, divisor: int, k: int, lists: int
         for b in batches:
             x = _matrix(b.column(1), d)
             r = x @ turn
-            yield pa.RecordBatch.from_arrays([pa.array(_nearest(r, c)[:, 0]), b.column(0), _blobs(x)], names=["list", "vec_id", "x"])
+            yield pa.RecordBatch.from_arrays([pa.array(_nearest(r, c)[:, 0]), b.column(0), _blobs(x), b.column(2)], names=["list", "vec_id", "x", "row"])
 
     out = scratch_path(spark, "vector-index")
-    rows.mapInArrow(index, "list long, vec_id long, x binary").write.parquet(out)
+    rows.mapInArrow(index, "list long, vec_id long, x binary, row long").write.parquet(out)
     indexed = spark.read.parquet(out)
-    queries = indexed.filter(F.col("vec_id") % divisor == 0).groupBy("vec_id").agg(F.min("x").alias("x"))
+    queries = indexed.filter(F.col("vec_id") % divisor == 0).select("vec_id", "x", "row")
     # At most 1,024 lists, whatever the number of vectors.
     size = np.zeros(len(c), np.int64)
     for r in indexed.groupBy("list").count().collect():
         size[r["list"]] = r["count"]
-    # Rows with the query's own id are no candidates.
-    twins = indexed.filter(F.col("vec_id") % divisor == 0).groupBy("vec_id").count().agg(F.max("count")).first()[0] or 0
     probes = min(len(c), max(LEAST_PROBES, int(np.ceil(PROBE_SHARE * len(c)))))
 
     def probe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,13 +152,13 @@ def _search_dimension(rows: DataFrame, d: int, divisor: int, k: int, lists: int
             near = _nearest(q @ turn, c, len(c)) if len(c) > 1 else np.zeros((len(q), 1), np.int64)
             # The nearest lists, and more until they hold enough rows besides the query's own.
             held = np.cumsum(size[near], axis=1) - size[near]
-            use = (np.arange(near.shape[1]) < probes) | (held < k + twins)
+            use = (np.arange(near.shape[1]) < probes) | (held < k + 1)
             use &= size[near] > 0
             i, j = np.nonzero(use)
-            yield pa.RecordBatch.from_arrays([pa.array(near[i, j]), b.column(0).take(pa.array(i)), b.column(1).take(pa.array(i))],
-                                             names=["list", "query_id", "q"])
+            yield pa.RecordBatch.from_arrays([pa.array(near[i, j]), *(b.column(n).take(pa.array(i)) for n in range(3))],
+                                             names=["list", "query_id", "q", "query_row"])
 
-    probed = queries.mapInArrow(probe, "list long, query_id long, q binary")
+    probed = queries.mapInArrow(probe, "list long, query_id long, q binary, query_row long")
     out = scratch_path(spark, "vector-probes")
     probed.write.parquet(out)
     probed = spark.read.parquet(out)
@@ -157,45 +169,46 @@ def _search_dimension(rows: DataFrame, d: int, divisor: int, k: int, lists: int
     cut = spark.createDataFrame([(i, max(1, -(-int(s) // BLOCK)), max(1, -(-int(a) // BLOCK)))
                                  for i, (s, a) in enumerate(zip(size, asked, strict=True))], "list long, blocks long, groups int")
     left = indexed.join(F.broadcast(cut), "list").select(
-        "list", F.pmod(F.xxhash64("vec_id"), "blocks").alias("block"),
-        F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("grp"), "vec_id", "x")
+        "list", F.pmod(F.xxhash64("row"), "blocks").alias("block"),
+        F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("grp"), "vec_id", "x", "row")
     right = probed.join(F.broadcast(cut), "list").select(
         "list", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
-        F.pmod(F.xxhash64("query_id"), "groups").cast("int").alias("grp"), "query_id", "q")
+        F.pmod(F.xxhash64("query_row"), "groups").cast("int").alias("grp"), "query_id", "q", "query_row")
 
     def meet(vectors: pa.Table, asking: pa.Table) -> pa.Table:
         turn, _ = shared.value
-        found: list[list] = [[], [], []]
+        found: list[list] = [[], [], [], []]
         if vectors.num_rows and asking.num_rows:
-            ids = vectors["vec_id"].to_numpy()
+            ids, row = vectors["vec_id"].to_numpy(), vectors["row"].to_numpy()
             x, q = _from_blobs(vectors["x"], d), _from_blobs(asking["q"], d)
             r, rq = x @ turn, q @ turn
-            for i, query in enumerate(asking["query_id"].to_pylist()):
-                near, far = scan(ids, r, x, query, rq[i], q[i], k)
+            for i, (query, own) in enumerate(zip(asking["query_id"].to_pylist(), asking["query_row"].to_pylist(), strict=True)):
+                near, far = scan(ids, np.flatnonzero(row != own), r, x, rq[i], q[i], k)
                 found[0] += [query] * len(near)
                 found[1] += ids[near].tolist()
                 found[2] += far.tolist()
-        return pa.table([pa.array(found[0], pa.int64()), pa.array(found[1], pa.int64()), pa.array(found[2], pa.float64())],
-                        names=["query_id", "vec_id", "score"])
+                found[3] += [own] * len(near)
+        kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int64())
+        return pa.table([pa.array(c, t) for c, t in zip(found, kinds, strict=True)], names=["query_id", "vec_id", "score", "query_row"])
 
     keys = ["list", "block", "grp"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(meet, "query_id long, vec_id long, score double")
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(meet, "query_id long, vec_id long, score double, query_row long")
 
 
 def nearest_vectors(vectors: DataFrame, divisor: int = 100, k: int = 10, lists: int | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row whose id ``divisor`` divides its ``k`` nearest found."""
     spark = vectors.sparkSession
     out = scratch_path(spark, "vectors")
-    usable(vectors).withColumn("d", F.size("v")).write.parquet(out)
+    usable(vectors).withColumns({"d": F.size("v"), "row": F.monotonically_increasing_id()}).write.parquet(out)
     rows = spark.read.parquet(out)
     dims = sorted(r["d"] for r in rows.select("d").distinct().collect())
-    parts = [_search_dimension(rows.filter(F.col("d") == d).select("vec_id", "v"), d, divisor, k, lists) for d in dims]
+    parts = [_search_dimension(rows.filter(F.col("d") == d).select("vec_id", "v", "row"), d, divisor, k, lists) for d in dims]
     if not parts:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     found = parts[0]
     for p in parts[1:]:
         found = found.unionByName(p)
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    order = Window.partitionBy("query_row").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

@@ -219,18 +219,26 @@ def test_substring_dedup_equals_brute_force(docs, empty, bucket_rows):
     data = [(r["doc_id"], re.findall(r"[^\x20\x09-\x0D]+", r["text"] or "")) for r in docs.collect()]
     least = {}
     for d, w in data:
-        for i in range(len(w) - 12):
+        for i in range(len(w) - 12 if d is not None else 0):
             k = tuple(w[i:i + 13])
-            least[k] = min(least.get(k, 2 ** 63), 2 ** 63 - 1 if d is None else d)
+            least[k] = min(least.get(k, d), d)
     want = []
     for d, w in data:
-        gone = {j for i in range(len(w) - 12) if least[tuple(w[i:i + 13])] < (2 ** 63 - 1 if d is None else d) for j in range(i, i + 13)}
+        gone = {j for i in range(len(w) - 12 if d is not None else 0) if least[tuple(w[i:i + 13])] < d for j in range(i, i + 13)}
         want.append((d, len(w), len(gone), " ".join(x for j, x in enumerate(w) if j not in gone)))
     got = [tuple(r) for r in substrings.remove_repeats(docs, bucket_rows=bucket_rows).collect()]
     assert sorted(got, key=str) == sorted(want, key=str)
     assert substrings.remove_repeats(empty).count() == 0
 
 
+def test_substring_dedup_without_ids(spark, tmp_path):
+    text = " ".join(f"w{i}" for i in range(20))
+    path = str(tmp_path) + "/d"
+    spark.createDataFrame([(None, text), (5, text), (None, text), (6, text)], "doc_id long, text string").coalesce(1).write.parquet(path)
+    got = substrings.remove_repeats(spark.read.parquet(path)).collect()
+    assert sorted((r["doc_id"] or 0, r["n_removed"]) for r in got) == [(0, 0), (0, 0), (5, 0), (6, 20)]
+
+
 @pytest.mark.parametrize("block_bytes", [1 << 20, 100])
 def test_decontamination_equals_brute_force(spark, docs, empty, block_bytes):
     base = [r["text"] for r in docs.collect()][0].split(" ")
@@ -332,6 +340,19 @@ def test_nearest_recall_and_scores(spark):
     assert hit >= 0.9 * 10 * len(got) and [i for i, _ in got[0]] == list(range(100, 110))
 
 
+def test_nearest_of_repeated_ids_and_large_values(spark):
+    big = [[1.0, 0.0], [2e200, 0.0], [4e200, 1e200], [1.0, 1e-200]]
+    rows = [(100, big[0]), (100, big[1]), (7, big[2]), (3, big[3])]
+    found = nearest.nearest_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in found)
+    far = np.hypot(2e200, 1e200)
+    want = [(100, 1, 3, 1e-200), (100, 1, 3, 2e200), (100, 2, 100, 2e200), (100, 2, 100, 2e200), (100, 3, 7, np.hypot(4e200, 1e200)), (100, 3, 7, far)]
+    assert [g[:3] for g in got] == [w[:3] for w in sorted(want)]
+    assert np.allclose([g[3] for g in got], [w[3] for w in sorted(want)], rtol=1e-12, atol=0)
+    none = spark.createDataFrame([], "vec_id long, embedding array<double>")
+    assert nearest.nearest_vectors(none).count() == 0
+
+
 def test_quality_keeps_clean_and_drops_toxic(spark):
     rnd = random.Random(5)
     words, bad = [f"word{i}" for i in range(300)], [f"slur{i}" for i in range(5)]
