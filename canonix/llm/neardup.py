@@ -1,15 +1,13 @@
-r"""N-gram Jaccard join by MinHash bands of a fixed depth.
+r"""N-gram Jaccard join by a MinHash LSH forest.
 
 Texts are sets of 5-word shingles (words ``[^\x20\x09-\x0D]+``; a text of fewer words, but not none, is
-one shingle). It is not an LSH forest: no labels are sorted and no prefix is shortened on the data. Each
-of ``TREES`` trees has one key, of as many MinHash values (``DEPTH`` at most) as let pairs at the
-threshold share a key with the target recall by formula: 5 of 8 as it stands, so 16 bands of 5 values,
-0.998 of pairs at 0.8. One threshold is asked for, so a depth known beforehand finds these pairs without
-looking for the longest match, by one grouping instead of a sort for each tree. Texts that share a key
-are candidates; all candidates are verified by the exact Jaccard similarity of their shingle sets (64-bit fingerprints
-of the shingles), and similar texts form classes.
-
-Equal texts are one text from the start. Candidates are gathered by connected groups of buckets, every
+one shingle). Each of ``TREES`` trees of the forest (forest.py) has the texts' labels of ``DEPTH`` MinHash values in sorted
+order, so a trie's nodes are stretches of it. Matched prefixes are shortened, from whole labels on, until texts that may be
+similar share one in some tree with the target recall; how similar the least similar such texts are is taken from the
+data. Texts that share a prefix of that length are candidates; all candidates are verified by the exact Jaccard
+similarity of their shingle sets (64-bit fingerprints of the shingles), and similar texts form classes.
+
+Equal texts are one text from the start. Candidates are gathered by connected groups of the forest's edges, every
 text once; a group of more than ``BLOCK`` texts is cut into blocks, and each pair of blocks is a task's
 work. Pairs are counted where they are verified and never leave as rows: each text sends its number of
 links and one edge to the least text it hangs together with.
@@ -30,6 +28,7 @@ from pyspark.sql import functions as F
 
 from canonix.llm import words as W
 from canonix.llm.components import _written, components
+from canonix.llm.forest import forest_edges, from_binary, prefix_depth, prefix_keys, shortened, text_labels
 from canonix.llm.shard import numbered
 
 SHINGLE = 5
@@ -38,14 +37,6 @@ TREES, DEPTH, RECALL = 16, 8, 0.995
 BLOCK = 256
 
 
-def prefix_depth(threshold: float, trees: int, depth: int, recall: float) -> int:
-    """The longest prefix at which pairs at the threshold meet in some tree with the recall asked for."""
-    d = depth
-    while d > 1 and 1 - (1 - threshold ** d) ** trees < recall:
-        d -= 1
-    return d
-
-
 def shingle_sets(col: pa.Array, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """(fingerprints sorted within rows and without repeats, first of each row plus the total)."""
     data, off = W.text_bytes(col)
@@ -68,55 +59,39 @@ def shingle_sets(col: pa.Array, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarra
     return gram, np.searchsorted(row, np.arange(len(col) + 1))
 
 
-def tree_prefixes(gram: np.ndarray, first: np.ndarray, trees: int, depth: int, use: int, seed: int = 3) -> np.ndarray:
-    """For each row with shingles, by tree, the fingerprint of the label's prefix of ``use`` values."""
-    rng = np.random.default_rng(seed)
-    full = np.flatnonzero(np.diff(first))
-    out = np.zeros((len(first) - 1, trees), np.uint64)
-    for t in range(trees):
-        mul = rng.integers(1, 1 << 63, depth, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        add = rng.integers(0, 1 << 63, depth, dtype=np.uint64)
-        key = np.full(len(full), t + 1, np.uint64)
-        for j in range(use):
-            low = np.minimum.reduceat((gram * mul[j] + add[j]) >> np.uint64(16), first[full]) if len(full) else key[:0]
-            key = W.mixed(key * np.uint64(0x9E3779B97F4A7C15) + low)
-        out[full, t] = key
-    return out
-
-
 def _digests(col: pa.Array) -> list[bytes]:
     return [hashlib.blake2b(x or b"", digest_size=16).digest() for x in col.cast(pa.binary()).to_pylist()]
 
 
-def signatures(docs: DataFrame, trees: int, depth: int, use: int) -> DataFrame:
-    """(row, doc_id, digest, keys): ``keys`` holds a prefix for each tree, empty for texts without words."""
+def signatures(docs: DataFrame, trees: int, depth: int) -> DataFrame:
+    """(row, doc_id, digest, labels): ``labels`` holds the values of all trees, null for texts without words."""
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in W.text_slices(batches, 2, 1 << 20):
             gram, first = shingle_sets(b.column(2))
-            keys = tree_prefixes(gram, first, trees, depth, use).view(np.int64)
-            full = np.diff(first) > 0
-            offsets = np.append(0, np.cumsum(full * trees)).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[full].ravel()))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(_digests(b.column(2)), pa.binary()), lists],
-                                             names=["row", "doc_id", "digest", "keys"])
+            labels = iter(text_labels(gram, first, trees, depth))
+            found = [next(labels).tobytes() if n else None for n in np.diff(first).tolist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(_digests(b.column(2)), pa.binary()), pa.array(found, pa.binary())],
+                                             names=["row", "doc_id", "digest", "labels"])
 
     return docs.select("__row", F.col("doc_id").cast("long"), "text").mapInArrow(
-        work, "row long, doc_id long, digest binary, keys array<long>")
+        work, "row long, doc_id long, digest binary, labels binary")
 
 
-def _candidate_texts(docs: DataFrame, groups: DataFrame) -> DataFrame:
-    """(node, root, keys, grams): the shingle set of each candidate text, once. ``groups`` names one row for each text."""
+def _candidate_texts(docs: DataFrame, groups: DataFrame, trees: int, depth: int, use: int) -> DataFrame:
+    """(node, root, keys, grams): the prefixes and the shingle set of each candidate text, once. ``groups`` names one row for each text."""
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in W.text_slices(batches, 3, 1 << 20):
             gram, first = shingle_sets(b.column(3))
             grams = [gram[first[i]:first[i + 1]].tobytes() for i in range(b.num_rows)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(grams, pa.binary())],
+            keys = prefix_keys(from_binary(b.column(2), trees * depth), trees, use)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, trees, dtype=np.int32)), pa.array(keys.ravel()))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), lists, pa.array(grams, pa.binary())],
                                              names=["node", "root", "keys", "grams"])
 
     rows = docs.select(F.col("__row").alias("row"), "text").join(groups, "row")
-    return rows.select("node", "root", "keys", "text").mapInArrow(work, "node binary, root binary, keys array<long>, grams binary")
+    return rows.select("node", "root", "labels", "text").mapInArrow(work, "node binary, root binary, keys array<long>, grams binary")
 
 
 class _Block:
@@ -226,17 +201,15 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, trees: int = TRE
 
     ``n_links`` counts different texts that are similar, ``n_copies`` documents with the same text.
     """
-    use = prefix_depth(threshold, trees, depth, recall)
-    signed = _written(signatures(docs, trees, depth, use), "signatures")
+    signed = _written(signatures(docs, trees, depth), "signatures")
     texts = signed.groupBy("digest").agg(F.min("row").alias("row"), F.min("doc_id").alias("least_id"), F.count("*").alias("n_copies"))
-    # Prefixes of one row of each text.
-    once = signed.join(texts.select("row"), "row", "left_semi").select("row", "digest", "keys")
-    once = _written(once.filter(F.size("keys") > 0), "texts")
-    labels = once.select("digest", F.posexplode("keys").alias("tree", "prefix"))
-    buckets = labels.groupBy("tree", "prefix").agg(F.min("digest").alias("first"), F.count("*").alias("n")).filter("n > 1")
-    edges = labels.join(buckets, ["tree", "prefix"]).filter("digest != first").select(F.col("digest").alias("a"), F.col("first").alias("b"))
-    groups = components(edges).join(once, F.col("node") == F.col("digest")).select("node", "root", "row", "keys")
-    found = _written(_verified(_written(_candidate_texts(docs, groups), "candidates"), threshold, block), "links")
+    # Labels of one row of each text.
+    once = signed.join(texts.select("row"), "row", "left_semi").select("row", F.col("digest").alias("node"), "labels")
+    once = _written(once.filter("labels IS NOT NULL"), "texts")
+    edges = forest_edges(once, trees, depth, prefix_depth(threshold, trees, depth, recall))
+    use = shortened(edges, once, threshold, trees, depth, recall)
+    groups = components(edges.filter(F.col("level") >= use)).join(once, "node").select("node", "root", "row", "labels")
+    found = _written(_verified(_written(_candidate_texts(docs, groups, trees, depth, use), "candidates"), threshold, block), "links")
     links = found.groupBy("node").agg(F.sum("links").alias("n_links"))
     classes = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     named = texts.join(links, texts["digest"] == links["node"], "left").drop("node")
