@@ -1,10 +1,9 @@
-r"""Benchmark decontamination with partial suffix arrays of the training text.
+r"""Benchmark decontamination with suffix arrays of the training text.
 
-Every shard (a slice of documents within a task, about 4 MB) gets a partial suffix array over its words:
-of the suffixes whose first four words (or the window's, if fewer) begin a window of the benchmark, as
-no others can match, in order of the window's words only. It is built anew for each length of window
-and each block of items, and not kept. The items' suffixes that begin a window are searched in it by
-binary search; each match is then followed word by word to its end, so matches are whole.
+Every shard of a task's documents (a slice of about 4 MB, of a longer text 2^20 words and the 12 after them) gets the
+complete suffix array of its words (suffixes.py). Every test suffix that begins a window is looked up by binary search
+and gives all places of its window; each match is then followed word by word to its end, so matches
+are whole. Arrays live as long as their slice is worked on; each block of items (below) builds them anew.
 
 A window is 13 consecutive words of an item (an item of fewer words, but not none, is one window). A
 document word inside an occurrence of a window is hit; a document with ``n_hit > 0`` and
@@ -27,12 +26,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from canonix.llm import suffixes
 from canonix.llm import words as W
 from canonix.session import scratch_path
 
 WINDOW = 13
 BLOCK_BYTES = 32 << 20
-_HEAD = 4
 
 
 def item_windows(ids: list, col: pa.Array, window: int = WINDOW) -> dict:
@@ -51,51 +50,6 @@ def item_windows(ids: list, col: pa.Array, window: int = WINDOW) -> dict:
     return {"ids": ids, "hashes": h, "first": first, "windows": out}
 
 
-def search(h: np.ndarray, first: np.ndarray, windows: dict, items: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(position, length in words, window number) of every occurrence of a window in the shard; ``items``: the items' words."""
-    n, test = windows["n"], windows["at"]
-    head = min(n, _HEAD)
-    ok = W.inside_rows(first, n)
-    if not len(ok) or not len(test):
-        return (np.zeros(0, np.int64),) * 3
-    # Suffixes whose first words begin some test suffix.
-    begins = np.unique(W.gram_hashes(items, head)[test])
-    mine = W.gram_hashes(h, head)[ok]
-    table = np.zeros(1 << 20, bool)
-    table[begins >> np.uint64(44)] = True
-    some = np.flatnonzero(table[mine >> np.uint64(44)])
-    at = ok[some]
-    i = np.minimum(np.searchsorted(begins, mine[some]), len(begins) - 1)
-    at = at[begins[i] == mine[some]]
-    # The partial suffix array of the shard: positions in order of the ``n`` words from there on.
-    at = at[np.lexsort([h[at + j] for j in range(n - 1, -1, -1)])]
-    if not len(at):
-        return (np.zeros(0, np.int64),) * 3
-    # Word by word, binary search narrows each test suffix's run in the array.
-    low, high = np.zeros(len(test), np.int64), np.full(len(test), len(at))
-    for j in range(n):
-        column = h[at + j]
-        low, high = _narrow(column, low, high, items[test + j])
-    runs = np.flatnonzero(high > low)
-    count = (high - low)[runs]
-    which = np.repeat(runs, count)
-    inner = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    return at[low[which] + inner], np.full(len(which), n), which
-
-
-def _narrow(column: np.ndarray, low: np.ndarray, high: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The part of each ``low:high`` of ``column`` (sorted there) that equals ``value``: two binary searches for all at once."""
-    ends = []
-    for right in (False, True):
-        a, b = low.copy(), high.copy()
-        while (live := np.flatnonzero(a < b)).size:
-            mid = (a[live] + b[live]) >> 1
-            less = column[mid] <= value[live] if right else column[mid] < value[live]
-            a[live[less]], b[live[~less]] = mid[less] + 1, mid[~less]
-        ends.append(a)
-    return ends[0], ends[1]
-
-
 def longest(h: np.ndarray, first: np.ndarray, items: dict, at: np.ndarray, size: np.ndarray, test: np.ndarray) -> np.ndarray:
     """How many words each match goes on, from position ``at`` here and ``test`` in the items."""
     stop = first[W.row_of(first, at) + 1]
@@ -167,12 +121,14 @@ def _hits(col: pa.Array, items: dict) -> tuple[np.ndarray, list, list]:
     h = W.word_hashes(data, ws, we)
     n = len(col)
     hits, matches = [[] for _ in range(n)], [[] for _ in range(n)]
+    parts = list(suffixes.shards(h, first, max(w["n"] for w in items["windows"]) - 1)) if items["windows"] else []
     for windows in items["windows"]:
-        at, size, which = search(h, first, windows, items["hashes"])
-        if not len(at):
+        found = [suffixes.occurrences(p, items["hashes"], windows["at"], windows["n"]) for p in parts]
+        if not sum(len(at) for at, _ in found):
             continue
+        at, which = (np.concatenate(x) for x in zip(*found))
         item, test = windows["item"][which], windows["at"][which]
-        size = longest(h, first, items, at, size, test)
+        size = longest(h, first, items, at, np.full(len(at), windows["n"]), test)
         row = W.row_of(first, at)
         order = np.lexsort([at, -size, item, row])
         at, size, item, test, row = (x[order] for x in (at, size, item, test, row))
