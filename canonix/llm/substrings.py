@@ -33,7 +33,7 @@ BUCKET_ROWS = 200_000
 #: Windows in one string at most, so that periodic text gives equal pieces.
 RUN = 64
 #: Text that a task packs at a time.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 _LAST = np.iinfo(np.int64).max
 
 
