@@ -6,7 +6,12 @@ centroids in blocks of columns: after each block the distance so far, scaled to
 tested against the tenth best distance; candidates that are beyond it by more than chance explains are
 abandoned. Those left are measured on the original vectors in double precision.
 
-Centroids are fitted to ``SAMPLE`` vectors at most, chosen by a hash of the id; every vector is indexed.
+Centroids are fitted to ``SAMPLE`` vectors at most, chosen by a hash of the id; every vector is indexed. How many lists a
+query scans is measured: for ``MEASURED`` different query vectors at most the true neighbours among all rows are found,
+and as many lists are scanned as it takes to hold ``RECALL`` of them. Vectors in clusters need few lists, those without
+structure most of them (no index does better there). Up to ``LISTS`` lists their number follows the square root of
+the rows, so a query's work does, too, where the share of lists falls accordingly.
+
 Lists are cut into blocks of ``BLOCK`` vectors and queries into groups of ``BLOCK``, so a hot list or
 many equal vectors are shared by tasks; each task keeps ten rows for a query. Defined results: vectors
 that are null, of length zero or hold null or non-finite components, and rows without id, take no part;
@@ -29,8 +34,10 @@ from canonix.session import scratch_path
 
 SAMPLE = 20_000
 BLOCK = 4096
-#: Share of the lists that a query scans, and the least number of them.
-PROBE_SHARE, LEAST_PROBES = 0.75, 16
+#: Most lists, and the least number of them that a query scans.
+LISTS, LEAST_PROBES = 4096, 16
+#: Query vectors whose true neighbours tell how many lists to scan, and the share of these that the lists have to hold.
+MEASURED, RECALL = 128, 0.97
 #: Columns at a time, and how many standard deviations a distance must be beyond the bound.
 COLUMNS, SURE = 16, 2.5
 
@@ -62,10 +69,13 @@ def centroids(x: np.ndarray, k: int, rounds: int = 8, seed: int = 5) -> np.ndarr
 
 def _nearest(x: np.ndarray, c: np.ndarray, n: int = 1) -> np.ndarray:
     """The ``n`` nearest centroids of each row, nearest first."""
-    d = (c * c).sum(axis=1) - 2 * (x @ c.T)
-    if n == 1:
-        return d.argmin(axis=1)[:, None]
-    return np.argsort(d, axis=1, kind="stable")[:, :n]
+    own = (c * c).sum(axis=1)
+    out = np.empty((len(x), n), np.int64)
+    step = max(1, (4 << 20) // len(c))  # at most 32 MB of distances at a time
+    for lo in range(0, len(x), step):
+        far = own - 2 * (x[lo:lo + step] @ c.T)
+        out[lo:lo + step] = far.argmin(axis=1)[:, None] if n == 1 else np.argsort(far, axis=1, kind="stable")[:, :n]
+    return out
 
 
 def _matrix(col: pa.Array, d: int) -> np.ndarray:
@@ -119,12 +129,62 @@ def scan(ids: np.ndarray, other: np.ndarray, rotated: np.ndarray, exact: np.ndar
     return best(np.concatenate([near, rest])) if len(rest) else (near, far)
 
 
+def _true_neighbours(indexed: DataFrame, q: np.ndarray, own: np.ndarray, k: int) -> pa.Table:
+    """(query, list) of the ``k`` nearest among all rows but the own for each of a bounded number of vectors ``q``."""
+    d, middle = q.shape[1], q.mean(axis=0)
+    told = indexed.sparkSession.sparkContext.broadcast((q - middle, own, middle))
+
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        q, own, middle = told.value
+        # For each query the nearest rows of the task so far: distance, id, list.
+        held = [np.full((len(q), 0), 0.0), np.full((len(q), 0), 0), np.full((len(q), 0), 0)]
+        for whole in batches:
+            for lo in range(0, whole.num_rows, BLOCK):
+                b = whole.slice(lo, BLOCK)
+                x = _from_blobs(b.column(2), d) - middle
+                with np.errstate(all="ignore"):
+                    far = (q * q).sum(axis=1)[:, None] + (x * x).sum(axis=1) - 2 * (q @ x.T)
+                far = np.where(np.isnan(far) | (own[:, None] == b.column(3).to_numpy()), np.inf, np.maximum(far, 0))
+                new = [far] + [np.broadcast_to(b.column(i).to_numpy(), far.shape) for i in (1, 0)]
+                held = [np.concatenate(x, axis=1) for x in zip(held, new, strict=True)]
+                best = np.lexsort([held[1], held[0]], axis=1)[:, :k]
+                held = [np.take_along_axis(x, best, axis=1) for x in held]
+        far, ids, lists = held
+        i, j = np.nonzero(np.isfinite(far))
+        yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(lists[i, j]), pa.array(ids[i, j]), pa.array(far[i, j])],
+                                         names=["query", "list", "vec_id", "score"])
+
+    found = indexed.select("list", "vec_id", "x", "row").mapInArrow(work, "query long, list long, vec_id long, score double")
+    order = Window.partitionBy("query").orderBy("score", "vec_id")
+    out = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query", "list").toArrow()
+    told.destroy()
+    return out
+
+
+def needed_probes(indexed: DataFrame, queries: DataFrame, turn: np.ndarray, c: np.ndarray, k: int, recall: float = RECALL) -> int:
+    """How many of the nearest lists hold ``recall`` of the true neighbours, as a mean over different query vectors."""
+    if len(c) <= LEAST_PROBES:
+        return len(c)
+    some = queries.groupBy("x").agg(F.min("row").alias("row")).orderBy(F.xxhash64("x"), "x").limit(MEASURED).toArrow()
+    if not some.num_rows:
+        return LEAST_PROBES
+    q = _from_blobs(some["x"], len(turn))
+    true = _true_neighbours(indexed, q, some["row"].to_numpy(), k)
+    query, lists = true["query"].to_numpy(), true["list"].to_numpy()
+    if not len(query):
+        return len(c)
+    place = np.argsort(_nearest(q @ turn, c, len(c)), axis=1)[query, lists]
+    of = np.bincount(query, minlength=len(q))
+    held = np.cumsum(np.bincount(place, 1 / of[query], len(c))) / np.count_nonzero(of)
+    return min(len(c), max(LEAST_PROBES, int(np.searchsorted(held, recall - 1e-9)) + 1))
+
+
 def _search_dimension(rows: DataFrame, d: int, divisor: int, k: int, lists: int | None) -> DataFrame:
     spark = rows.sparkSession
     turn = rotation(d)
     total = rows.count()
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").toArrow()
-    n_lists = lists or max(1, min(1024, round(np.sqrt(total) / 2)))
+    n_lists = lists or max(1, min(LISTS, round(np.sqrt(total) / 2)))
     c = centroids(_matrix(sample["v"].combine_chunks(), d) @ turn, n_lists)
     shared = spark.sparkContext.broadcast((turn, c))
 
@@ -139,11 +199,11 @@ def _search_dimension(rows: DataFrame, d: int, divisor: int, k: int, lists: int
     rows.mapInArrow(index, "list long, vec_id long, x binary, row long").write.parquet(out)
     indexed = spark.read.parquet(out)
     queries = indexed.filter(F.col("vec_id") % divisor == 0).select("vec_id", "x", "row")
-    # At most 1,024 lists, whatever the number of vectors.
+    # At most LISTS rows, whatever the number of vectors.
     size = np.zeros(len(c), np.int64)
     for r in indexed.groupBy("list").count().collect():
         size[r["list"]] = r["count"]
-    probes = min(len(c), max(LEAST_PROBES, int(np.ceil(PROBE_SHARE * len(c)))))
+    probes = needed_probes(indexed, queries, turn, c, k)
 
     def probe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turn, c = shared.value

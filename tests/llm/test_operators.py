@@ -340,6 +340,39 @@ def test_nearest_recall_and_scores(spark):
     assert hit >= 0.9 * 10 * len(got) and [i for i, _ in got[0]] == list(range(100, 110))
 
 
+@pytest.mark.parametrize("clusters", [40, 0])
+def test_probes_follow_the_measured_recall(spark, monkeypatch, clusters):
+    rng = np.random.default_rng(11)
+    n, d, lists = 4000, 16, 64
+    x = rng.standard_normal((n, d))
+    if clusters:
+        x = x * 0.05 + rng.standard_normal((clusters, d))[rng.integers(0, clusters, n)]
+    used = []
+    needed = nearest.needed_probes
+    monkeypatch.setattr(nearest, "needed_probes", lambda *a: used.append(needed(*a)) or used[-1])
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in nearest.nearest_vectors(vectors, lists=lists).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    assert sorted(got) == list(range(0, n, 100))
+    hit = 0
+    for q, near in got.items():
+        far = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
+        far[q] = np.inf
+        hit += len(near & set(np.lexsort([np.arange(n), far])[:10].tolist()))
+    assert hit >= 0.95 * 10 * len(got)
+    # Clusters need the least number of lists; vectors without structure many, but not all.
+    assert used == [nearest.LEAST_PROBES] if clusters else nearest.LEAST_PROBES < used[0] < lists
+
+
+def test_true_neighbours_of_measured_queries(spark):
+    x = np.array([[0, 0], [1, 0], [0, 3], [5, 5], [5, 5], [1e200, 0]])
+    rows = [(i % 3, 10 + i, v.tobytes(), i) for i, v in enumerate(x)]
+    indexed = spark.createDataFrame(rows, "list long, vec_id long, x binary, row long").repartition(3)
+    true = nearest._true_neighbours(indexed, x[[0, 3]], np.array([0, 3]), 2)
+    assert sorted(zip(true["query"].to_pylist(), true["list"].to_pylist())) == [(0, 1), (0, 2), (1, 1), (1, 2)]
+
+
 def test_nearest_of_repeated_ids_and_large_values(spark):
     big = [[1.0, 0.0], [2e200, 0.0], [4e200, 1e200], [1.0, 1e-200]]
     rows = [(100, big[0]), (100, big[1]), (7, big[2]), (3, big[3])]
