@@ -7,7 +7,8 @@ whole) and the ratios summed over its weakest windows of 4 and 16 words (a short
 target). A logistic fit turns them, with the log of the length, into the log odds that a document
 belongs to the target; it sees only labelled rows that the models have not counted as target, as
 those would look better than other documents. These are the importance weights: k documents, k being the sum of the probabilities over the
-corpus, are drawn without replacement by Gumbel top-k, the noise following from id and text.
+corpus, are drawn without replacement by Gumbel top-k, the noise following from id, length of the text in bytes and seed (rows
+alike in all of these have one noise).
 
 Bounded parts, all parameters: ``LABELLED`` labelled rows (chosen by a hash of the id) tell the target
 and fit the weights; the models have ``2 ** BITS`` places each. Counts, scores, k and the threshold are
