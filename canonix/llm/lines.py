@@ -13,7 +13,9 @@ distributed union-find, and of each component only the first line of the corpus
 Equal lines are one line from the start. Within a band's bucket each line first meets the first one and its
 three neighbours in the order of another band. Lines that are joined by then need no more comparison; a
 bucket that still holds several classes is compared whole, in pairs of blocks of lines, so no candidate
-is left out. Defined results: the corpus is in table order (files by path, rows within);
+is left out. The largest buckets (``hot_keys``: a sketch of bounded size finds them) are cut into pieces of about
+``PIECE`` lines by a hash, each piece with neighbours of its own, so no task sorts a large bucket; what is
+compared whole is the bucket all the same. Defined results: the corpus is in table order (files by path, rows within);
 null text stays null; a text all of whose lines go is empty; repeated rows keep their lines only once; texts are read
 whole, whatever their number of lines; columns of the result's names (``__n_lines``, ``__n_gone``) give way to it.
 """
@@ -33,6 +35,8 @@ THRESHOLD = 0.8
 NEIGHBOURS = 3
 #: Lines of a bucket that are compared at a time, with each other or with as many others.
 BLOCK = 128
+#: Lines of a piece of a large bucket; how many large buckets are cut at most, and the keys that the sketch for them holds.
+PIECE, HOT_KEYS, TRACKED = 512, 1000, 10_000
 #: Ids of candidates and lists of dropped lines are broadcast up to this size, and joined by shuffle beyond.
 BROADCAST_BYTES = 64 << 20
 _RESULT = ("__n_lines", "__n_gone")
@@ -73,18 +77,45 @@ def _small(df: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
 
 
-def similar_classes(texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def hot_keys(labels: DataFrame, piece: int = PIECE) -> list[int]:
+    """Keys with more than ``2 * piece`` lines, at most ``HOT_KEYS`` of them, the largest ones.
+
+    From a frequent-items sketch: a row a task is shuffled, and a key of over a 2,000th of all labels is surely found.
+    """
+    top = labels.agg(F.expr(f"approx_top_k(key, {HOT_KEYS}, {TRACKED})").alias("top")).select(F.inline("top"))
+    return sorted(r["item"] for r in top.collect() if r["count"] > 2 * piece)
+
+
+def _members(labels: DataFrame, piece: int) -> DataFrame:
+    """``labels`` with ``piece``, the bucket's ``first`` line and size ``n``, and up to three lines ``before`` each in its piece."""
+    hot = hot_keys(labels, piece)
+    bucket = Window.partitionBy("key")  # one exchange and one sort serve all windows
+    near = bucket.orderBy("order", "node")
+    cool = labels.filter(~F.col("key").isin(hot)) if hot else labels
+    whole = cool.select("node", "key", F.lit(0).cast("long").alias("piece"), F.min("node").over(bucket).alias("first"),
+                        F.count("*").over(bucket).alias("n"), *_before(near))
+    if not hot:
+        return whole
+    large = labels.filter(F.col("key").isin(hot))
+    facts = large.groupBy("key").agg(F.min("node").alias("first"), F.count("*").alias("n"))  # HOT_KEYS rows at most
+    cut = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / piece))
+    large = large.join(F.broadcast(facts), "key").withColumn("piece", cut.cast("long"))
+    near = Window.partitionBy("key", "piece").orderBy("order", "node")
+    return whole.unionByName(large.select("node", "key", "piece", "first", "n", *_before(near)))
+
+
+def _before(near: Window) -> list[Column]:
+    return [F.lag("node", k).over(near).alias(f"before{k}") for k in range(1, NEIGHBOURS + 1)]
+
+
+def similar_classes(texts: DataFrame, threshold: float = THRESHOLD, piece: int = PIECE) -> DataFrame:
     """(node, root): classes of the lines of ``texts`` (node, line, keys) that have a similar line."""
     # With each band's key half of the next band's, for the order within a bucket.
     turned = F.transform("keys", lambda k, i: F.struct(k.alias("key"), F.shiftrightunsigned(F.get("keys", (i + 1) % BANDS), 32).alias("order")))
     labels = texts.select("node", F.explode(turned).alias("k")).select("node", "k.key", "k.order")
-    bucket = Window.partitionBy("key")  # one exchange and one sort serve all windows
-    near = bucket.orderBy("order", "node")
-    before = [f"before{k}" for k in range(1, NEIGHBOURS + 1)]
-    members = labels.select("node", "key", F.min("node").over(bucket).alias("first"), F.count("*").over(bucket).alias("n"),
-                            *[F.lag("node", k).over(near).alias(c) for k, c in enumerate(before, 1)])
+    members = _members(labels, piece)
     members = _written(members.filter("n > 1"), "line-buckets")
-    pairs = members.select("node", F.explode(F.array("first", *before)).alias("other"))
+    pairs = members.select("node", F.explode(F.array("first", *[f"before{k}" for k in range(1, NEIGHBOURS + 1)])).alias("other"))
     pairs = pairs.filter("other IS NOT NULL AND other != node").select(
         F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
     pairs = _written(pairs, "line-pairs")
@@ -104,12 +135,13 @@ def similar_classes(texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame
 def _rest(members: DataFrame, roots: DataFrame, lines: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
     """(a, b): classes with similar lines in a bucket of ``members``; a line without a class is its own.
 
-    A bucket is cut, by class, into blocks of ``block`` lines; a pair of blocks is one piece of work. Blocks of one
+    A piece of a bucket is cut, by class, into blocks of ``block`` lines; a pair of blocks of the bucket is one piece of work. Blocks of one
     and the same class need no comparison, so a bucket of thousands of near copies and some others is cheap.
     """
-    rows = members.select("node", "key").join(_small(roots, 16), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    place = F.row_number().over(Window.partitionBy("key").orderBy("root", "node")) - 1
-    rows = _written(rows.select("node", "key", "root", F.floor(place / block).cast("int").alias("block")), "line-blocks")
+    piece = F.col("piece") if "piece" in members.columns else F.lit(0).cast("long")
+    rows = members.select("node", "key", piece.alias("piece")).join(_small(roots, 16), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    place = F.floor((F.row_number().over(Window.partitionBy("key", "piece").orderBy("root", "node")) - 1) / block)
+    rows = _written(rows.select("node", "key", "root", (F.shiftleft("piece", 32) + place).alias("block")), "line-blocks")
     blocks = rows.groupBy("key", "block").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
     meet = blocks.select("key", F.col("block").alias("i"), F.col("lo").alias("lo_i"), F.col("hi").alias("hi_i")).join(
         blocks.select("key", F.col("block").alias("j"), "lo", "hi"), "key").filter("i <= j")

@@ -203,6 +203,29 @@ def test_line_buckets_are_compared_whole(spark):
     assert lines._rest(members, same, rows, 0.8, 5).count() == 0
 
 
+def test_large_buckets_are_cut_and_lose_nothing(spark):
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(9)
+    texts, base = [], "".join(rnd.choice("abcdefghij") for _ in range(200))
+    for i in range(150):  # near copies of one line; others share four minima with it, but not 0.8
+        cut = rnd.randint(0, 190)
+        texts.append(base[:cut] + f"{i:06d}" + base[cut + 6:])
+        if i % 5 == 0:
+            texts.append(base[:130] + "".join(rnd.choice("xyz") for _ in range(70)))
+    want = _jaccard_classes([{x[i:i + 8] for i in range(len(x) - 7)} for x in texts], 0.8)
+    keys = shingles.band_keys()("line")
+    rows = spark.createDataFrame(list(enumerate(texts)), "node long, line string").select("*", F.concat(F.slice(keys, 1, 8), F.array(F.lit(7).cast("long"))).alias("keys"))
+    labels = rows.select("node", F.explode("keys").alias("key"), (F.col("node") % 3).alias("order"))
+    assert 7 in lines.hot_keys(labels, 8) and lines.hot_keys(labels.limit(0), 8) == []
+    cut = lines._members(labels, 8).filter("key = 7")
+    assert cut.select("piece").distinct().count() > 10
+    assert {(r["n"], r["first"]) for r in cut.collect()} == {(len(texts), 0)}
+    for piece in (8, 10 ** 6):
+        got = {r["node"]: r["root"] for r in lines.similar_classes(rows, piece=piece).collect()}
+        assert [got.get(i, i) for i in range(len(texts))] == want
+
+
 def test_components(spark):
     rnd = random.Random(1)
     edges = [(rnd.randint(0, 300), rnd.randint(0, 300)) for _ in range(200)] + [(i, i + 1) for i in range(400, 440)]
