@@ -37,6 +37,8 @@ NEIGHBOURS = 3
 BLOCK = 128
 #: Lines of a piece of a large bucket; how many large buckets are cut at most, and the keys that the sketch for them holds.
 PIECE, HOT_KEYS, TRACKED = 512, 1000, 10_000
+#: Groups in which the tasks' sketches are merged first.
+MERGES = 64
 #: Ids of candidates and lists of dropped lines are broadcast up to this size, and joined by shuffle beyond.
 BROADCAST_BYTES = 64 << 20
 _RESULT = ("__n_lines", "__n_gone")
@@ -77,18 +79,29 @@ def _small(df: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
 
 
-def hot_keys(labels: DataFrame, piece: int = PIECE) -> list[int]:
-    """Keys with more than ``2 * piece`` lines, at most ``HOT_KEYS`` of them, the largest ones.
+def hot_keys(texts: DataFrame, piece: int = PIECE) -> list[int]:
+    """Band keys of more than ``2 * piece`` lines, at most ``HOT_KEYS`` of them, the largest ones.
 
-    From a frequent-items sketch: a row a task is shuffled, and a key of over a 2,000th of all labels is surely found.
+    From frequent-items sketches, one a task, merged in ``MERGES`` groups and then in one; a key of over a 2,000th of
+    all lines' keys is surely found.
     """
-    top = labels.agg(F.expr(f"approx_top_k(key, {HOT_KEYS}, {TRACKED})").alias("top")).select(F.inline("top"))
+    if texts.isEmpty():
+        return []
+    keys = texts.select(F.explode("keys").alias("key"), F.pmod(F.spark_partition_id(), F.lit(MERGES)).alias("part"))
+    parts = keys.groupBy("part").agg(F.expr(f"approx_top_k_accumulate(key, {TRACKED})").alias("s"))
+    top = parts.agg(F.expr(f"approx_top_k_combine(s, {TRACKED})").alias("s")).select(F.expr(f"inline(approx_top_k_estimate(s, {HOT_KEYS}))"))
     return sorted(r["item"] for r in top.collect() if r["count"] > 2 * piece)
 
 
-def _members(labels: DataFrame, piece: int) -> DataFrame:
-    """``labels`` with ``piece``, the bucket's ``first`` line and size ``n``, and up to three lines ``before`` each in its piece."""
-    hot = hot_keys(labels, piece)
+def _labels(texts: DataFrame) -> DataFrame:
+    """(node, key, order): each band's key, with half of the next band's for the order within a bucket."""
+    turned = F.transform("keys", lambda k, i: F.struct(k.alias("key"), F.shiftrightunsigned(F.get("keys", (i + 1) % BANDS), 32).alias("order")))
+    return texts.select("node", F.explode(turned).alias("k")).select("node", "k.key", "k.order")
+
+
+def _members(texts: DataFrame, piece: int) -> DataFrame:
+    """(node, key, piece): the lines in their buckets, with the bucket's ``first`` line and size ``n``, and up to three lines ``before`` each in its piece."""
+    hot, labels = hot_keys(texts, piece), _labels(texts)
     bucket = Window.partitionBy("key")  # one exchange and one sort serve all windows
     near = bucket.orderBy("order", "node")
     cool = labels.filter(~F.col("key").isin(hot)) if hot else labels
@@ -96,7 +109,7 @@ def _members(labels: DataFrame, piece: int) -> DataFrame:
                         F.count("*").over(bucket).alias("n"), *_before(near))
     if not hot:
         return whole
-    large = labels.filter(F.col("key").isin(hot))
+    large = _labels(texts.filter(F.exists("keys", lambda k: k.isin(hot)))).filter(F.col("key").isin(hot))
     facts = large.groupBy("key").agg(F.min("node").alias("first"), F.count("*").alias("n"))  # HOT_KEYS rows at most
     cut = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / piece))
     large = large.join(F.broadcast(facts), "key").withColumn("piece", cut.cast("long"))
@@ -110,10 +123,7 @@ def _before(near: Window) -> list[Column]:
 
 def similar_classes(texts: DataFrame, threshold: float = THRESHOLD, piece: int = PIECE) -> DataFrame:
     """(node, root): classes of the lines of ``texts`` (node, line, keys) that have a similar line."""
-    # With each band's key half of the next band's, for the order within a bucket.
-    turned = F.transform("keys", lambda k, i: F.struct(k.alias("key"), F.shiftrightunsigned(F.get("keys", (i + 1) % BANDS), 32).alias("order")))
-    labels = texts.select("node", F.explode(turned).alias("k")).select("node", "k.key", "k.order")
-    members = _members(labels, piece)
+    members = _members(texts, piece)
     members = _written(members.filter("n > 1"), "line-buckets")
     pairs = members.select("node", F.explode(F.array("first", *[f"before{k}" for k in range(1, NEIGHBOURS + 1)])).alias("other"))
     pairs = pairs.filter("other IS NOT NULL AND other != node").select(
