@@ -263,6 +263,12 @@ def _preview_shape(spark, sf):
     return shape
 
 
+def _preview_rows(spark, sf):
+    """The rows of a preview: the first of the orders, standardized, in order of their key."""
+    std = standardize_all(_load(spark, sf, ("orders", "lineitem")), testdata_map())["orders.parquet"]
+    return sinks.preview(std, 5, ["order_key"])[0]
+
+
 def _profile_shape(spark, sf):
     parts = [pf.shape(_read(spark, sf, t), f"{t}.parquet") for t in ALL_TABLES]
     out = parts[0]
@@ -659,6 +665,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "merge_filter_key": _merge_filter_key,
         "head_sample": _head_sample,
         "preview_shape": _preview_shape,
+        "preview_rows": _preview_rows,
         "profile_shape": _profile_shape,
         "profile_null_counts": _profile_null_counts,
         "profile_unique_sample": _profile_unique_sample,
@@ -957,6 +964,7 @@ def oracle_sql() -> dict[str, str]:
                              "OR status_from_lineitem_parquet = 'F'"),
         "merge_filter_key": f"SELECT * FROM ({merge_ol}) WHERE order_key = 201",
         "head_sample": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 5",
+        "preview_rows": f"SELECT * FROM ({_std_sql(hm, 'orders.parquet', t_ol)}) ORDER BY order_key LIMIT 5",
         "preview_shape": f"SELECT COUNT(*) AS rows, 23 AS cols FROM ({merge_ol})",
         "profile_shape": " UNION ALL ".join(shape_parts),
         "profile_null_counts": _null_counts_sql("orders", _ORDERS_NULLS, "orders.parquet"),
