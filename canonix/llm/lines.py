@@ -37,8 +37,8 @@ NEIGHBOURS = 3
 BLOCK = 128
 #: Lines of a piece of a large bucket; how many large buckets are cut at most, and the keys that the sketch for them holds.
 PIECE, HOT_KEYS, TRACKED = 512, 1000, 10_000
-#: Groups in which the tasks' sketches are merged first.
-MERGES = 64
+#: Groups of tasks with a sketch each.
+GROUPS = 64
 #: Ids of candidates and lists of dropped lines are broadcast up to this size, and joined by shuffle beyond.
 BROADCAST_BYTES = 64 << 20
 _RESULT = ("__n_lines", "__n_gone")
@@ -82,15 +82,13 @@ def _small(df: DataFrame, row_bytes: int) -> DataFrame:
 def hot_keys(texts: DataFrame, piece: int = PIECE) -> list[int]:
     """Band keys of more than ``2 * piece`` lines, at most ``HOT_KEYS`` of them, the largest ones.
 
-    From frequent-items sketches, one a task, merged in ``MERGES`` groups and then in one; a key of over a 2,000th of
-    all lines' keys is surely found.
+    From frequent-items sketches, one for each of ``GROUPS`` groups of tasks, whose largest keys are added up; a key
+    of over a 2,000th of a group's keys is surely found there.
     """
-    if texts.isEmpty():
-        return []
-    keys = texts.select(F.explode("keys").alias("key"), F.pmod(F.spark_partition_id(), F.lit(MERGES)).alias("part"))
-    parts = keys.groupBy("part").agg(F.expr(f"approx_top_k_accumulate(key, {TRACKED})").alias("s"))
-    top = parts.agg(F.expr(f"approx_top_k_combine(s, {TRACKED})").alias("s")).select(F.expr(f"inline(approx_top_k_estimate(s, {HOT_KEYS}))"))
-    return sorted(r["item"] for r in top.collect() if r["count"] > 2 * piece)
+    keys = texts.select(F.explode("keys").alias("key"), F.pmod(F.spark_partition_id(), F.lit(GROUPS)).alias("part"))
+    top = keys.groupBy("part").agg(F.expr(f"approx_top_k(key, {HOT_KEYS}, {TRACKED})").alias("top")).select(F.inline("top"))
+    top = top.groupBy("item").agg(F.sum("count").alias("n")).filter(F.col("n") > 2 * piece)
+    return sorted(r["item"] for r in top.orderBy(F.desc("n"), "item").limit(HOT_KEYS).collect())
 
 
 def _labels(texts: DataFrame) -> DataFrame:
