@@ -234,3 +234,31 @@ def test_row_guard_tells_overflow(spark):
     ds = {n: spark.range(100_000).selectExpr("1 AS k") for n in names}
     with pytest.raises(MergeTooLarge):
         merge_by_key(m, ds, "k", max_rows=10)
+
+
+@pytest.mark.parametrize("strategy,unkeyed", [("spine", False), ("spine", True), ("chain", False), ("layout", False)])
+def test_keys_of_many_output_rows_are_spread_over_tasks(spark, strategy, unkeyed):
+    # Two keys with few rows in and a million rows out each, null keys, and a small third dataset.
+    a = spark.range(3001).selectExpr("IF(id = 0, NULL, CAST(id % 2 AS INT)) AS ka", "CAST(id AS STRING) AS va")
+    b = spark.range(1402).selectExpr("IF(id < 2, NULL, CAST(id % 2 AS INT)) AS kb", "CAST(id AS STRING) AS vb", "1.5D AS wb")
+    c = spark.createDataFrame([(0, "x"), (1, "y"), (9, "z")], "kc int, vc string")
+    d = spark.createDataFrame([(7.0,)], "wd double")
+    ds = {"a.csv": a, "b.csv": b, "c.csv": c, "d.csv": d}
+    merged = merge_by_key(MAP, ds, "k", order=list(ds) if unkeyed else list(ds)[:3], strategy=strategy, include_unkeyed=unkeyed)
+    tasks = merged.groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n"), F.sum("v_from_b_csv").alias("s"), F.count("v_from_c_csv").alias("c")).collect()
+    assert sum(t.n for t in tasks) == 2 * 1500 * 700 + 1 + 2 + 1 + unkeyed
+    assert sum(t.c for t in tasks) == 2 * 1500 * 700 + 1
+    assert sum(t.s or 0 for t in tasks) == 1500 * sum(range(2, 1402)) + 1
+    assert max(t.n for t in tasks) < 1_000_000
+
+
+@pytest.mark.parametrize("strategy", ["spine", "chain", "layout"])
+def test_columns_without_a_source_are_in_no_join(spark, strategy, monkeypatch):
+    from canonix.operators import merge as mg
+
+    ds = _rand_tables(spark, 14, n=60, keys=3)
+    hot_rows, written = [], mg._written
+    monkeypatch.setattr(mg, "_written", lambda df, name: (hot_rows.extend(df.columns) if name == "hot-rows" else None) or written(df, name))
+    merged = merge_by_key(MAP, ds, "k", order=["a.csv", "b.csv", "c.csv"], strategy=strategy, skew=SkewConfig(input_rows=2, output_rows=3))
+    assert "w_from_b_csv" in hot_rows and not {"w", "w_from_c_csv"} & set(hot_rows)
+    assert dict(merged.dtypes)["w"] == "double" and merged.where("w IS NOT NULL OR w_from_c_csv IS NOT NULL").isEmpty()
