@@ -262,3 +262,21 @@ def test_columns_without_a_source_are_in_no_join(spark, strategy, monkeypatch):
     merged = merge_by_key(MAP, ds, "k", order=["a.csv", "b.csv", "c.csv"], strategy=strategy, skew=SkewConfig(input_rows=2, output_rows=3))
     assert "w_from_b_csv" in hot_rows and not {"w", "w_from_c_csv"} & set(hot_rows)
     assert dict(merged.dtypes)["w"] == "double" and merged.where("w IS NOT NULL OR w_from_c_csv IS NOT NULL").isEmpty()
+
+
+def test_a_last_join_of_billions_of_rows_has_tasks_of_millions(spark):
+    """25 keys of 216,000, 14,400 and 1 rows, as at 360 times sf0.1: 78 billion rows out, dealt by cells."""
+    from pyspark.sql import functions as F
+
+    from canonix.operators import merge as M
+
+    hot = spark.range(25).select(F.col("id").alias("k"), *[F.lit(n).cast("long").alias(f"n{i}") for i, n in enumerate((216_000, 14_400, 1))])
+    steps, tasks = M._hot_steps(hot, 3, SkewConfig())
+    assert [i for i, _, _ in steps] == [2, 1, 0]
+    _, a, b = steps[-1]
+    sa, sb = M._cells(a, b, SkewConfig())
+    cells = hot.select("k", (a * b / sa / sb).alias("out"), sb.alias("sb"), F.explode(F.sequence(F.lit(0), sa - 1)).alias("i"))
+    cells = cells.select("k", "out", "i", F.explode(F.sequence(F.lit(0), F.col("sb") - 1)).alias("j"))
+    held = cells.groupBy(F.pmod(F.hash("k", "i", "j"), F.lit(tasks[-1])).alias("task")).agg(F.sum("out").alias("out"))
+    most, total = held.agg(F.max("out"), F.sum("out")).first()
+    assert round(total) == 25 * 216_000 * 14_400 and most < 5e7
