@@ -13,7 +13,7 @@ distributed union-find, and of each component only the first line of the corpus
 Equal lines are one line from the start. Within a band's bucket each line first meets the first one and its
 three neighbours in the order of another band. Lines that are joined by then need no more comparison; a
 bucket that still holds several classes is compared whole, in pairs of blocks of lines, so no candidate
-is left out. The largest buckets (``hot_keys``: a sketch of bounded size finds them) are cut into pieces of about
+is left out. Every bucket of more than twice ``PIECE`` lines, by exact counts, is cut into pieces of about
 ``PIECE`` lines by a hash, each piece with neighbours of its own, so no task sorts a large bucket; what is
 compared whole is the bucket all the same. Defined results: the corpus is in table order (files by path, rows within);
 null text stays null; a text all of whose lines go is empty; repeated rows keep their lines only once; texts are read
@@ -35,10 +35,8 @@ THRESHOLD = 0.8
 NEIGHBOURS = 3
 #: Lines of a bucket that are compared at a time, with each other or with as many others.
 BLOCK = 128
-#: Lines of a piece of a large bucket; how many large buckets are cut at most, and the keys that the sketch for them holds.
-PIECE, HOT_KEYS, TRACKED = 512, 1000, 10_000
-#: Groups of tasks with a sketch each.
-GROUPS = 64
+#: Lines of a piece of a large bucket, and how many keys of large buckets ``hot_keys`` shows at most.
+PIECE, HOT_KEYS = 512, 1000
 #: Ids of candidates and lists of dropped lines are broadcast up to this size, and joined by shuffle beyond.
 BROADCAST_BYTES = 64 << 20
 _RESULT = ("__n_lines", "__n_gone")
@@ -79,16 +77,16 @@ def _small(df: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
 
 
-def hot_keys(texts: DataFrame, piece: int = PIECE) -> list[int]:
-    """Band keys of more than ``2 * piece`` lines, at most ``HOT_KEYS`` of them, the largest ones.
+def _buckets(texts: DataFrame) -> DataFrame:
+    """(key, n, first): size and first line of each bucket of two lines or more, combined within tasks before the exchange."""
+    each = texts.select("node", F.explode("keys").alias("key"))
+    return each.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("first")).filter("n > 1")
 
-    From frequent-items sketches, one for each of ``GROUPS`` groups of tasks, whose largest keys are added up; a key
-    of over a 2,000th of a group's keys is surely found there.
-    """
-    keys = texts.select(F.explode("keys").alias("key"), F.pmod(F.spark_partition_id(), F.lit(GROUPS)).alias("part"))
-    top = keys.groupBy("part").agg(F.expr(f"approx_top_k(key, {HOT_KEYS}, {TRACKED})").alias("top")).select(F.inline("top"))
-    top = top.groupBy("item").agg(F.sum("count").alias("n")).filter(F.col("n") > 2 * piece)
-    return sorted(r["item"] for r in top.orderBy(F.desc("n"), "item").limit(HOT_KEYS).collect())
+
+def hot_keys(texts: DataFrame, piece: int = PIECE) -> list[int]:
+    """For a look at the data: band keys of more than ``2 * piece`` lines, the ``HOT_KEYS`` largest ones."""
+    top = _buckets(texts).filter(F.col("n") > 2 * piece).orderBy(F.desc("n"), "key").limit(HOT_KEYS)
+    return sorted(r["key"] for r in top.collect())
 
 
 def _labels(texts: DataFrame) -> DataFrame:
@@ -98,21 +96,17 @@ def _labels(texts: DataFrame) -> DataFrame:
 
 
 def _members(texts: DataFrame, piece: int) -> DataFrame:
-    """(node, key, piece): the lines in their buckets, with the bucket's ``first`` line and size ``n``, and up to three lines ``before`` each in its piece."""
-    hot, labels = hot_keys(texts, piece), _labels(texts)
-    bucket = Window.partitionBy("key")  # one exchange and one sort serve all windows
-    near = bucket.orderBy("order", "node")
-    cool = labels.filter(~F.col("key").isin(hot)) if hot else labels
-    whole = cool.select("node", "key", F.lit(0).cast("long").alias("piece"), F.min("node").over(bucket).alias("first"),
-                        F.count("*").over(bucket).alias("n"), *_before(near))
-    if not hot:
-        return whole
-    large = _labels(texts.filter(F.exists("keys", lambda k: k.isin(hot)))).filter(F.col("key").isin(hot))
-    facts = large.groupBy("key").agg(F.min("node").alias("first"), F.count("*").alias("n"))  # HOT_KEYS rows at most
-    cut = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / piece))
-    large = large.join(F.broadcast(facts), "key").withColumn("piece", cut.cast("long"))
+    """(node, key, piece): the lines in buckets of two or more, with the bucket's ``first`` line and size ``n``, and up to three lines ``before`` each in its piece."""
+    buckets = _written(_buckets(texts), "line-keys")  # most lines are alone in most buckets: those rows end here
+    pieces = F.when(F.col("n") > 2 * piece, F.ceil(F.col("n") / piece)).otherwise(1)
+    buckets = buckets.withColumn("pieces", pieces.cast("long"))
+    large = _small(buckets.filter("pieces > 1").select("key", "pieces"), 16)
+    labels = _labels(texts).join(large, "key", "left")
+    labels = labels.withColumn("piece", F.coalesce(F.pmod(F.xxhash64("node"), "pieces"), F.lit(0).cast("long"))).drop("pieces")
+    # Joined by piece, so that a join by shuffle brings no large bucket into one task.
+    buckets = buckets.select("key", "n", "first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)).alias("piece"))
     near = Window.partitionBy("key", "piece").orderBy("order", "node")
-    return whole.unionByName(large.select("node", "key", "piece", "first", "n", *_before(near)))
+    return labels.join(_small(buckets, 32), ["key", "piece"]).select("node", "key", "piece", "first", "n", *_before(near))
 
 
 def _before(near: Window) -> list[Column]:
@@ -122,7 +116,7 @@ def _before(near: Window) -> list[Column]:
 def similar_classes(texts: DataFrame, threshold: float = THRESHOLD, piece: int = PIECE) -> DataFrame:
     """(node, root): classes of the lines of ``texts`` (node, line, keys) that have a similar line."""
     members = _members(texts, piece)
-    members = _written(members.filter("n > 1"), "line-buckets")
+    members = _written(members, "line-buckets")
     pairs = members.select("node", F.explode(F.array("first", *[f"before{k}" for k in range(1, NEIGHBOURS + 1)])).alias("other"))
     pairs = pairs.filter("other IS NOT NULL AND other != node").select(
         F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()

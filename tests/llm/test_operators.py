@@ -225,6 +225,30 @@ def test_large_buckets_are_cut_and_lose_nothing(spark):
         assert [got.get(i, i) for i in range(len(texts))] == want
 
 
+def test_every_large_bucket_is_cut_whatever_else_there_is(spark):
+    from pyspark.sql import functions as F
+
+    # 60,000 lines, 9 keys each: 40 keys hold 21 to 60 lines in one band, all others are alone.
+    size = {k: 21 + k for k in range(40)}
+    large = [k for k, n in size.items() for _ in range(n)]
+    rows = spark.range(60_000).select(F.col("id").alias("node"), F.transform(F.sequence(F.lit(0), F.lit(8)), lambda b: F.xxhash64("id", b)).alias("keys"))
+    of = spark.createDataFrame(list(enumerate(large)), "node long, large long")
+    rows = rows.join(of, "node", "left").select("node", F.when(F.col("large").isNull(), F.col("keys")).otherwise(
+        F.concat(F.slice("keys", 1, 8), F.array("large"))).alias("keys"))
+    assert lines.hot_keys(rows, 10) == list(size)
+    got = lines._members(rows, 10).groupBy("key").agg(F.count_distinct("piece").alias("pieces"), F.count("*").alias("n"), F.max("n").alias("said"),
+                                                      F.min("first").alias("first"), F.max("piece").alias("last")).collect()
+    assert {r["key"]: (r["n"], r["said"], r["first"]) for r in got} == {k: (n, n, large.index(k)) for k, n in size.items()}
+    assert all(r["pieces"] > 1 and r["last"] < -(-size[r["key"]] // 10) for r in got)
+
+
+def test_shingle_sets_of_a_slice_are_those_of_its_lines():
+    texts = ["aaaaaaaaaaaaaaaa", "", "abc", "abcabcabcabcabcabc", "aaaaaaaaaaaaaaaa", "x" * 8, "y" * 9 + "x" * 8, "é" * 30]
+    for of, got in zip(texts, shingles._sets(pa.array(texts)), strict=True):
+        h, _ = shingles.hashed(pa.array([of]))
+        assert got.tolist() == sorted(set(h.tolist()))
+
+
 def test_components(spark):
     rnd = random.Random(1)
     edges = [(rnd.randint(0, 300), rnd.randint(0, 300)) for _ in range(200)] + [(i, i + 1) for i in range(400, 440)]
