@@ -280,3 +280,18 @@ def test_a_last_join_of_billions_of_rows_has_tasks_of_millions(spark):
     held = cells.groupBy(F.pmod(F.hash("k", "i", "j"), F.lit(tasks[-1])).alias("task")).agg(F.sum("out").alias("out"))
     most, total = held.agg(F.max("out"), F.sum("out")).first()
     assert round(total) == 25 * 216_000 * 14_400 and most < 5e7
+
+
+def test_hot_branch_joins_without_an_outer_join(spark):
+    """Keys that a dataset lacks keep their rows, the last join builds its rows by an inner join."""
+    a = spark.createDataFrame([(k, f"a{k}{i}") for k in (1, 2, 3) for i in range(9)] + [(None, "an")], "ka int, va string")
+    b = spark.createDataFrame([(k, f"b{k}{i}", 0.5) for k in (1, 2, 4) for i in range(7)], "kb int, vb string, wb double")
+    c = spark.createDataFrame([(1, "c1"), (3, "c3"), (3, "c3"), (5, "c5")], "kc int, vc string")
+    ds, skew = {"a.csv": a, "b.csv": b, "c.csv": c}, SkewConfig(input_rows=2, output_rows=5)
+    parts, _ = _renamed_parts(MAP, ds, list(ds), "k", True, "not_null")
+    branch = _salted_branch(parts, "k", find_hot_keys(parts, "k", skew), skew)
+    assert "LeftOuter" not in branch._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["k"]: r["n"] for r in branch.groupBy("k").agg(F.count("*").alias("n")).collect()} == {1: 63, 2: 63, 3: 18, 4: 7}
+    for strategy in ("spine", "chain", "layout"):
+        plain = merge_by_key(MAP, ds, "k", strategy="spine", skew=SkewConfig(enabled=False))
+        assert rows(plain) == rows(merge_by_key(MAP, ds, "k", strategy=strategy, skew=skew))
