@@ -60,7 +60,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: in
         left, rest = total - capped, free
     over = _above(cap, left, rest) if rest else F.lit(True)
     target = F.when(over, (F.col("source_size") * cap).cast("double")).otherwise(
-        (F.lit(left) * F.col("weight")).cast("double") / F.lit(float(rest or 1)))
+        (_whole("weight") * _whole(F.lit(left))).cast("double") / F.lit(float(rest or 1)))
     return rows.select("source", "source_size", target.alias("target"),
                        F.when(over, _whole(F.lit(cap))).otherwise(_whole("weight") * _whole(F.lit(left))).alias("share"),
                        F.when(over, _whole(F.lit(1))).otherwise(_whole("source_size") * _whole(F.lit(rest))).alias("shares"))

@@ -112,6 +112,16 @@ def test_sources_all_without_words(spark):
     assert {(r["doc_id"], r["target"], r["copies"]) for r in mixing.mix_copies(rows).collect()} == {(1, 0.0, 0), (2, 0.0, 0)}
 
 
+@pytest.mark.parametrize("words", [450_000_000, 2_000_000_000, 3_000_000_000_000_000_000])
+def test_targets_of_many_words(spark, words):
+    """A weight times all words does not fit the type that holds all words."""
+    size = {"a": words // 2, "b": words // 4, "c": words // 8, None: words // 16}
+    sizes = spark.createDataFrame(list(size.items()), "source string, source_size long")
+    got = mixing.source_targets(sizes).collect()
+    assert {r["source"]: r["target"] for r in got} == {s: float(t) for s, t in _targets(size).items()}
+    assert {r["source"]: Fraction(int(r["share"]), int(r["shares"])) * size[r["source"]] for r in got} == _targets(size)
+
+
 def _phrases(rows, least, longest=5, top=None):
     count, total = defaultdict(Counter), Counter()
     for text, lang in rows:
