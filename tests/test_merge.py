@@ -295,3 +295,15 @@ def test_hot_branch_joins_without_an_outer_join(spark):
     for strategy in ("spine", "chain", "layout"):
         plain = merge_by_key(MAP, ds, "k", strategy="spine", skew=SkewConfig(enabled=False))
         assert rows(plain) == rows(merge_by_key(MAP, ds, "k", strategy=strategy, skew=skew))
+
+
+@pytest.mark.parametrize("strategy", ["spine", "chain", "layout"])
+def test_the_hot_branch_leads_the_union(spark, strategy):
+    """The plain branch may turn out empty while the merge runs. Were it first, its removal would put a projection
+    over the union that writes every row again."""
+    ds = _rand_tables(spark, 15, n=60, keys=3)
+    merged = merge_by_key(MAP, ds, "k", order=["a.csv", "b.csv", "c.csv"], strategy=strategy, skew=SkewConfig(input_rows=2, output_rows=3))
+    first, *others = [x for x in merged._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join " in x]
+    assert "Join Inner" in first and "__sa" in first
+    assert any("Join LeftOuter" in x or "Join FullOuter" in x for x in others)
+    assert rows(merged) == rows(merge_by_key(MAP, ds, "k", order=["a.csv", "b.csv", "c.csv"], strategy="chain", skew=SkewConfig(enabled=False)))
